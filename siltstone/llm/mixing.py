@@ -155,9 +155,9 @@ def taken_pieces(sizes: DataFrame, plan: pd.DataFrame, block: int = BLOCK, seed:
 
 
 def document_sizes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
-    """doc_id, source, size (words) and rid, which tells repeated rows apart, in the shared folder: rid must not change when a task runs again."""
+    """doc_id, source, size (words), th (a hash of the text) and rid, which tells repeated rows apart, in the shared folder: rid must not change when a task runs again."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    return materialize(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size")), "mixing-sizes")
+    return materialize(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), size.alias("size"), F.xxhash64(F.col(text)).alias("th")), "mixing-sizes")
 
 
 def mix_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", block: int = BLOCK, seed: int = SEED) -> DataFrame:
@@ -182,20 +182,23 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
 
     A pass that takes a document's blocks without a gap gives its text verbatim
     between the first and last word; parts that a gap divides are joined by a
-    newline. Rows of one document share its doc_id. Ids must be unique, or
-    repeated rows are taken as one; documents without words go.
+    newline. Rows of one document share its doc_id; rows that repeat both id and
+    text are one document, each taken alike. Documents without words go.
     """
     import re
 
     import pyarrow as pa
 
-    one = docs.dropDuplicates([doc_id])
-    sizes = document_sizes(one, text, doc_id, source)
+    sizes = document_sizes(docs, text, doc_id, source)
+    sizes = sizes.groupBy("doc_id", "th", "size").agg(F.min("rid").alias("rid"), F.min(F.struct(F.col("source").isNull(), "source"))["source"].alias("source"))
+    sizes = materialize(sizes.select("rid", "doc_id", "th", "source", "size"), "mixing-documents")
     plan = source_plan(sizes, block)
-    taken = taken_pieces(sizes, plan, block, seed).groupBy("doc_id", "pass").agg(F.collect_list(F.struct("from_word", "n_words")).alias("parts"))
-    taken = taken.groupBy("doc_id").agg(F.collect_list(F.struct("pass", "parts")).alias("passes")).withColumnRenamed("doc_id", "__doc")
+    taken = taken_pieces(sizes, plan, block, seed).groupBy("rid", "pass").agg(F.collect_list(F.struct("from_word", "n_words")).alias("parts"))
+    taken = taken.groupBy("rid").agg(F.collect_list(F.struct("pass", "parts")).alias("passes"))
+    taken = sizes.select("rid", F.col("doc_id").alias("__doc"), "th").join(taken, "rid").select("__doc", "th", "passes")
     names = docs.columns
-    joined = one.join(taken, one[doc_id].eqNullSafe(taken["__doc"])).select(F.col(text).cast("string").alias("t"), "passes", F.struct(*[c for c in names if c not in (text, n_chars)]).alias("rest"))
+    own = docs.withColumn("__th", F.xxhash64(F.col(text)))
+    joined = own.join(taken, own[doc_id].eqNullSafe(taken["__doc"]) & (own["__th"] == taken["th"])).select(F.col(text).cast("string").alias("t"), "passes", F.struct(*[c for c in names if c not in (text, n_chars)]).alias("rest"))
     word = re.compile(WORD)
 
     def run(batches):

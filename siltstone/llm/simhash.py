@@ -274,9 +274,13 @@ def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
-    """docs, of each near-duplicate group only the document whose id names it; of repeated rows with that id one."""
-    keep = simhash_groups(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """docs, of each near-duplicate group only the document whose id names it; of rows that repeat that id one.
+
+    Documents with a null id stay: none can stand for them.
+    """
+    keep = simhash_groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
+    own = docs.where("doc_id IS NOT NULL").join(keep, docs["doc_id"] == F.col("__keep"), "left_semi").dropDuplicates(["doc_id"])
+    return own.unionByName(docs.where("doc_id IS NULL"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
