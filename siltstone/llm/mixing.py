@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, read
+from .common import WORD, materialize, read, shuffles
 
 BLOCK, SHARD_SLOTS, SEED, MOST_REPEATS = 64, 1 << 16, 20240229, 3
 #: Documents are summed up in so many pieces of a source, each put in order by one task.
@@ -120,7 +120,7 @@ def drawn_blocks(spark: SparkSession, plan: pd.DataFrame, shard_slots: int = SHA
                         key = np.uint64(seed) + (turn * 1_000_003 + r.k).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                         yield pd.DataFrame({"shard": r.shard, "k": r.k, "pass": turn, "block": permuted(j % r.blocks, np.full(len(j), r.blocks), key)})
 
-    return draws.repartition(F.col("shard"), F.col("k")).mapInPandas(run, "shard long, k int, pass long, block long")
+    return draws.repartition(shuffles(draws), "shard", "k").mapInPandas(run, "shard long, k int, pass long, block long")
 
 
 def placed(sizes: DataFrame, plan: pd.DataFrame) -> DataFrame:
@@ -151,7 +151,8 @@ def taken_pieces(sizes: DataFrame, plan: pd.DataFrame, block: int = BLOCK, seed:
     start = F.greatest(F.col("block") * block, F.col("off"))
     end = F.least((F.col("block") + 1) * block, F.col("off") + F.col("size"))
     parts = parts.select("rid", "doc_id", "k", "block", (start - F.col("off")).alias("from_word"), (end - start).alias("n_words"))
-    return parts.join(drawn_blocks(spark, plan, seed=seed), ["k", "block"]).select("rid", "doc_id", "k", "pass", "from_word", "n_words")
+    # the slots' number follows the corpus, which the planner cannot tell: never broadcast them
+    return parts.join(drawn_blocks(spark, plan, seed=seed).hint("merge"), ["k", "block"]).select("rid", "doc_id", "k", "pass", "from_word", "n_words")
 
 
 def document_sizes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source") -> DataFrame:
