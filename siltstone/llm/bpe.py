@@ -29,9 +29,11 @@ from .common import read
 
 LONG_PIECE = 48
 #: Units whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 1_200_000
+REMEMBERED = 600_000
+#: Characters that are encoded together, at least one text.
+PART_CHARS = 1_500_000
 #: Pieces that one recursive query contracts.
-PIECES = 50_000
+PIECES = 20_000
 
 #: A row is a token at a byte position with its right neighbour (nxt at npos); key is the rank of the pair the two
 #: make, then pos, or null. A step contracts the pair of least key and joins only the neighbours it changed.
@@ -76,7 +78,7 @@ class Tokenizer:
                 if a is not None and b is not None:
                     self.merges[a, b] = rank
         self.byte = [ranks[bytes([i])] for i in range(256)]
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "preserve_insertion_order": False})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": False})
         keys = np.array(list(self.merges), dtype=np.int64).reshape(-1, 2)
         self._table("merge_rows", a=keys[:, 0], b=keys[:, 1], rank=np.array(list(self.merges.values()), dtype=np.int64))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
@@ -89,10 +91,10 @@ class Tokenizer:
         self.con.register(name, pa.table({k: pa.array(v) for k, v in columns.items()}))
 
     def forget(self) -> None:
-        """Drop the remembered units. Unit i has ids[starts[i] : starts[i + 1]] and the bytes decoded[i]."""
+        """Drop the remembered units. Unit i has ids[starts[i] : starts[i + 1]] and bytes likewise."""
         self.units: dict[str, int] = {}
         self.starts, self.ids = np.zeros(1, dtype=np.int64), np.empty(0, dtype="<u4")
-        self.decoded: list[bytes] = []
+        self.byte_starts, self.bytes = np.zeros(1, dtype=np.int64), np.empty(0, dtype=np.uint8)
 
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         """Token ids of each piece."""
@@ -177,16 +179,18 @@ class Tokenizer:
         pieces = list(dict.fromkeys(p for s in split for p in s))
         ids = dict(zip(pieces, self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in pieces]), strict=True))
         back = dict(zip(pieces, self.decode(list(ids.values())), strict=True))
-        flat, sizes = [], []
+        flat, sizes, decoded = [], [], []
         for u, s in zip(new, split, strict=True):
             self.units[u] = len(self.units)
             before = len(flat)
             for p in s:
                 flat += ids[p]
             sizes.append(len(flat) - before)
-            self.decoded.append(b"".join([back[p] for p in s]))
+            decoded.append(b"".join([back[p] for p in s]))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
         self.ids = np.concatenate((self.ids, np.array(flat, dtype="<u4")))
+        self.byte_starts = np.concatenate((self.byte_starts, self.byte_starts[-1] + np.cumsum(list(map(len, decoded)))))
+        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(decoded), dtype=np.uint8)))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """The ids of all texts in a row (unsigned, 32 bits), where each text's begin and end, and each text's decoded bytes; null counts as empty."""
@@ -199,13 +203,18 @@ class Tokenizer:
             self.learn(list(dict.fromkeys(u for u, i in zip(flat, at, strict=True) if i is None)))
             at = list(map(self.units.get, flat))
         k = np.array(at, dtype=np.int64)
-        start, size = self.starts[k], self.starts[k + 1] - self.starts[k]
-        ends = np.cumsum(size)
-        ids = self.ids[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(k) else 0)]
+        ids, ends = _gather(self.ids, self.starts, k)
         units = np.concatenate(([0], np.cumsum([len(s) for s in split]))).astype(np.int64)
-        bounds = np.concatenate(([0], ends))[units]
-        known = list(map(self.decoded.__getitem__, at))
-        return ids, bounds, [b"".join(known[a:b]) for a, b in zip(units[:-1].tolist(), units[1:].tolist(), strict=True)]
+        raw, byte_ends = _gather(self.bytes, self.byte_starts, k)
+        raw, cut = raw.tobytes(), byte_ends[units].tolist()
+        return ids, ends[units], [raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def _gather(values: np.ndarray, starts: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs values[starts[i] : starts[i + 1]] of each i in k, in a row, and where each begins and the last ends."""
+    size = starts[k + 1] - starts[k]
+    ends = np.concatenate(([0], np.cumsum(size)))
+    return values[np.repeat(starts[k] - ends[:-1], size) + np.arange(ends[-1])], ends
 
 
 _made: dict[tuple[str, str], Tokenizer] = {}
@@ -246,7 +255,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
             size, at = 0, 0
             for i in range(len(texts) + 1):
                 size += len(texts[i] or "") if i < len(texts) else 0
-                if i < len(texts) and size < 4_000_000:
+                if i < len(texts) and size < PART_CHARS:
                     continue
                 part = texts[at : i + 1]
                 flat, bounds, back = tok.encode(part)
