@@ -6,11 +6,18 @@ import os
 import tempfile
 import zipfile
 
+BATCH_ROWS = 1000
+
 _shipped: set[str] = set()
 
 
 def ship(spark) -> None:
-    """Send this package to the Python workers of spark's application, once."""
+    """Send this package to the Python workers of spark's application, once, and bound the batches that they get.
+
+    A batch of the default 10,000 long texts takes tens of MB in the JVM, and
+    again in the worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
