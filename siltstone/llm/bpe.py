@@ -29,9 +29,11 @@ from .common import read
 
 LONG_PIECE = 48
 #: Units whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Characters that are encoded together, at least one text.
 PART_CHARS = 1_500_000
+#: Units kept from one task to the next.
+KEPT = 200_000
 #: Pieces that one recursive query contracts.
 PIECES = 20_000
 
@@ -267,6 +269,8 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
                 if part:
                     yield pa.RecordBatch.from_arrays(columns, names=["n_tokens", "ids_sha256", "decoded_sha256", "rest", *["ids"] * ids])
                 size, at = 0, i + 1
+        if len(tok.units) > KEPT:  # an idle worker keeps what it holds
+            tok.forget()
 
     out = own.mapInArrow(run, f"n_tokens long, ids_sha256 string, decoded_sha256 string, rest {kind}" + ", ids array<int>" * ids)
     return out.select(*[F.col("rest").getField(c).alias(c) for c in rest], "n_tokens", *["ids"] * ids, "ids_sha256", "decoded_sha256")
