@@ -75,5 +75,5 @@ def upsert(old: DataFrame, new: DataFrame, key: str, digest: str, seen: str, val
 def reject_reason(url: Column, html: Column) -> Column:
     """The first reason why a page is no posting; null if there is none."""
     path = F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))
-    text = F.length(F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]*>", ""))
+    text = F.length(F.regexp_replace(F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>", " "), r"<[^>]*>", ""))
     return F.when(url.isNull() | (F.trim(url) == ""), "no url").when(path.isin("", "/"), "site root").when(path.rlike(r"-jobs/?$"), "category").when(~html.rlike(r"(?is)<title>\s*\S"), "no title").when(text < 80, "short description")

@@ -83,6 +83,10 @@ DATAFRAME_ORACLE = {
         o AS (SELECT * FROM a WHERE k % 4 <> 1), n AS (SELECT k + CASE WHEN k % 8 = 0 THEN 0 ELSE 1 END AS k, lower(v) AS v, CASE WHEN k % 16 = 0 THEN h ELSE h + 1 END AS h, (seen + 1)::DATE AS seen FROM a WHERE k % 4 = 0),
         j AS (SELECT o.k AS ok, n.k AS nk, o.v AS ov, n.v AS nv, o.h AS oh, n.h AS nh, o.seen AS os, n.seen AS ns, CASE WHEN n.k IS NULL THEN 'kept' WHEN o.k IS NULL THEN 'inserted' WHEN o.h IS NOT DISTINCT FROM n.h THEN 'unchanged' ELSE 'updated' END AS change FROM o FULL OUTER JOIN n ON o.k = n.k)
         SELECT coalesce(ok, nk) AS k, CASE WHEN change = 'updated' THEN coalesce(nv, ov) ELSE coalesce(ov, nv) END AS v, CASE WHEN change IN ('updated', 'inserted') THEN nh ELSE oh END AS h, greatest(os, ns) AS seen, change FROM j""",
+    "flt_posting_quality": r"""WITH p AS (SELECT page_id, url, html, regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) AS path,
+        length(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>', ' ', 'g'), '<[^>]*>', '', 'g')) AS n FROM pages)
+        SELECT page_id, CASE WHEN url IS NULL OR trim(url) = '' THEN 'no url' WHEN path IN ('', '/') THEN 'site root' WHEN regexp_matches(path, '-jobs/?$') THEN 'category'
+        WHEN NOT regexp_matches(html, '(?is)<title>\s*\S') THEN 'no title' WHEN n < 80 THEN 'short description' END AS reason FROM p""",
     "sort_argmax": """WITH c AS (SELECT label, arg_min(embedding, vec_id) AS centre FROM embeddings GROUP BY label),
         s AS (SELECT e.vec_id, c.label, round(list_cosine_similarity(e.embedding::DOUBLE[], c.centre::DOUBLE[]), 4) AS cosine FROM embeddings e JOIN c ON true)
         SELECT vec_id, label, cosine FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, label) = 1""",
