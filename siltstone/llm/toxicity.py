@@ -21,7 +21,7 @@ from .common import crc_mod, read
 from .sampling import labelled_sample, logistic, sigmoid
 
 #: Labelled rows of each class that are learnt from, at most; a not confirmed row counts as unlabelled.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 3000
 FEATURES, LEAST_DOCS, STEPS, RATE, DECAY, REMEMBERED = 20_000, 4, 150, 0.05, 1e-3, 1_000_000
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
@@ -103,20 +103,20 @@ def _fit(sample: list[tuple[str, int]], prior: float, features: int = FEATURES)
     if not len(ys) or len(set(ys.tolist())) < 2:
         p = float(np.clip(prior, 0.02, 0.98))
         return Model({}, np.empty(0), 0.0, (1.0, float(np.log(p / (1 - p)))))
-    sets = [{p for w in words(t) for p in parts(w)} for t, _ in sample]
     from collections import Counter
 
-    seen, hot = Counter(), Counter()
-    for s, y in zip(sets, ys, strict=True):
-        seen.update(s)
-        if y:
-            hot.update(s)
+    def own(text: str) -> set[str]:  # taken twice rather than held for the whole sample
+        return {p for w in words(text) for p in parts(w)}
+
+    hot = Counter(p for t, y in sample if y for p in own(t))
+    hot = {p: n for p, n in hot.items() if n >= LEAST_DOCS}
+    seen = Counter(p for t, _ in sample for p in own(t) & hot.keys())
     n_pos = int(ys.sum())
     share = n_pos / len(ys)
     # the features whose share of confirmed texts is furthest above chance, in standard deviations
-    ranked = sorted(((hot[f] - share * seen[f]) / np.sqrt(share * (1 - share) * seen[f]), f) for f in hot if hot[f] >= LEAST_DOCS)
+    ranked = sorted(((hot[f] - share * seen[f]) / np.sqrt(share * (1 - share) * seen[f]), f) for f in hot)
     chosen = {f: k for k, f in enumerate(sorted(f for z, f in ranked[::-1][:features] if z > 3))}
-    rows = [sorted(chosen[f] for f in s if f in chosen) for s in sets]
+    rows = [sorted(chosen[f] for f in own(t) & chosen.keys()) for t, _ in sample]
     prior = float(np.clip(prior, 0.005, 0.5))
     held = np.arange(len(rows)) % 3 == 0
     pos = [r for r, y, h in zip(rows, ys, held, strict=True) if y and not h]
