@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Corporate suffix words.
-SUFFIX_WORDS = ("incorporated", "corporation", "corp", "llc", "ltd", "limited", "inc", "plc", "gmbh", "group", "holdings", "holding", "company", "co")
+SUFFIX_WORDS = ("incorporated", "corporation", "corp", "llc", "ltd", "limited", "company", "group", "holdings", "enterprises", "industries", "plc", "gmbh", "llp", "lp", "inc", "co")
 
 
 def normalized(text: Column) -> Column:

@@ -12,6 +12,7 @@ from siltstone.operators import entity
 from siltstone.sources.tables import TABLES, read
 from siltstone.streaming import incremental
 
+from . import postings
 from .shared import SHARED, SPLIT
 
 
@@ -96,8 +97,8 @@ DATAFRAME_ORACLE = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: statement(v) for k, v in SHARED.items()} | {k: statement(v[0]) for k, v in SPLIT.items()} | DATAFRAME
+    return {k: statement(v) for k, v in SHARED.items()} | {k: statement(v[0]) for k, v in SPLIT.items()} | DATAFRAME | postings.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _oracle(v) for k, v in SHARED.items()} | {k: v[1] for k, v in SPLIT.items()} | DATAFRAME_ORACLE
+    return {k: _oracle(v) for k, v in SHARED.items()} | {k: v[1] for k, v in SPLIT.items()} | DATAFRAME_ORACLE | postings.oracle_sql()
