@@ -125,7 +125,32 @@ SHARED: dict[str, str] = {
     "q_headcount_demand": "SELECT o_custkey, count(*) AS all_jobs, count(*) FILTER (WHERE o_orderstatus = 'O') AS active_jobs FROM {orders} GROUP BY o_custkey",
     "q_skill_demand_daily": "SELECT CAST(o.o_orderdate AS DATE) AS day, l.l_partkey AS skill, c.c_nationkey AS country, count(*) AS n FROM {orders} o JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey JOIN {customer} c ON c.c_custkey = o.o_custkey GROUP BY CAST(o.o_orderdate AS DATE), l.l_partkey, c.c_nationkey",
     "q_dashboard_kpis": "SELECT count(*) AS total, round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE o_orderstatus = 'F') / nullif(count(*), 0), 1) AS matched_pct, count(DISTINCT o_custkey) AS companies FROM {orders}",
-    "q_explore_counts": "SELECT 'orders' AS t, count(*) AS n FROM {orders} UNION ALL SELECT 'lineitem', count(*) FROM {lineitem} UNION ALL SELECT 'customer', count(*) FROM {customer}",
+    "q_corpus_checks": "SELECT count(*) AS n, count(*) - count(DISTINCT doc_id) AS duplicate_keys, count(*) FILTER (WHERE doc_id IS NULL) AS null_keys, count(DISTINCT source) AS sources, count(*) > 0 AS passed FROM {documents}",
+    "q_volume_outliers": "SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) - INTERVAL '90' DAY FROM {events}) AS is_outlier FROM {events} GROUP BY CAST(ts AS DATE)",
+    # further sources, filters, joins, sorts and merges
+    "src_parquet_footer_count": "SELECT count(*) AS n FROM {lineitem}",
+    "src_partition_from_path": "SELECT doc_id, regexp_extract('shards/source=' || source || '/dt=2024-01-01/part-0.parquet', 'source=([^/]+)', 1) AS part FROM {documents}",
+    "flt_desc_pending": "SELECT d.doc_id FROM {documents} d LEFT JOIN {benchmark} b ON b.item_id = d.doc_id WHERE d.lang NOT IN ('en', 'unknown') AND d.source IS NOT NULL AND b.text IS NULL",
+    "flt_blank_text": "SELECT doc_id FROM {documents} WHERE (text IS NULL OR trim(text) = '') OR (lang IS NULL OR trim(lang) = '')",
+    "flt_suspect_rows": "SELECT count(*) AS n, count(*) FILTER (WHERE length(html) < 500) AS short_pages, count(*) FILTER (WHERE lower(url) LIKE '%/about%' OR lower(url) LIKE '%/login%') AS navigation FROM {pages}",
+    "join_star_left": """SELECT l.l_orderkey, l.l_linenumber, p.p_brand, s.s_name, n.n_name AS supplier_country, r.r_name AS supplier_region FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
+        LEFT JOIN {part} p ON p.p_partkey = l.l_partkey LEFT JOIN {supplier} s ON s.s_suppkey = l.l_suppkey LEFT JOIN {nation} n ON n.n_nationkey = s.s_nationkey LEFT JOIN {region} r ON r.r_regionkey = n.n_regionkey""",
+    "agg_top_companies_sql": "SELECT c.c_name, count(*) AS n FROM {customer} c JOIN {orders} o ON o.o_custkey = c.c_custkey GROUP BY c.c_name ORDER BY n DESC, c.c_name LIMIT 10",
+    "agg_group_having_host": "SELECT split_part(url, '/', 3) AS host, count(DISTINCT page_id % 5) AS codes FROM {pages} GROUP BY split_part(url, '/', 3) HAVING count(DISTINCT page_id % 5) > 1",
+    "topk_dashboard": "SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM {orders} GROUP BY o_orderpriority, o_orderstatus ORDER BY n DESC, o_orderpriority, o_orderstatus LIMIT 12",
+    "sort_nulls": "SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_linenumber % 2 = 0 THEN l_discount END DESC NULLS LAST, l_linenumber, l_partkey, l_suppkey) AS place FROM {lineitem}",
+    "sort_priority_stable": "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderpriority LIKE '1%' THEN 0 WHEN o_orderpriority LIKE '5%' THEN 2 ELSE 1 END, o_orderkey) AS place FROM {orders}",
+    "mrg_upsert_ref": """SELECT coalesce(n.k, t.k) AS k, coalesce(n.name, t.name) AS name, CASE WHEN t.k IS NULL THEN 'inserted' WHEN n.k IS NULL THEN 'kept' ELSE 'updated' END AS change
+        FROM (SELECT c_custkey AS k, c_name AS name FROM {customer} WHERE c_custkey % 3 <> 0) t FULL OUTER JOIN (SELECT c_custkey AS k, lower(c_name) AS name FROM {customer} WHERE c_custkey % 2 = 0) n ON n.k = t.k""",
+    "mrg_upsert_cities": """SELECT coalesce(n.name, t.name) AS name, coalesce(n.g, t.g) AS region, coalesce(n.size, t.size) AS size FROM (SELECT n_name AS name, coalesce(CASE WHEN n_nationkey % 4 <> 0 THEN n_regionkey END, 0) AS g, n_nationkey AS size FROM {nation}) t
+        FULL OUTER JOIN (SELECT n_name AS name, coalesce(CASE WHEN n_nationkey % 4 <> 0 THEN n_regionkey END, 0) AS g, n_nationkey + 100 AS size FROM {nation} WHERE n_nationkey % 2 = 0) n ON n.name = t.name AND n.g = t.g""",
+    "mrg_remap_selfref": """SELECT o.o_orderkey + 1000000 AS id, m.o_orderkey + 1000000 AS duplicate_of FROM {orders} o LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS first FROM {orders} GROUP BY o_custkey) f ON f.o_custkey = o.o_custkey AND f.first < o.o_orderkey
+        LEFT JOIN {orders} m ON m.o_orderkey = f.first""",
+    "fn_embed_text": "SELECT doc_id, coalesce(source, '') || '. ' || substr(text, 1, 300) AS embed FROM {documents} WHERE text IS NOT NULL",
+    "fn_as_number": "SELECT k, CASE WHEN v BETWEEN -1.7e308 AND 1.7e308 THEN v END AS v FROM (SELECT o_orderkey AS k, TRY_CAST(CASE o_orderkey % 4 WHEN 0 THEN '12.5' WHEN 1 THEN 'abc' WHEN 2 THEN 'NaN' END AS DOUBLE) AS v FROM {orders}) x",
+    "fn_json_map": "SELECT n.n_nationkey, concat_ws(', ', n.n_name, nullif(r.r_name, 'REGION_1'), CASE WHEN n.n_nationkey % 2 = 0 THEN 'Remote' END) AS location FROM {nation} n LEFT JOIN {region} r ON r.r_regionkey = n.n_regionkey",
+    "fn_discovery_key": "SELECT page_id, coalesce('id:' || CASE WHEN page_id % 3 = 0 THEN CAST(page_id AS VARCHAR(20)) END, 'url:' || url) AS k FROM {pages}",
+    "q_explore_counts":"SELECT 'orders' AS t, count(*) AS n FROM {orders} UNION ALL SELECT 'lineitem', count(*) FROM {lineitem} UNION ALL SELECT 'customer', count(*) FROM {customer}",
 }
 
 # Code-point ranges that decide a language, in order (kana before Han).
@@ -192,6 +217,26 @@ SPLIT: dict[str, tuple[str, str]] = {
         "SELECT p_partkey, array_join(filter(w, (x, i) -> array_position(transform(w, y -> lower(y)), lower(x)) = i + 1), '|') AS items FROM (SELECT p_partkey, split(concat(p_name, ' ', upper(p_name), ' ', p_type), ' ') AS w FROM {part})",
         "SELECT p_partkey, array_to_string(list_filter(w, lambda x, i: list_position(list_transform(w, lambda y: lower(y)), lower(x)) = i), '|') AS items FROM (SELECT p_partkey, string_split(concat(p_name, ' ', upper(p_name), ' ', p_type), ' ') AS w FROM part)",
     ),
+    "src_sitemap": (
+        "SELECT page_id, loc FROM (SELECT page_id, xpath('<urlset><url><loc>' || replace(url, '&', '&amp;') || '</loc></url></urlset>', 'urlset/url/loc/text()') AS x FROM {pages} WHERE url IS NOT NULL AND url NOT LIKE '%<%') LATERAL VIEW explode(x) AS loc",
+        "SELECT page_id, url AS loc FROM pages WHERE url IS NOT NULL AND url NOT LIKE '%<%' AND url <> ''",
+    ),
+    "fn_non_english": (
+        r"SELECT doc_id, coalesce(2 * length(regexp_replace(text, '[^\\pL]|[a-zA-Z]', '')) > length(regexp_replace(text, '[^\\pL]', '')), false) AS foreign FROM {documents}",
+        r"SELECT doc_id, coalesce(2 * length(regexp_replace(text, '[^\p{L}]|[a-zA-Z]', '', 'g')) > length(regexp_replace(text, '[^\p{L}]', '', 'g')), false) AS foreign FROM documents",
+    ),
+    "flt_valid_utf8": (
+        "SELECT doc_id, is_valid_utf8(text) AS fine FROM {documents}",
+        "SELECT doc_id, CASE WHEN text IS NOT NULL THEN true END AS fine FROM documents",
+    ),
+    "q_job_facts": (
+        """SELECT o.o_orderkey, c.c_name AS company_name, n.n_name AS country_name, r.r_name AS region_name, coalesce(k.n, 0) AS skill_count, k.skills FROM {orders} o JOIN {customer} c ON c.c_custkey = o.o_custkey
+        LEFT JOIN {nation} n ON n.n_nationkey = c.c_nationkey LEFT JOIN {region} r ON r.r_regionkey = n.n_regionkey LEFT JOIN (SELECT l_orderkey, count(*) AS n,
+        array_join(transform(slice(sort_array(collect_list(struct(-l_quantity AS q, l_linenumber AS i, l_partkey AS p))), 1, 10), x -> x.p), ',') AS skills FROM {lineitem} GROUP BY l_orderkey) k ON k.l_orderkey = o.o_orderkey""",
+        """SELECT o.o_orderkey, c.c_name AS company_name, n.n_name AS country_name, r.r_name AS region_name, coalesce(k.n, 0) AS skill_count, k.skills FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+        LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey LEFT JOIN (SELECT l_orderkey, count(*) AS n,
+        array_to_string((list(l_partkey ORDER BY -l_quantity, l_linenumber, l_partkey))[1:10], ',') AS skills FROM lineitem GROUP BY l_orderkey) k ON k.l_orderkey = o.o_orderkey""",
+    ),
     "src_html_listing": (
         "SELECT page_id, link FROM {pages} LATERAL VIEW explode(array_distinct(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1))) AS link",
         "SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1))) AS link FROM pages",
