@@ -18,6 +18,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
+from itertools import compress
 
 import duckdb
 import numpy as np
@@ -28,33 +29,33 @@ from pyspark.sql import functions as F
 from .common import read
 
 LONG_PIECE = 48
-#: Units whose ids a worker remembers; beyond that it starts anew.
+#: Units whose ids a worker remembers; beyond that it keeps those met again, half as many at most.
 REMEMBERED = 400_000
 #: Characters that are encoded together, at least one text.
 PART_CHARS = 1_500_000
-#: Units kept from one task to the next.
+#: Units kept from one task to the next, those met most.
 KEPT = 200_000
 #: Pieces that one recursive query contracts.
 PIECES = 20_000
 
 #: A row is a token at a byte position with its right neighbour (nxt at npos); key is the rank of the pair the two
-#: make, then pos, or null. A step contracts the pair of least key and joins only the neighbours it changed.
+#: make, then pos (under 64, see LONG_PIECE), or null. Columns have 32 bits. A step contracts the pair of least key and joins only the neighbours it changed.
 _ENCODE = """WITH RECURSIVE t(step, piece, pos, tok, nxt, npos, key) AS (
-  SELECT 0, s.piece, s.pos, s.tok, s.nxt, s.pos + 1, m.rank * 65536 + s.pos
+  SELECT 0::INTEGER, s.piece, s.pos, s.tok, s.nxt, (s.pos + 1)::INTEGER, m.rank * 64 + s.pos
   FROM start s LEFT JOIN merges m ON s.tok = m.a AND s.nxt = m.b
   UNION ALL
-  SELECT n.step, n.piece, n.pos, n.tok, n.nxt, n.npos, CASE WHEN n.same THEN n.key ELSE m.rank * 65536 + n.pos END
+  SELECT n.step, n.piece, n.pos, n.tok, n.nxt, n.npos, CASE WHEN n.same THEN n.key ELSE m.rank * 64 + n.pos END
   FROM (
-    SELECT t.step + 1 AS step, t.piece, t.pos,
+    SELECT (t.step + 1)::INTEGER AS step, t.piece, t.pos,
       CASE WHEN t.pos = b.pos THEN b.rank ELSE t.tok END AS tok,
       CASE WHEN t.pos = b.pos THEN r.nxt WHEN t.npos = b.pos THEN b.rank ELSE t.nxt END AS nxt,
       CASE WHEN t.pos = b.pos THEN r.npos ELSE t.npos END AS npos, t.key, t.pos <> b.pos AND t.npos <> b.pos AS same
-    FROM t JOIN (SELECT piece, min(key) // 65536 AS rank, min(key) % 65536 AS pos, arg_min(npos, key) AS gone FROM t WHERE key IS NOT NULL GROUP BY piece) b USING (piece)
+    FROM t JOIN (SELECT piece, min(key) // 64 AS rank, min(key) % 64 AS pos, arg_min(npos, key) AS gone FROM t WHERE key IS NOT NULL GROUP BY piece) b USING (piece)
       JOIN t r ON r.piece = b.piece AND r.pos = b.gone
     WHERE t.pos <> b.gone) n
   LEFT JOIN merges m ON n.tok = m.a AND n.nxt = m.b
 )
-SELECT piece, tok FROM t JOIN (SELECT piece, max(step) AS step FROM t GROUP BY piece) USING (piece, step) ORDER BY piece, pos
+SELECT piece, tok FROM t JOIN (SELECT piece, max(step) AS step FROM t WHERE pos = 0 GROUP BY piece) USING (piece, step) ORDER BY piece, pos
 """
 
 _DECODE = """
@@ -81,8 +82,8 @@ class Tokenizer:
                     self.merges[a, b] = rank
         self.byte = [ranks[bytes([i])] for i in range(256)]
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": False})
-        keys = np.array(list(self.merges), dtype=np.int64).reshape(-1, 2)
-        self._table("merge_rows", a=keys[:, 0], b=keys[:, 1], rank=np.array(list(self.merges.values()), dtype=np.int64))
+        keys = np.array(list(self.merges), dtype=np.int32).reshape(-1, 2)
+        self._table("merge_rows", a=keys[:, 0], b=keys[:, 1], rank=np.array(list(self.merges.values()), dtype=np.int32))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
         vocab = pa.table({"tok": pa.array(list(ranks.values()), pa.int64()), "hex": [t.hex() for t in ranks]})
         self.con.register("vocab_rows", vocab)
@@ -95,9 +96,22 @@ class Tokenizer:
     def forget(self) -> None:
         """Drop the remembered units. Unit i has ids[starts[i] : starts[i + 1]] and bytes likewise."""
         self.units: dict[str, int] = {}
+        self.seen = np.empty(0, dtype=np.int64)
         self.starts, self.ids = np.zeros(1, dtype=np.int64), np.empty(0, dtype="<u4")
         self.byte_starts, self.bytes = np.zeros(1, dtype=np.int64), np.empty(0, dtype=np.uint8)
 
+    def keep(self, most: int) -> None:
+        """Forget units but those met again since they were learned, and of these all but the `most` met most; what is kept ages."""
+        again = np.flatnonzero(self.seen > 1)
+        if len(again) > most:
+            again = np.sort(again[np.argpartition(-self.seen[again], most)[:most]])
+        mask = np.zeros(len(self.units), dtype=bool)
+        mask[again] = True
+        self.units = {u: i for i, u in enumerate(compress(self.units, mask.tolist()))}
+        self.seen = self.seen[again] // 2
+        self.ids, self.starts = _gather(self.ids, self.starts, again)
+        self.bytes, self.byte_starts = _gather(self.bytes, self.byte_starts, again)
+
     def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
         """Token ids of each piece."""
         out: list[list[int]] = [[] for _ in pieces]
@@ -110,16 +124,16 @@ class Tokenizer:
                 out[i] = self._by_heap(p)
             else:
                 rest.append(i)
-        table = np.array(self.byte, dtype=np.int64)
+        table = np.array(self.byte, dtype=np.int32)
         for at in range(0, len(rest), PIECES):
             some = rest[at : at + PIECES]
             sizes = np.array([len(pieces[i]) for i in some])
             raw = np.frombuffer(b"".join(pieces[i] for i in some), dtype=np.uint8)
-            pos = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            pos = (np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
             tok = table[raw]
-            nxt = np.append(tok[1:], -1)
+            nxt = np.append(tok[1:], np.int32(-1))
             nxt[np.cumsum(sizes) - 1] = -1
-            self._table("start", piece=np.repeat(np.arange(len(some)), sizes), pos=pos, tok=tok, nxt=nxt)
+            self._table("start", piece=np.repeat(np.arange(len(some), dtype=np.int32), sizes), pos=pos, tok=tok, nxt=nxt)
             got = self.con.sql(_ENCODE).to_arrow_table()
             self.con.unregister("start")
             piece, tok = got.column(0).to_numpy(), got.column(1).to_numpy()
@@ -189,6 +203,7 @@ class Tokenizer:
                 flat += ids[p]
             sizes.append(len(flat) - before)
             decoded.append(b"".join([back[p] for p in s]))
+        self.seen = np.append(self.seen, np.zeros(len(new), dtype=np.int64))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
         self.ids = np.concatenate((self.ids, np.array(flat, dtype="<u4")))
         self.byte_starts = np.concatenate((self.byte_starts, self.byte_starts[-1] + np.cumsum(list(map(len, decoded)))))
@@ -197,7 +212,7 @@ class Tokenizer:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """The ids of all texts in a row (unsigned, 32 bits), where each text's begin and end, and each text's decoded bytes; null counts as empty."""
         if len(self.units) > REMEMBERED:
-            self.forget()
+            self.keep(REMEMBERED // 2)
         split = [self.split(t or "") for t in texts]
         flat = [u for s in split for u in s]
         at = list(map(self.units.get, flat))
@@ -205,6 +220,7 @@ class Tokenizer:
             self.learn(list(dict.fromkeys(u for u, i in zip(flat, at, strict=True) if i is None)))
             at = list(map(self.units.get, flat))
         k = np.array(at, dtype=np.int64)
+        self.seen += np.bincount(k, minlength=len(self.units))
         ids, ends = _gather(self.ids, self.starts, k)
         units = np.concatenate(([0], np.cumsum([len(s) for s in split]))).astype(np.int64)
         raw, byte_ends = _gather(self.bytes, self.byte_starts, k)
@@ -270,7 +286,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
                     yield pa.RecordBatch.from_arrays(columns, names=["n_tokens", "ids_sha256", "decoded_sha256", "rest", *["ids"] * ids])
                 size, at = 0, i + 1
         if len(tok.units) > KEPT:  # an idle worker keeps what it holds
-            tok.forget()
+            tok.keep(KEPT)
 
     out = own.mapInArrow(run, f"n_tokens long, ids_sha256 string, decoded_sha256 string, rest {kind}" + ", ids array<int>" * ids)
     return out.select(*[F.col("rest").getField(c).alias(c) for c in rest], "n_tokens", *["ids"] * ids, "ids_sha256", "decoded_sha256")
