@@ -112,35 +112,38 @@ class Tokenizer:
         self.ids, self.starts = _gather(self.ids, self.starts, again)
         self.bytes, self.byte_starts = _gather(self.bytes, self.byte_starts, again)
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Token ids of each piece."""
-        out: list[list[int]] = [[] for _ in pieces]
-        rest = []
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all pieces in a row, and where each piece's begin and the last's end."""
+        which, found, rest = [], [], []
         for i, p in enumerate(pieces):
             one = self.ranks.get(p)  # as the tokenizer does: a piece that is a token stays whole
             if one is not None:
-                out[i] = [one]
+                which.append(i)
+                found.append(one)
             elif len(p) > LONG_PIECE:
-                out[i] = self._by_heap(p)
+                ids = self._by_heap(p)
+                which += [i] * len(ids)
+                found += ids
             else:
                 rest.append(i)
-        table = np.array(self.byte, dtype=np.int32)
+        owner, ids = [np.array(which, dtype=np.int64)], [np.array(found, dtype=np.int32)]
+        table, index = np.array(self.byte, dtype=np.int32), np.array(rest, dtype=np.int64)
         for at in range(0, len(rest), PIECES):
             some = rest[at : at + PIECES]
             sizes = np.array([len(pieces[i]) for i in some])
-            raw = np.frombuffer(b"".join(pieces[i] for i in some), dtype=np.uint8)
+            raw = np.frombuffer(b"".join([pieces[i] for i in some]), dtype=np.uint8)
             pos = (np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
             tok = table[raw]
             nxt = np.append(tok[1:], np.int32(-1))
             nxt[np.cumsum(sizes) - 1] = -1
-            self._table("start", piece=np.repeat(np.arange(len(some), dtype=np.int32), sizes), pos=pos, tok=tok, nxt=nxt)
+            self._table("start", piece=np.repeat(np.arange(at, at + len(some), dtype=np.int32), sizes), pos=pos, tok=tok, nxt=nxt)
             got = self.con.sql(_ENCODE).to_arrow_table()
             self.con.unregister("start")
-            piece, tok = got.column(0).to_numpy(), got.column(1).to_numpy()
-            cut = np.searchsorted(piece, np.arange(len(some) + 1))
-            for k, i in enumerate(some):
-                out[i] = tok[cut[k] : cut[k + 1]].tolist()
-        return out
+            owner.append(index[got.column(0).to_numpy()])
+            ids.append(got.column(1).to_numpy())
+        who = np.concatenate(owner)
+        order = np.argsort(who, kind="stable")
+        return np.concatenate(ids)[order], np.searchsorted(who[order], np.arange(len(pieces) + 1))
 
     def _by_heap(self, piece: bytes) -> list[int]:
         """The same contraction: least rank first, of equal ranks the leftmost."""
@@ -163,17 +166,23 @@ class Tokenizer:
                     heapq.heappush(heap, (s, x, tok[x], tok[nxt[x]]))
         return [t for t, x in zip(tok, alive, strict=True) if x]
 
+    def decode_runs(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the runs ids[starts[i] : starts[i + 1]] in a row, and where each run's begin and the last's end; an empty run has none."""
+        runs = len(starts) - 1
+        self._table("ids", seq=np.repeat(np.arange(runs), np.diff(starts)), pos=np.arange(len(ids)), tok=ids)
+        got = self.con.sql(_DECODE).to_arrow_table()
+        self.con.unregister("ids")
+        parts = got.column(1).to_pylist()
+        sizes = np.zeros(runs, dtype=np.int64)
+        sizes[got.column(0).to_numpy()] = list(map(len, parts))
+        return np.frombuffer(b"".join(parts), dtype=np.uint8), np.concatenate(([0], np.cumsum(sizes)))
+
     def decode(self, ids: list[list[int]]) -> list[bytes]:
         """The bytes of each sequence of ids; an empty sequence has none."""
-        sizes = np.array([len(x) for x in ids], dtype=np.int64)
-        flat = np.fromiter((i for x in ids for i in x), dtype=np.int64, count=int(sizes.sum()))
-        self._table("ids", seq=np.repeat(np.arange(len(ids)), sizes), pos=np.arange(len(flat)), tok=flat)
-        got = self.con.execute(_DECODE).fetchall()
-        self.con.unregister("ids")
-        out = [b""] * len(ids)
-        for k, b in got:
-            out[k] = b
-        return out
+        flat = np.fromiter((i for x in ids for i in x), dtype=np.int64)
+        raw, starts = self.decode_runs(flat, np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int64))
+        raw = raw.tobytes()
+        return [raw[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
 
     def split(self, text: str) -> list[str]:
         """Units of text that the pattern never matches across.
@@ -191,23 +200,21 @@ class Tokenizer:
 
     def learn(self, new: list[str]) -> None:
         """Encode and decode units not met before, each once in new, and remember them."""
-        split = [self.pattern.findall(u) for u in new]
-        pieces = list(dict.fromkeys(p for s in split for p in s))
-        ids = dict(zip(pieces, self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in pieces]), strict=True))
-        back = dict(zip(pieces, self.decode(list(ids.values())), strict=True))
-        flat, sizes, decoded = [], [], []
-        for u, s in zip(new, split, strict=True):
-            self.units[u] = len(self.units)
-            before = len(flat)
-            for p in s:
-                flat += ids[p]
-            sizes.append(len(flat) - before)
-            decoded.append(b"".join([back[p] for p in s]))
+        split = list(map(self.pattern.findall, new))
+        flat = [p for s in split for p in s]
+        pieces = {p: i for i, p in enumerate(dict.fromkeys(flat))}
+        ids, starts = self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in pieces])
+        raw, raw_starts = self.decode_runs(ids, starts)
+        self.units.update(zip(new, range(len(self.units), len(self.units) + len(new)), strict=True))
+        k = np.array(list(map(pieces.__getitem__, flat)), dtype=np.int64)
+        ends = np.cumsum(list(map(len, split)))
+        ids, at = _gather(ids, starts, k)
+        self.starts = np.concatenate((self.starts, self.starts[-1] + at[ends]))
+        self.ids = np.concatenate((self.ids, ids.astype("<u4")))
+        raw, at = _gather(raw, raw_starts, k)
+        self.byte_starts = np.concatenate((self.byte_starts, self.byte_starts[-1] + at[ends]))
+        self.bytes = np.concatenate((self.bytes, raw))
         self.seen = np.append(self.seen, np.zeros(len(new), dtype=np.int64))
-        self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-        self.ids = np.concatenate((self.ids, np.array(flat, dtype="<u4")))
-        self.byte_starts = np.concatenate((self.byte_starts, self.byte_starts[-1] + np.cumsum(list(map(len, decoded)))))
-        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(decoded), dtype=np.uint8)))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """The ids of all texts in a row (unsigned, 32 bits), where each text's begin and end, and each text's decoded bytes; null counts as empty."""
