@@ -30,11 +30,11 @@ from .common import read
 
 LONG_PIECE = 48
 #: Units whose ids a worker remembers; beyond that it keeps those met again, half as many at most.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: Characters that are encoded together, at least one text.
 PART_CHARS = 1_500_000
 #: Units kept from one task to the next, those met most.
-KEPT = 200_000
+KEPT = 400_000
 #: Pieces that one recursive query contracts.
 PIECES = 20_000
 
