@@ -57,6 +57,34 @@ SENIORITY = r"^(?:senior|sr\.?|junior|jr\.?|lead|principal|staff|intern|internsh
 TEST_TITLE = r"^\s*test\s*\d*\s*$"
 BOILERPLATE = r"Please mention the word \*\*.*?\*\* and tag .*?\. This is a beta feature to avoid spam applican\w*\.?"
 
+# Ordered patterns of years of experience as a range, an open range and a least number; the bound on years.
+YEARS_UNIT = r"(?:years?|yrs?|a[nñ]os?|ans?|jahre?(?:n)?|سال|tahun)"
+YEARS_WORD = r"(?:experience|exp|d'exp[eé]rience|de\s+experiencia|berufserfahrung|erfahrung|سابقه|تجربه|pengalaman)"
+YEARS_LEAST = r"(?:at\s+least|minimum|min\.?|more\s+than|>|\+|al\s+menos|m[ií]nimo|minimo|au\s+moins|mindestens|mind\.?|حداقل|minimal)"
+YEARS_RANGE = rf"\b(\d{{1,2}})\s*(?:-|to|a|al|à|bis|تا|sampai)\s*(\d{{1,2}})\s*(?:\+)?\s*{YEARS_UNIT}(?:\s+(?:of\s+)?(?:relevant\s+|direct\s+)?{YEARS_WORD})?\b"
+YEARS_OPEN = rf"\b(\d{{1,2}})\s*\+\s*{YEARS_UNIT}(?:\s+(?:of\s+)?(?:relevant\s+|direct\s+)?{YEARS_WORD})?\b"
+YEARS_MIN = rf"\b(?:{YEARS_LEAST}\s*)?(\d{{1,2}})\s*(?:\+)?\s*{YEARS_UNIT}\s+(?:of\s+)?(?:relevant\s+|direct\s+)?{YEARS_WORD}\b"
+MOST_YEARS = 30
+
+# Ordered patterns of roles in titles, and of management in texts.
+ROLES = (
+    ("executive", r"\b(?:c[etfomio]o|chief\s+\w+\s+officer|vice\s+president|vp\b|managing\s+director|executive\s+director|partner|founder|director\s+general|gerente\s+general|geschäftsführer|vorstand|مدیر[\s‌]*عامل|مدیر[\s‌]*ارشد)\b"),
+    ("director", r"\b(?:director(?:\s+of)?|head\s+of|group\s+head|directeur|leiter|abteilungsleiter|bereichsleiter|مدیر[\s‌]*کل|رئیس)\b"),
+    ("manager", r"\b(?:manager|general\s+manager|supervisor|superintendent|gerente|encargado|responsable|gruppenleiter|مدیر|مسئول)\b"),
+    ("team_lead", r"\b(?:team\s+lead|tech\s+lead|lead\s+(?:engineer|developer|designer|analyst|architect|consultant)|lead|líder|chef\s+d'équipe|teamleiter|سرپرست|لید)\b"),
+    ("individual_contributor", r"\b(?:intern|junior|entry\s*level|associate|specialist|engineer|developer|analyst|consultant|coordinator|officer|staff|principal|senior|desarrollador|ingeniero|analista|especialista|stagiaire|développeur|ingénieur|\w*entwickler|\w*ingenieur|sachbearbeiter|berater|کارشناس|مهندس|توسعه[\s‌]*دهنده|برنامه[\s‌]*نویس|طراح|کارآموز)\b"),
+)
+MANAGEMENT = r"\b(?:manage\s+(?:a\s+)?team|direct\s+reports|supervise\s+(?:staff|team|employees)|leading\s+a\s+team\s+of|dirigir\s+(?:un\s+)?equipo|gestionar\s+(?:un\s+)?equipo|teamführung|führung\s+von\s+mitarbeitern|مدیریت\s+تیم|سرپرستی\s+تیم)\b"
+
+# Ordered patterns of work schedules.
+SCHEDULES = (
+    ("night_shift", r"\b(?:night\s*shift|third\s*shift|graveyard\s*shift|overnights?|turno\s+de\s+noche|nocturno|nachtschicht|travail\s+de\s+nuit|شیفت\s*شب)\b"),
+    ("weekend", r"\b(?:weekend\s*shift|weekends?\s*only|weekend\s*work|fines\s+de\s+semana|wochenendarbeit|آخر\s*هفته)\b"),
+    ("rotational", r"\b(?:rotational\s*shift|rotating\s*shift|shift\s*work|turno\s+rotativo|schichtarbeit|travail\s+posté|شیفت\s*چرخشی)\b"),
+    ("flexible", r"\b(?:flexible\s*(?:working\s*)?(?:hours|schedule)|flexitime|flextime|horario\s+flexible|gleitzeit|horaires\s+flexibles|ساعت\s*کاری\s*منعطف|ساعات\s*کاری\s*منعطف)\b"),
+    ("standard_day", r"\b(?:day\s*shift|standard\s*business\s*hours|9\s*(?:am)?\s*(?:-|to)\s*5\s*(?:pm)?|monday\s*(?:-|to)\s*friday|lunes\s+a\s+viernes|montag\s+bis\s+freitag|du\s+lundi\s+au\s+vendredi|شنبه\s+تا\s+چهارشنبه)\b"),
+)
+
 # Names of pay periods.
 PAY_PERIODS = (
     ("annual", "yearly"), ("annually", "yearly"), ("per year", "yearly"), ("per annum", "yearly"), ("year", "yearly"), ("per hour", "hourly"), ("hour", "hourly"),
@@ -91,6 +119,38 @@ def experience_level(title: Column, text: Column) -> Column:
     return F.coalesce(first_match(title, EXPERIENCE), level.otherwise("entry"), first_match(text, EXPERIENCE))
 
 
+def experience_range(text: Column) -> tuple[Column, Column]:
+    """The least and the most years of experience that the text asks for (int); null where it names none.
+
+    A range goes before an open one (5+), that before a least number; the first
+    of its kind counts, unless it is out of order or over MOST_YEARS.
+    """
+
+    def number(pattern: str, group: int) -> Column:
+        return F.regexp_extract(text, "(?iU)" + pattern, group).try_cast("int")
+
+    low, high = number(YEARS_RANGE, 1), number(YEARS_RANGE, 2)
+    both = F.coalesce((low <= high) & (high <= MOST_YEARS), F.lit(False))
+    least = F.coalesce(*[F.when(n <= MOST_YEARS, n) for n in (number(YEARS_OPEN, 1), number(YEARS_MIN, 1))])
+    return F.when(both, low).otherwise(least), F.when(both, high)
+
+
+def seniority(title: Column, text: Column) -> tuple[Column, Column]:
+    """The role that the title names, and whether it manages people (null: unknown).
+
+    A lead manages only if the text says so. A title that names no role is a
+    manager's where the text says so; an absent or empty title has no role.
+    """
+    manages, named = has(text, MANAGEMENT), first_match(title, ROLES)
+    role = F.when(F.length(title) > 0, F.coalesce(named, F.when(manages, "manager")))
+    flag = F.when(role.isin("executive", "director", "manager"), True).when((role == "team_lead") & manages, True).when(role == "individual_contributor", False)
+    return role, flag
+
+
+def work_schedule(text: Column) -> Column:
+    return first_match(text, SCHEDULES)
+
+
 def remote_type(text: Column) -> Column:
     return F.when(has(text, HYBRID), "hybrid").when(has(text, REMOTE) & has(text, REMOTE_GLOBAL), "remote_global").when(has(text, REMOTE), "remote_country").when(has(text, ON_SITE), "on_site")
 

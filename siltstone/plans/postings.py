@@ -24,11 +24,22 @@ AGES = ("3 days ago", "Posted 2 weeks ago", "1 month ago", "5 hours ago", "yeste
 TERMS = ("R", "Go", "C", "Python", "JavaScript", "Java", "Machine Learning")
 SKILLS = (("R and Go developers", "Go|R"), ("R&D manager, go getter", ""), ("python, JAVASCRIPT and java", "Java|JavaScript|Python"), ("Golang or C-level", ""), ("machine learning in Python3", "Machine Learning"), ("C, R/Go", "C"))
 
+YEARS = (("3-5 years", 3, 5), ("at least 4 years of experience", 4, None), ("7+ yrs", 7, None), ("9 to 2 years, or 6+ years", 6, None), ("40+ years", None, None), ("a team of 12", None, None), ("", None, None), ("2 bis 4 Jahre Erfahrung", 2, 4))
+ROLES = (
+    ("Chief Data Officer", "", "executive", True), ("Head of Sales", "", "director", True), ("Store manager", "", "manager", True), ("Tech Lead", "You will manage a team", "team_lead", True), ("Tech Lead", "", "team_lead", None),
+    ("Junior Analyst", "direct reports", "individual_contributor", False), ("Nurse", "supervise staff daily", "manager", True), ("Nurse", "", None, None), ("", "direct reports", None, None),
+)
+SCHEDULES = (("Rotating shift, weekend work", "weekend"), ("Night shift or day shift", "night_shift"), ("shift work", "rotational"), ("Flexible hours", "flexible"), ("9am to 5pm", "standard_day"), ("Monday - Friday", "standard_day"), ("whenever", None), ("", None))
+
 
 def _of(items: tuple[str, ...], key: str) -> Column:
     return F.element_at(F.array(*map(F.lit, items)), (F.col(key) % len(items) + 1).cast("int"))
 
 
+def _column(rows: tuple[tuple, ...], k: int) -> tuple:
+    return tuple(r[k] for r in rows)
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"))
 
@@ -58,6 +69,9 @@ FUNCTIONS = {
     "fn_clean_title": lambda: [p.clean_title(title()).alias("cleaned")],
     "fn_core_title": lambda: [p.core_title(p.clean_title(title())).alias("core")],
     "flt_non_job": lambda: [p.is_non_job(title(), text()).alias("non_job")],
+    "fn_experience_years": lambda: [c.alias(n) for c, n in zip(p.experience_range(_of(_column(YEARS, 0), "o_orderkey")), ("years_min", "years_max"), strict=True)],
+    "fn_seniority": lambda: [c.alias(n) for c, n in zip(p.seniority(_of(_column(ROLES, 0), "o_orderkey"), _of(_column(ROLES, 1), "o_orderkey")), ("role", "managerial"), strict=True)],
+    "fn_schedule": lambda: [p.work_schedule(_of(_column(SCHEDULES, 0), "o_orderkey")).alias("schedule")],
     "fn_pay_period": lambda: [p.pay_period(_of(PERIODS, "o_orderkey")).alias("period")],
     "fn_salary_eu_amount": lambda: [p.european_amount(_of(AMOUNTS, "o_orderkey")).alias("amount")],
     "fn_relative_date": lambda: [p.relative_day(_of(AGES, "o_orderkey"), F.lit("2024-03-31").cast("date")).alias("day")],
@@ -121,6 +135,12 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _value(items, kind: str) -> str:
+    """The item of a row's key as SQL; None is null."""
+    shown = ["NULL" if x is None else _quoted(x) if isinstance(x, str) else str(x) for x in items]
+    return f"([{', '.join(shown)}][o_orderkey % {len(items)} + 1])::{kind}"
+
+
 def _item(items, key: str = "o_orderkey") -> str:
     return f"[{', '.join(map(_quoted, items))}][{key} % {len(items)} + 1]"
 
@@ -151,6 +171,9 @@ def oracle_sql() -> dict[str, str]:
         "fn_clean_title": f"SELECT o_orderkey, {cleaned} AS cleaned FROM {t}",
         "fn_core_title": f"SELECT o_orderkey, trim(regexp_replace({cleaned}, {_quoted(p.SENIORITY)}, '', 'i')) AS core FROM {t}",
         "flt_non_job": f"SELECT o_orderkey, t = 'test 12' OR length(x) < 15 AS non_job FROM {t}",
+        "fn_experience_years": f"SELECT o_orderkey, {_value(_column(YEARS, 1), 'INTEGER')} AS years_min, {_value(_column(YEARS, 2), 'INTEGER')} AS years_max FROM orders",
+        "fn_seniority": f"SELECT o_orderkey, {_value(_column(ROLES, 2), 'VARCHAR')} AS role, {_value(_column(ROLES, 3), 'BOOLEAN')} AS managerial FROM orders",
+        "fn_schedule": f"SELECT o_orderkey, {_value(_column(SCHEDULES, 1), 'VARCHAR')} AS schedule FROM orders",
         "fn_pay_period": "SELECT o_orderkey, ['yearly', 'hourly', 'monthly', 'yearly', NULL, 'daily', NULL][o_orderkey % 7 + 1] AS period FROM orders",
         "fn_salary_eu_amount": "SELECT o_orderkey, [12345.67, 12345.67, 21000, 16261.86, 15, NULL, NULL, 1234567, NULL, 30000][o_orderkey % 10 + 1]::DOUBLE AS amount FROM orders",
         "fn_relative_date": "SELECT o_orderkey, [DATE '2024-03-28', DATE '2024-03-17', DATE '2024-03-01', DATE '2024-03-31', NULL, DATE '2023-04-01'][o_orderkey % 6 + 1] AS day FROM orders",

@@ -24,6 +24,20 @@ def test_stance_looks_for_it_first(spark):
     assert _one(spark, "", lambda x: p.stance(x, p.VISA)) is None
 
 
+def test_years_roles_and_schedules(spark):
+    def years(x):
+        return _one(spark, x, lambda c: F.struct(*p.experience_range(c)))
+
+    for given, want in (("از 3 تا 5 سال سابقه", (3, 5)), ("minimum 2 years relevant experience", (2, None)), ("31+ years, 4 years of experience", (4, None)), ("5 - 45 years", (None, None)), ("", (None, None)), (None, (None, None))):
+        assert tuple(years(given)) == want
+    role = lambda title, text: tuple(spark.createDataFrame([(title, text)], "a string, b string").select(*p.seniority(F.col("a"), F.col("b"))).first())
+    assert role("Geschäftsführer", None) == ("executive", True)
+    assert role("Softwareentwickler", "führung von mitarbeitern") == ("individual_contributor", False)
+    assert role(None, "direct reports") == role("", "direct reports") == role("Nurse", None) == (None, None)
+    assert _one(spark, "Gleitzeit", p.work_schedule) == "flexible"
+    assert _one(spark, None, p.work_schedule) is None
+
+
 def test_amounts_and_titles(spark):
     for given, want in (("1.234,5 €", 1234.5), ("21,000", 21000.0), ("16261,86", 16261.86), ("0", None), ("", None), (None, None), ("1,2,3.4", 123.4)):
         assert _one(spark, given, p.european_amount) == want
