@@ -1,6 +1,7 @@
 """The training-data operators: oracle, brute force, exact round trips, held-out accuracy, and odd rows."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -109,6 +110,30 @@ def test_permutation(n):
     assert sorted(mixing.permuted(np.arange(n), np.full(n, n), np.full(n, 77)).tolist()) == list(range(n))
 
 
+def test_bpe_forgets_without_changing_ids(monkeypatch):
+    import tiktoken
+
+    path, pattern = bpe._vocabulary()
+    tok = bpe.Tokenizer(path, pattern)
+    library = tiktoken.Encoding("test", pat_str=pattern, mergeable_ranks=tok.ranks, special_tokens={})
+    monkeypatch.setattr(bpe, "REMEMBERED", 12)
+    rng = random.Random(7)
+    words = ["the", "Zxqyvörld", "naïve!!", "%%%abc", "straßenbahnhaltestelle", "12345", "ß", "x" * 60] + ["".join(rng.choices("abcdeéß", k=rng.randint(1, 14))) for _ in range(300)]
+    forgot = 0
+    for k in range(60):
+        texts = ["", None, *[" ".join(rng.choices(words[: 8 + 5 * k], k=rng.randint(1, 8))) for _ in range(3)], "the\nthe"]
+        before = len(tok.units)
+        ids, bounds, back = tok.encode(texts)
+        forgot += len(tok.units) < before
+        if k % 7 == 0:
+            tok.keep(k % 3)  # as between tasks; 0 forgets all
+            assert len(tok.units) == len(tok.seen) == len(tok.starts) - 1 == len(tok.byte_starts) - 1 <= k % 3
+        for i, t in enumerate(texts):
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == library.encode_ordinary(t or "")
+            assert back[i] == (t or "").encode()
+    assert forgot > 5
+
+
 def test_bpe_round_trip_and_library(spark):
     import tiktoken
 
