@@ -1,9 +1,9 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
-Candidates are grouped by length into buckets, longest first. For a query with
-a running k-th best score theta, a bucket's local cosine threshold is theta
-over the product of the query's and the bucket's greatest length. Above 1 the
-bucket, and all after it, end the search. A high threshold prunes by
+Candidates are written in order of length and grouped into buckets, each sorted
+longest first; buckets come in any order. For a query with a running k-th best
+score theta, a bucket's local cosine threshold is theta over the product of the
+query's and the bucket's greatest length. Above 1 the bucket is passed over. A high threshold prunes by
 coordinates: a vector that reaches it lies, in the query's largest coordinate,
 within a cap around the query. A low one prunes by length, taking the bucket's
 vectors down to theta over the query's length. What is left is multiplied out.
@@ -153,6 +153,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, vec_id: str = "vec
             q, ids, q_norm, floor = sent.value
             best = Best(ids, k, floor)
             for pdf in batches:
+                # a read partition can hold several files in any order: what comes is not in order of length
+                pdf = pdf.sort_values("norm", ascending=False, kind="stable")
                 for at in range(0, len(pdf), BUCKET):
                     part = pdf.iloc[at : at + BUCKET]
                     rows = part["v"].tolist()

@@ -181,6 +181,31 @@ def test_topk_ties_and_odd_vectors(spark):
     assert topk.top_k(d.limit(0), d.limit(0)).count() == 0
 
 
+def test_topk_brute_force_over_files_read_together(spark):
+    rng = np.random.default_rng(11)
+    v = rng.standard_normal((3000, 8)) * np.exp(rng.uniform(-4, 4, 3000))[:, None]
+    v[rng.integers(0, 3000, 600)] = v[np.argsort(-np.linalg.norm(v, axis=1))[rng.integers(0, 30, 600)]]  # groups of copies
+    d = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(rng.permutation(3000), v, strict=True)], "vec_id long, embedding array<double>")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.openCostInBytes", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 24)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1 << 20)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {}
+        for r in topk.top_k(d, d.where("vec_id % 20 = 0")).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    finally:
+        for k, x in kept.items():
+            spark.conf.set(k, x)
+    at = {r["vec_id"]: np.floor(np.array(r["embedding"]) * 256).astype(np.int64) for r in d.collect()}
+    ids = np.array(sorted(at))
+    every = np.stack([at[i] for i in ids.tolist()])
+    for q in range(0, 3000, 20):
+        s = every @ at[q]
+        best = [j for j in np.lexsort((ids, -s)) if ids[j] != q][: topk.K]
+        assert got[q] == [(int(ids[j]), int(s[j])) for j in best]
+
+
 def test_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(10)] + [(None, 1, 1), (3, None, None)], LABELS)
     for docs, n in ((odd, len(ODD)), (empty, 0)):
