@@ -2,8 +2,9 @@
 
 Counts of 4-grams of characters are taken over all documents that may be learnt
 from and summed by Spark. A language's highest order uses them, lower orders the
-numbers of different characters before an n-gram. All languages' n-grams of an
-order share one sorted array of 64-bit hashes; beside it stand each language's
+numbers of different characters before an n-gram. Totals, continuation counts and
+probabilities are taken in Spark over all n-grams, of which every one is kept.
+All languages' n-grams of an order share one sorted array of 64-bit hashes; beside it stand each language's
 log probabilities, backed off already where that language lacks the n-gram, so
 one binary search serves all. The language of least cross-entropy per character
 wins; beyond a threshold calibrated on the languages' own texts it is rejected.
@@ -14,16 +15,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc_mod, materialize, read
 
 ORDER, DISCOUNT = 4, 0.75
-#: n-grams that a language's model keeps, the most frequent first: the bound of what is sent to the tasks.
-MAX_NGRAMS = 300_000
 #: Texts for the calibration of rejection and confidence, per language.
 CALIBRATION_ROWS = 500
 START = 1
@@ -31,6 +29,9 @@ _M = 0x9E3779B97F4A7C15
 _CHUNK = 1_000_000
 #: Leading bits of a hash that the directory of a sorted array is kept by.
 _BITS = 20
+_SYMBOL = (1 << 21) - 1
+#: Of a model's arrays, what is fetched to the driver at once.
+_SLICE_BYTES = 1 << 26
 
 _letters: list[np.ndarray] = []
 
@@ -120,7 +121,7 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
 @dataclass
 class Model:
     langs: list[str]
-    #: by order 1..4: sorted hashes, and log probabilities (n-grams by languages)
+    #: by order 1..4: sorted hashes; by order 1..3: log probabilities (n-grams by languages)
     keys: list[np.ndarray]
     logp: list[np.ndarray]
     #: by context length 1..3: sorted hashes, and log back-off weights, with a row of zeros last for contexts never met
@@ -130,6 +131,7 @@ class Model:
     reject: np.ndarray
     sharp: float = 8.0
     directory: list | None = None
+    #: of order 4: each language's log probabilities, with a zero last
     columns: list | None = None
 
     def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -158,9 +160,8 @@ class Model:
         return out, letters
 
     def prepare(self) -> None:
-        """What lookups need besides the sorted arrays: a directory by the hashes' leading bits, and the top order by language."""
+        """What lookups need besides the sorted arrays: a directory by the hashes' leading bits."""
         self.directory = [np.searchsorted(k, np.arange(1 << _BITS, dtype=np.uint64) << np.uint64(64 - _BITS)).astype(np.int32) for k in self.keys]
-        self.columns = [np.append(self.logp[-1][:, k], np.float32(0)) for k in range(len(self.langs))]
 
     def _locate(self, order: int, h: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The row of each hash, the number of rows where there is none; and the indices of the wanted ones without."""
@@ -205,75 +206,84 @@ class Model:
         return lp
 
 
-def _find(keys: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return np.searchsorted(keys, h)
+def _hashed(rows: DataFrame, size: int) -> DataFrame:
+    """h, and the logs of each language's value. rows: a (size symbols, packed), b if the n-gram has one more, and the values."""
+    last = int("b" in rows.columns)
+    names = rows.columns[1 + last :]
 
-
-def build(counts: pd.DataFrame) -> Model | None:
-    """counts: lang, a, b, n. The model of all languages; None without any n-gram."""
-    if not len(counts):
+    def run(batches):
+        for x in batches:
+            a = x.column(0).to_numpy()
+            grams = [(a >> (21 * k)) & _SYMBOL for k in range(size - 1, -1, -1)] + [x.column(1).to_numpy()] * last
+            logs = [pa.array(np.log(x.column(k).to_numpy()).astype(np.float32)) for k in range(1 + last, x.num_columns)]
+            yield pa.RecordBatch.from_arrays([pa.array(_hash_rows(np.column_stack(grams)).view(np.int64)), *logs], names=["h", *names])
+
+    return rows.mapInArrow(run, ", ".join(["h long", *(f"{x} float" for x in names)]))
+
+
+def _gather(rows: DataFrame, size: int, most: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """_hashed() of at most `most` rows as arrays sorted by hash, fetched in slices by the hash's leading bits, so that the JVM never holds all at once."""
+    hashed = _hashed(rows, size)
+    bits = (most * (8 + 4 * (len(hashed.columns) - 1)) // _SLICE_BYTES).bit_length()
+    if bits:
+        hashed = materialize(hashed, "langid-hashes")
+    keys, values = [], []
+    for k in range(1 << bits):
+        t = (hashed.where(F.shiftrightunsigned("h", 64 - bits) == k) if bits else hashed).toArrow()
+        h = t.column(0).to_numpy().view(np.uint64)
+        o = np.argsort(h)
+        keys.append(h[o])
+        values.append([c.to_numpy()[o] for c in t.columns[1:]])
+    return np.concatenate(keys), [np.concatenate(v) for v in zip(*values, strict=True)]
+
+
+def build(counts: DataFrame) -> Model | None:
+    """counts: lang, a, b, n. The model of all languages and all their n-grams, taken in Spark; None without any n-gram."""
+    by, most = {ORDER: counts}, counts.count()  # no table below has more rows
+    # of few rows, many partitions cost more than they save; a task's rows stay bounded
+    tasks = max(8, most >> 17)
+    for order in range(ORDER - 1, 0, -1):  # in how many different symbols' company an n-gram follows
+        suffix = F.col("a").bitwiseAND(F.lit((1 << 21 * (order - 1)) - 1).cast("long"))
+        by[order] = materialize(by[order + 1].groupBy("lang", suffix.alias("a"), "b").agg(F.count(F.lit(1)).alias("n")).coalesce(tasks), f"langid-counts-{order}")
+    first = {r["lang"]: (r["total"], r["kinds"]) for r in by[1].groupBy("lang").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).collect()}
+    if not first:
         return None
-    langs = sorted(counts["lang"].unique())
-    mask = (1 << 21) - 1
-    per: list[dict[int, tuple[np.ndarray, np.ndarray]]] = []
-    for lang in langs:
-        own = counts[counts["lang"] == lang]
-        a, b = own["a"].to_numpy(), own["b"].to_numpy()
-        grams, n = np.column_stack((a >> 42, (a >> 21) & mask, a & mask, b)), own["n"].to_numpy().astype(np.float64)
-        by = {4: (grams, n)}
-        for order in (3, 2, 1):  # in how many different symbols' company an n-gram follows
-            rows, k = np.unique(by[order + 1][0][:, 1:], axis=0, return_counts=True)
-            by[order] = (rows, k.astype(np.float64))
-        per.append(by)
-    width = max(int(by[1][0].shape[0]) for by in per) + 1
+    langs = sorted(first)
+    base = 1.0 / (max(kinds for _, kinds in first.values()) + 1 + 256)  # room for symbols never met
+    floor = [DISCOUNT * first[x][1] / first[x][0] * base for x in langs]
+    js = range(len(langs))
+
+    def per(use, value: Column, name: str) -> list[Column]:
+        return [use(F.when(F.col("lang") == x, value)).alias(f"{name}{j}") for j, x in enumerate(langs)]
+
     keys, logp, ctx, back = [], [], [], []
-    base = np.full(len(langs), 1.0 / (width + 256))  # room for symbols never met
-    below: tuple[np.ndarray, np.ndarray] | None = None
+    below = None
     for order in range(1, ORDER + 1):
-        every = np.unique(np.concatenate([by[order][0] for by in per]), axis=0)
-        h = _hash_rows(every)
-        o = np.argsort(h)
-        every, h = every[o], h[o]
-        p = np.zeros((len(every), len(langs)))
-        if order > 1:
-            contexts = np.unique(every[:, :-1], axis=0)
-            ch = _hash_rows(contexts)
-            contexts = contexts[np.argsort(ch)]
-            ch = np.sort(ch)
-            gamma = np.ones((len(ch) + 1, len(langs)))
-        for k, by in enumerate(per):
-            rows, n = by[order]
-            at = _find(h, _hash_rows(rows))
-            if order == 1:
-                total = n.sum()
-                p[:, k] = DISCOUNT * len(n) / total * base[k]
-                p[at, k] += (n - DISCOUNT) / total
-                continue
-            c = _find(ch, _hash_rows(rows[:, :-1]))
-            total, kinds = np.bincount(c, n, len(ch)), np.bincount(c, minlength=len(ch))
-            with np.errstate(invalid="ignore", divide="ignore"):
-                gamma[:-1, k] = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1e-9), 1.0)
-            p[at, k] = np.maximum(n - DISCOUNT, 0) / total[c]
-        if order > 1:
-            all_c, low = _find(ch, _hash_rows(every[:, :-1])), _find(below[0], _hash_rows(every[:, 1:]))
-            p += gamma[all_c] * below[1][low]
+        grams = by[order].groupBy("a", "b").agg(*per(F.sum, F.col("n"), "n"))
+        if order == 1:
+            p = [F.coalesce((F.col(f"n{j}") - DISCOUNT) / first[langs[j]][0], F.lit(0.0)) + F.lit(floor[j]) for j in js]
+        else:
+            sums = by[order].groupBy("a").agg(*per(F.sum, F.col("n"), "t"), *per(F.count, F.lit(1), "k"))
+            gamma = [F.when(F.col(f"t{j}") > 0, F.lit(DISCOUNT) * F.col(f"k{j}") / F.col(f"t{j}")).otherwise(1.0).alias(f"g{j}") for j in js]
+            contexts = materialize(sums.select("a", *gamma, *[f"t{j}" for j in js]).coalesce(tasks), f"langid-contexts-{order}")
+            ch, weights = _gather(contexts.select("a", *[f"g{j}" for j in js]), order - 1, most)
             ctx.append(ch)
-            back.append(np.log(gamma))
-        below = (h, p)
+            back.append(np.append(np.column_stack(weights), np.zeros((1, len(langs)), dtype=np.float32), axis=0))
+            low = below.select(F.col("a").alias("low_a"), F.col("b").alias("low_b"), *[F.col(f"p{j}").alias(f"l{j}") for j in js])
+            suffix = F.col("a").bitwiseAND(F.lit((1 << 21 * (order - 2)) - 1).cast("long"))
+            grams = grams.join(contexts, "a").join(low, (suffix == F.col("low_a")) & (F.col("b") == F.col("low_b")))
+            p = [F.when(F.col(f"n{j}") > 0, F.greatest(F.col(f"n{j}") - DISCOUNT, F.lit(0.0)) / F.col(f"t{j}")).otherwise(0.0) + F.col(f"g{j}") * F.col(f"l{j}") for j in js]
+        below = materialize(grams.select("a", "b", *[x.alias(f"p{j}") for j, x in enumerate(p)]).coalesce(tasks), f"langid-model-{order}")
+        h, logs = _gather(below, order - 1, most)
         keys.append(h)
-        logp.append(np.log(p))
-    n1 = [by[1][1] for by in per]
-    floor = np.log([DISCOUNT * len(n) / n.sum() * base[k] for k, n in enumerate(n1)])
-    return Model(langs, keys, [x.astype(np.float32) for x in logp], ctx, [x.astype(np.float32) for x in back], floor, np.full(len(langs), np.inf))
+        logp.append(np.column_stack(logs) if order < ORDER else None)
+    return Model(langs, keys, logp[:-1], ctx, back, np.log(floor), np.full(len(langs), np.inf), columns=[np.append(x, np.float32(0)) for x in logs])
 
 
-def learn(docs: DataFrame, lang: str = "lang", text: str = "text", max_ngrams: int = MAX_NGRAMS) -> Model | None:
-    """A model of each non-null lang of docs. Counts cover every document; a language keeps its max_ngrams most frequent n-grams."""
+def learn(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model | None:
+    """A model of each non-null lang of docs. Counts cover every document, and every n-gram is kept."""
     own = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.col("doc_id"))
-    counts = materialize(ngram_counts(own), "langid-counts")
-    kinds = [r["lang"] for r in counts.groupBy("lang").count().collect()]
-    kept = [counts.where(F.col("lang") == x).orderBy(F.desc("n"), "a", "b").limit(max_ngrams).toPandas() for x in sorted(kinds)]
-    model = build(pd.concat(kept) if kept else pd.DataFrame({"lang": []}))
+    model = build(materialize(ngram_counts(own), "langid-counts"))
     if model is None:
         return None
     model.prepare()
@@ -287,7 +297,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", max_ngrams: i
     for j in range(len(model.langs)):
         mine = own_e[(k == j) & (n > 0)]
         model.reject[j] = np.quantile(mine, 0.999) + 4 * mine.std() if len(mine) else np.inf
-    model.directory = model.columns = None  # made again where they are needed: cheaper than sending them
+    model.directory = None  # made again where it is needed: cheaper than sending it
     return model
 
 
@@ -301,7 +311,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     new = ("lang_pred", "score", "entropy", "rejected")
     rest = [c for c in docs.columns if c not in (text, *new)]
     own = docs.select(F.col(text).cast("string").alias("t"), F.struct(F.lit(0).alias("__none"), *rest).alias("rest"))
-    # bounded: MAX_NGRAMS rows a language
+    # 8 bytes, and 4 for each language, an n-gram
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -166,6 +166,44 @@ def test_language_held_out(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) >= 0.98
 
 
+def test_language_model_keeps_every_ngram(spark, monkeypatch):
+    from collections import Counter
+
+    rng = np.random.default_rng(2)
+    texts = {"zh": ["".join(map(chr, rng.integers(0x4E00, 0x9000, 330_000)))], "en": ["the cat sat on the mat", "a cat and the hat"]}
+    by = {}
+    for lang, own in texts.items():
+        c = langid.symbols(own)[0].tolist()
+        n = {4: Counter(tuple(c[i - 3 : i + 1]) for i in range(3, len(c)) if c[i] != langid.START)}
+        for k in (3, 2, 1):
+            n[k] = Counter(g[1:] for g in n[k + 1])
+        total, kinds = Counter(), Counter()
+        for k in n:
+            for g, m in n[k].items():
+                total[g[:-1]] += m
+                kinds[g[:-1]] += 1
+        by[lang] = n, total, kinds
+    base = 1 / (max(len(n[1]) for n, _, _ in by.values()) + 257)
+
+    def p(lang, g):
+        n, total, kinds = by[lang]
+        low = p(lang, g[1:]) if len(g) > 1 else base
+        t = total[g[:-1]]
+        return max(n[len(g)][g] - langid.DISCOUNT, 0) / t + langid.DISCOUNT * kinds[g[:-1]] / t * low if t else low
+
+    monkeypatch.setattr(langid, "_SLICE_BYTES", 1 << 22, raising=False)  # fetched in several slices
+    d = spark.createDataFrame([(i, lang, t) for lang, own in texts.items() for i, t in enumerate(own)], "doc_id long, lang string, text string")
+    model = langid.learn(d)
+    model.prepare()
+    assert len(model.keys[3]) == len(by["zh"][0][4].keys() | by["en"][0][4].keys()) > 320_000
+    asked = [texts["zh"][0][:60], texts["zh"][0][-60:], "the hat sat", "日本ö xx", texts["zh"][0][50:20_000:777]]
+    e, _ = model.entropies(asked)
+    for t, mine in zip(asked, e, strict=True):
+        c = langid.symbols([t])[0].tolist()
+        for lang, got in zip(model.langs, mine, strict=True):
+            assert got == pytest.approx(-np.mean([np.log(p(lang, tuple(c[i - 3 : i + 1]))) for i in range(3, len(c))]), rel=1e-4)
+
+
 def test_chat_escapes_and_order(spark):
     d = spark.createDataFrame([(1, 0, "user", chat.PROBE), (1, 1, "assistant", "<#\\ </turn>\n"), (2, 0, "assistant", None), (None, None, None, ""), (3, 0, "us:er", "x")], "conv_id long, turn long, role string, text string")
     rows = {r["conv_id"]: r for r in chat.read_back(chat.chat_segments(d)).collect()}
