@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import crc_mod, materialize, read
 
 ORDER, DISCOUNT = 4, 0.75
-#: Texts for the calibration of rejection and confidence, per language.
+#: Texts for the calibration of rejection, per language.
 CALIBRATION_ROWS = 500
 START = 1
 _M = 0x9E3779B97F4A7C15
@@ -129,6 +129,7 @@ class Model:
     back: list[np.ndarray]
     floor: np.ndarray
     reject: np.ndarray
+    #: set, not fitted: how fast the winner's share grows with its lead in nats per symbol
     sharp: float = 8.0
     directory: list | None = None
     #: of order 4: each language's log probabilities, with a zero last
@@ -340,4 +341,4 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = learn(docs.where(crc_mod(F.col("doc_id"), 5) != 0))
-    return predict(docs.select("doc_id", "text"), model).select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+    return predict(docs.select("doc_id", "text"), model).select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")

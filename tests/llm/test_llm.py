@@ -204,6 +204,15 @@ def test_language_model_keeps_every_ngram(spark, monkeypatch):
             assert got == pytest.approx(-np.mean([np.log(p(lang, tuple(c[i - 3 : i + 1]))) for i in range(3, len(c))]), rel=1e-4)
 
 
+def test_language_never_learnt_is_rejected(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    foreign = ["Съешь ещё этих мягких французских булок, да выпей чаю.", "いろはにほへと ちりぬるを わかよたれそ つねならむ"]
+    docs.unionByName(spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(foreign)], docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r["rejected"] for r in registry.queries()["op8_langid"](spark, str(tmp_path)).collect()}
+    assert rows[-1] and rows[-2]
+    assert np.mean([x for i, x in rows.items() if i >= 0]) < 0.1
+
+
 def test_chat_escapes_and_order(spark):
     d = spark.createDataFrame([(1, 0, "user", chat.PROBE), (1, 1, "assistant", "<#\\ </turn>\n"), (2, 0, "assistant", None), (None, None, None, ""), (3, 0, "us:er", "x")], "conv_id long, turn long, role string, text string")
     rows = {r["conv_id"]: r for r in chat.read_back(chat.chat_segments(d)).collect()}
