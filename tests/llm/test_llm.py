@@ -228,18 +228,24 @@ def test_topk_ties_and_odd_vectors(spark):
     assert topk.top_k(d.limit(0), d.limit(0)).count() == 0
 
 
-def test_topk_brute_force_over_files_read_together(spark):
+@pytest.mark.parametrize("sigma", [0.0, 0.3, 1.0, 2.0])
+def test_topk_brute_force_over_length_spreads(spark, tmp_path, monkeypatch, sigma):
+    """Several files, lengths spread by a log-normal, groups of copies, negative products, more blocks than one, extra columns."""
+    monkeypatch.setattr(topk, "BUCKET_BYTES", 2048)
     rng = np.random.default_rng(11)
-    v = rng.standard_normal((3000, 8)) * np.exp(rng.uniform(-4, 4, 3000))[:, None]
-    v[rng.integers(0, 3000, 600)] = v[np.argsort(-np.linalg.norm(v, axis=1))[rng.integers(0, 30, 600)]]  # groups of copies
-    d = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(rng.permutation(3000), v, strict=True)], "vec_id long, embedding array<double>")
-    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.openCostInBytes", "spark.sql.adaptive.coalescePartitions.enabled")}
+    v = rng.standard_normal((3000, 8))
+    v *= np.exp(sigma * rng.standard_normal(3000))[:, None] / (np.linalg.norm(v, axis=1)[:, None] if not sigma else 1)
+    v[rng.integers(0, 3000, 600)] = v[np.argsort(-np.linalg.norm(v, axis=1))[rng.integers(0, 30, 600)]]
+    v[:40] = -np.abs(v[:40])
+    d = spark.createDataFrame([(int(i), x.tolist(), 0, "x") for i, x in zip(rng.permutation(3000), v, strict=True)], "vec_id long, embedding array<double>, score int, block string")
+    d.repartition(7).write.parquet(f"{tmp_path}/v")
+    d = spark.read.parquet(f"{tmp_path}/v")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.openCostInBytes")}
     try:
-        spark.conf.set("spark.sql.shuffle.partitions", 24)
+        spark.conf.set("spark.sql.shuffle.partitions", 9)
         spark.conf.set("spark.sql.files.openCostInBytes", 1 << 20)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         got = {}
-        for r in topk.top_k(d, d.where("vec_id % 20 = 0")).orderBy("query_id", "rank").collect():
+        for r in topk.top_k(d, d.where("vec_id % 20 = 0"), query_block=40).orderBy("query_id", "rank").collect():
             got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
     finally:
         for k, x in kept.items():
