@@ -1,24 +1,28 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-A run is a Parquet table of (h1, h2, n_docs, last_doc): 128 hash bits of a line,
-in how many documents it was found, and the largest of their ids, sorted by
-hash. Each batch of documents adds one run at level 0. FANOUT runs of a level
-are merged into one of the next, so a line is rewritten once a level. A batch
-meets the runs in a merge anti-join on the hash: what it leaves has not been
-seen before.
+A run is a bucketed table of (h1, h2, n_docs, last_doc), sorted by hash: 128
+hash bits of a line, in how many documents of its batch it was found, and the
+largest of their ids. Each batch of documents meets the runs in merge
+anti-joins: lines that no run holds become the batch's own run at level 0, the
+others are noted as increments. FANOUT runs of a level are merged into one of
+the next, so a line is rewritten once a level. Runs and increments give in how
+many documents a line is, and which document keeps it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, read, remove, shuffles
+from .common import materialize, new_path, read, remove, shuffles
 
-MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 2
+MIN_CHARS, MIN_DOCS, FANOUT = 40, 5, 2
+#: In how many batches a corpus comes that is all there from the start. A batch is as distributed as the whole: more of them cost runs, and save no memory.
+BATCHES = 4
 _STRIP = " \t\n\x0b\x0c\r"
 _LOWER = {i: i + 32 for i in range(65, 91)}
 #: Stands for a null id: below every id, so never the one that keeps a line unless all ids are null.
@@ -42,57 +46,84 @@ def _halves(digests: list[bytes]) -> list[pa.Array]:
 
 
 class LineRuns:
-    """The levelled runs of one corpus, in the shared folder."""
+    """The levelled runs of one corpus: bucketed, sorted tables in the shared folder, so that joins between them merge without a shuffle."""
 
-    SCHEMA = "h1 long, h2 long, n_docs long, last_doc long"
+    KEYS = ("h1", "h2")
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark, self.fanout, self.levels = spark, fanout, []
+    def __init__(self, spark: SparkSession, buckets: int, fanout: int = FANOUT):
+        self.spark, self.buckets, self.fanout = spark, buckets, fanout
+        self.levels: list[list[str]] = []
+        self.increments: list[str] = []
 
     def _write(self, lines: DataFrame) -> str:
         path = new_path(self.spark, "line-run")
-        lines.repartition(shuffles(lines), "h1", "h2").sortWithinPartitions("h1", "h2").write.parquet(path)
-        return path
+        name = f"line_run_{path.rsplit('-', 1)[1]}"
+        rows = lines.repartition(self.buckets, *self.KEYS)
+        rows.write.bucketBy(self.buckets, *self.KEYS).sortBy(*self.KEYS).option("path", path).format("parquet").saveAsTable(name)
+        return name
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema(self.SCHEMA).parquet(*paths)
+    def _drop(self, *names: str) -> None:
+        for name in names:
+            path = self.spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+            self.spark.sql(f"DROP TABLE {name}")
+            remove(self.spark, path)
 
-    @staticmethod
-    def _sum(lines: DataFrame) -> DataFrame:
-        return lines.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+    def _read(self, *names: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, map(self.spark.table, names))
+
+    def runs(self) -> list[str]:
+        return [name for level in self.levels for name in level]
+
+    @classmethod
+    def _sum(cls, lines: DataFrame) -> DataFrame:
+        return lines.groupBy(*cls.KEYS).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
 
     def unseen(self, batch: DataFrame) -> DataFrame:
-        """The rows of batch (h1, h2, ...) whose line no run holds."""
-        for path in (p for level in self.levels for p in level):
-            batch = batch.join(self._read([path]), ["h1", "h2"], "left_anti")
+        """The rows of batch (h1, h2, ...) whose line no run holds: one merge anti-join a run."""
+        for name in self.runs():
+            batch = batch.join(self.spark.table(name).select(*self.KEYS).hint("merge"), list(self.KEYS), "left_anti")
         return batch
 
     def add(self, batch: DataFrame) -> None:
-        """batch: (doc, h1, h2), each line once for a document."""
-        own = self._sum(batch.select("h1", "h2", F.lit(1).cast("long").alias("n_docs"), F.col("doc").alias("last_doc")))
-        self._put(0, self._write(own))
-
-    def _put(self, level: int, path: str) -> None:
+        """batch: (doc, h1, h2), each line once for a document.
+
+        Lines that no run holds become the batch's own run; of the others the
+        documents are noted as increments. So every line is in one run.
+        """
+        own = self._write(self._sum(batch.select(*self.KEYS, F.lit(1).cast("long").alias("n_docs"), F.col("doc").alias("last_doc"))))
+        if not self.runs():
+            self._put(0, own)
+            return
+        rows = self.spark.table(own)
+        fresh = self._write(self.unseen(rows))
+        self.increments.append(self._write(rows.join(self.spark.table(fresh).select(*self.KEYS).hint("merge"), list(self.KEYS), "left_anti")))
+        self._drop(own)
+        self._put(0, fresh)
+
+    def _put(self, level: int, name: str) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(path)
+        self.levels[level].append(name)
         if len(self.levels[level]) >= self.fanout:
             old, self.levels[level] = self.levels[level], []
-            merged = self._write(self._sum(self._read(old)))
-            for p in old:
-                remove(self.spark, p)
+            merged = self._write(self._read(*old))
+            self._drop(*old)
             self._put(level + 1, merged)
 
-    def compact(self) -> DataFrame | None:
-        """All runs as one; None if there is none."""
-        paths = [p for level in self.levels for p in level]
-        if len(paths) > 1:
-            merged = self._write(self._sum(self._read(paths)))
-            for p in paths:
-                remove(self.spark, p)
-            self.levels = [[], [merged]]
-            paths = [merged]
-        return self._read(paths) if paths else None
+    def totals(self) -> DataFrame | None:
+        """(h1, h2, n_docs, last_doc) of every line; None before the first batch."""
+        if not self.runs():
+            return None
+        known = self._read(*self.runs())
+        if not self.increments:
+            return known
+        more = self._sum(self._read(*self.increments)).select(*self.KEYS, F.col("n_docs").alias("more"), F.col("last_doc").alias("later"))
+        both = known.join(more.hint("merge"), list(self.KEYS), "left")
+        return both.select(*self.KEYS, (F.col("n_docs") + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("last_doc", "later").alias("last_doc"))
+
+    def close(self) -> None:
+        self._drop(*self.runs(), *self.increments)
+        self.levels, self.increments = [], []
 
 
 def stage_lines(docs: DataFrame, text: str, doc_id: str, min_chars: int) -> DataFrame:
@@ -112,19 +143,32 @@ def stage_lines(docs: DataFrame, text: str, doc_id: str, min_chars: int) -> Data
 
 
 def drops(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
-    """(doc, lines): the digests of the lines that a document loses; documents that lose none are absent."""
+    """(doc, lines): the digests of the lines that a document loses; documents that lose none are absent.
+
+    Lines in more documents than a task's mean share of all occurrences are at
+    most as many as tasks, so these few are broadcast and never shuffled; all
+    others meet their documents by key.
+    """
     spark = docs.sparkSession
+    n = shuffles(docs)
     staged = new_path(spark, "lines")
     lines = stage_lines(docs, text, doc_id, min_chars)
     lines.withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(staged)
     every = spark.read.schema("doc long, h1 long, h2 long, batch int").parquet(staged)
-    runs = LineRuns(spark)
+    runs = LineRuns(spark, n)
     for k in range(batches):
         runs.add(every.where(F.col("batch") == k).select("doc", "h1", "h2"))
-    common = runs.compact().where(F.col("n_docs") >= min_docs).select("h1", "h2", "last_doc")
-    lost = every.join(common, ["h1", "h2"]).where("doc < last_doc").select("doc", "h1", "h2").distinct()
+    share = every.count() / n
+    common = materialize(runs.totals().where(F.col("n_docs") >= min_docs).select("h1", "h2", "last_doc", (F.col("n_docs") > share).alias("hot")), "lines-common")
+    keys = ["h1", "h2"]
+    hot, rest = F.broadcast(common.where("hot").drop("hot")), common.where("NOT hot").drop("hot")
+    met = every.join(hot, keys).unionByName(every.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
+    lost = met.where("doc < last_doc").select("doc", *keys).distinct()
     # a document's own lines are gathered, never a line's documents
-    return lost.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("lines"))
+    out = materialize(lost.groupBy("doc").agg(F.collect_list(F.struct(*keys)).alias("lines")), "lines-lost")
+    runs.close()
+    remove(spark, staged)
+    return out
 
 
 def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:

@@ -282,6 +282,58 @@ def test_lines_in_batches(spark):
     assert all(rows[i]["n_dropped"] == 2 and rows[i]["kept"] == f"own {i}" for i in range(5)) and rows[5]["n_dropped"] == 0
 
 
+def test_line_runs_hold_each_line_once(spark):
+    """Batches that share lines: what the anti-joins leave is each line's first batch; counts follow over compactions."""
+    from collections import Counter
+
+    rng = random.Random(4)
+    runs, n, last, first = line_dedup.LineRuns(spark, 3), Counter(), {}, {}
+    schema = "doc long, h1 long, h2 long"
+    for k in range(6):
+        rows = sorted({(100 * k + rng.randrange(20), rng.randrange(12 + 3 * k), 7) for _ in range(60)})
+        batch = spark.createDataFrame(rows, schema)
+        new = {(r["h1"], r["h2"]) for r in runs.unseen(batch).collect()}
+        assert new == {r[1:] for r in rows} - n.keys()
+        runs.add(batch)
+        for doc, *h in rows:
+            n[tuple(h)] += 1
+            last[tuple(h)] = max(last.get(tuple(h), doc), doc)
+            first.setdefault(tuple(h), k)
+        held = [(r["h1"], r["h2"]) for name in runs.runs() for r in spark.table(name).collect()]
+        assert len(held) == len(set(held)) == len(n)
+    assert len(runs.runs()) == 2  # six batches: 4 + 2
+    assert {(r["h1"], r["h2"]): (r["n_docs"], r["last_doc"]) for r in runs.totals().collect()} == {h: (n[h], last[h]) for h in n}
+    plan = runs.unseen(spark.table(runs.runs()[0]))._jdf.queryExecution().toString()
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    runs.close()
+    assert not [x for x in spark.catalog.listTables() if x.name.startswith("line_run")]
+
+
+def test_lines_by_brute_force(spark):
+    """Lines of all kinds of frequency, one of them in most documents; nulls, repeated rows, long texts and clashing columns."""
+    rng = random.Random(9)
+    pool = [f"{'Shared ' * 5}line number {i} of the pool" for i in range(40)]
+    rows = [(i, "\n".join([rng.choice(["", " \t", "short", pool[0], pool[0].upper() + " \r", *rng.choices(pool, k=2), f"{'own ' * 12}{i}"]) for _ in range(rng.randrange(12))]), "k", 5, i) for i in range(300)]
+    rows += [(300, None, "k", 1, 0), (301, "", "k", 1, 0), (5, rows[5][1], "z", 2, 0), (302, "\n".join(pool * 500), "k", 1, 0)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, kept string, n_lines long, h1 int").repartition(5)
+    docs, top = {}, {}
+    for i, (doc, t, *_) in enumerate(rows):
+        for x in (t or "").split("\n"):
+            k = line_dedup.line_key(x)
+            if len(k) >= 40:
+                docs.setdefault(k, set()).add(i)
+                top[k] = max(top.get(k, doc), doc)
+    want = []
+    for doc, t, *_, h in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if not (len(docs.get(line_dedup.line_key(x), ())) >= 5 and doc < top[line_dedup.line_key(x)])]
+        want.append((doc, "\n".join(kept), len(lines), len(lines) - len(kept), h))
+    out = line_dedup.line_dedup(d)
+    assert sorted(out.columns) == ["doc_id", "h1", "kept", "n_dropped", "n_lines"]
+    assert sorted((r["doc_id"], r["kept"], r["n_lines"], r["n_dropped"], r["h1"]) for r in out.collect()) == sorted(want)
+    assert sum(w[3] for w in want) > 300
+
+
 def test_pipeline_stages_by_brute_force(spark):
     import corpus_pipeline as p
 
