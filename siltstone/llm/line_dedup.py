@@ -183,7 +183,8 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
     lost = drops(docs.select(text, doc_id), text, doc_id, min_chars, min_docs, batches)
     rest = [f.name for f in docs.schema if f.name not in (text, doc_id)]
     packed = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("__doc"), F.col(text).cast("string").alias("__text"), F.struct(F.lit(0).alias("__none"), *rest).alias("__rest"))
-    joined = packed.join(lost, packed["__doc"] == lost["doc"], "left").select("__id", "__text", "lines", "__rest")
+    # one plan at every size: the lines that documents lose grow with the corpus
+    joined = packed.join(lost.hint("merge"), packed["__doc"] == lost["doc"], "left").select("__id", "__text", "lines", "__rest")
 
     def run(batches):
         for b in batches:
