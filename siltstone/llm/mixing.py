@@ -2,25 +2,29 @@
 
 Each source's documents are laid end to end in a pseudorandom order and their
 words packed into blocks of BLOCK words. The mix is a row of slots, one block
-each, cut into output shards. A shard draws how many of its slots go to each
-source: multinomially by what the sources are still owed, without replacement,
-so the totals are met exactly. A source's slots, counted over all shards, walk
-through its blocks in passes; in each pass a keyed pseudorandom permutation
-maps the slot to a block, and slots meet blocks in an equi-join by index.
+each, cut into output shards. Each shard draws its source counts multinomially,
+by the sources' shares, from a generator of its own, so shards are drawn side
+by side on the executors. Counts run up over the shards: what a source draws
+beyond its slots is cut, what is left undrawn goes to shards at the end, so the
+totals are met exactly. A source's slots, counted over all shards, walk through
+its blocks in passes; in each pass a keyed pseudorandom permutation maps the
+slot to a block, and slots meet blocks in an equi-join by index.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, materialize, read, shuffles
 
 BLOCK, SHARD_SLOTS, SEED, MOST_REPEATS = 64, 1 << 16, 20240229, 3
-#: Documents are summed up in so many pieces of a source, each put in order by one task.
-PIECES = 256
+#: Documents of a source are put in order in so many pieces at least, of about so many documents.
+PIECES, PIECE_DOCS = 256, 1 << 16
+#: Sources up to which the plan, a row for each, is broadcast; beyond, it is dealt out under SALTS.
+BROADCAST_SOURCES, SALTS = 1 << 16, 64
 
 
 def targets(sizes: list[int], weights: list[float], total: float, most: float = MOST_REPEATS) -> list[float]:
@@ -43,11 +47,11 @@ def targets(sizes: list[int], weights: list[float], total: float, most: float =
 
 
 def source_plan(sizes: DataFrame, block: int = BLOCK, most: int = MOST_REPEATS) -> pd.DataFrame:
-    """One row per source, in order of code points, null last: k, source, source_size, target, blocks, slots.
+    """One row per source, in order of code points, null last: k, source, source_size, target, blocks, slots, pieces.
 
     Collected: one row per source, not per document.
     """
-    rows = sizes.groupBy("source").agg(F.sum("size").alias("n")).collect()
+    rows = sizes.groupBy("source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("docs")).collect()
     rows.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     n = [int(r["n"]) for r in rows]
     want = targets(n, [1 + i % 3 for i in range(len(n))], sum(n), most)
@@ -57,33 +61,67 @@ def source_plan(sizes: DataFrame, block: int = BLOCK, most: int = MOST_REPEATS)
         # whole passes, then blocks of one more pass up to the target
         whole = int(t // size) if size else 0
         slots = whole * blocks + min(blocks, round((t - whole * size) / block)) if whole < most else most * blocks
-        out.append((k, r["source"], size, t, blocks, slots))
-    return pd.DataFrame(out, columns=["k", "source", "source_size", "target", "blocks", "slots"])
-
-
-def shard_draws(slots: list[int], shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> list[tuple[int, int, int, int]]:
-    """(shard, k, start, count): how many slots of each shard go to source k, from which of the source's slots on."""
-    rng = np.random.default_rng(seed)
-    left, start, out, shard = np.array(slots, dtype=np.int64), [0] * len(slots), [], 0
-    while left.sum() > 0:
-        draw = np.minimum(left, 0)
-        want = int(min(shard_slots, left.sum()))
-        draw = rng.multivariate_hypergeometric(left, want, method="marginals") if left.sum() < 10**9 else _multinomial(rng, left, want)
-        for k in np.flatnonzero(draw):
-            out.append((shard, int(k), start[k], int(draw[k])))
-            start[k] += int(draw[k])
-        left = left - draw
-        shard += 1
-    return out
+        out.append((k, r["source"], size, t, blocks, slots, max(PIECES, -(-r["docs"] // PIECE_DOCS))))
+    return pd.DataFrame(out, columns=["k", "source", "source_size", "target", "blocks", "slots", "pieces"])
+
 
+def _before(rows: DataFrame, piece: Column, order: list, value: str) -> DataFrame:
+    """rows with `before`: the sum of `value` over the rows of the same k that come first, by piece, then order.
 
-def _multinomial(rng, left: np.ndarray, want: int) -> np.ndarray:
-    """As above where so much is left that it makes no difference: multinomial, redrawn for what a source no longer has."""
-    draw = np.zeros_like(left)
-    while (rest := want - int(draw.sum())) > 0:
-        free = left - draw
-        draw = np.minimum(left, draw + rng.multinomial(rest, free / free.sum()))
-    return draw
+    Pieces are summed with map-side combining; only a piece's rows, and the
+    pieces of one k, are ever put in order together.
+    """
+    rows = rows.withColumn("piece", piece)
+    sums = rows.groupBy("k", "piece").agg(F.sum(value).alias("n_piece"))
+    sums = sums.select("k", "piece", (F.sum("n_piece").over(Window.partitionBy("k").orderBy("piece")) - F.col("n_piece")).alias("base"))
+    inside = F.sum(value).over(Window.partitionBy("k", "piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - F.col(value)
+    return rows.withColumn("inside", inside).join(sums, ["k", "piece"]).withColumn("before", F.col("base") + F.col("inside")).drop("piece", "inside", "base")
+
+
+def shard_draws(spark: SparkSession, plan: pd.DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """(shard, k, start, n, blocks): how many slots of each shard go to source k, from which of the source's slots on."""
+    kind = "shard long, k int, start long, n long, blocks long"
+    slots = plan["slots"].to_numpy(dtype=np.int64)
+    total = int(slots.sum())
+    if not total:
+        return spark.createDataFrame([], kind)
+    shards, share = -(-total // shard_slots), slots / total
+
+    def draw(batches):
+        for pdf in batches:
+            for shard in pdf["id"].tolist():
+                n = np.random.default_rng((seed, shard)).multinomial(min(shard_slots, total - shard * shard_slots), share)
+                k = np.flatnonzero(n)
+                yield pd.DataFrame({"shard": shard, "k": k, "drawn": n[k]})
+
+    drawn = spark.range(shards).mapInPandas(draw, "shard long, k int, drawn long")
+    ran = _before(drawn, F.shiftright("shard", 10), ["shard"], "drawn")
+    owed = _plan_rows(spark, plan, "k", "slots", "blocks")
+    own = ran.join(owed, "k").select("shard", "k", F.col("before").alias("start"), F.least("drawn", F.col("slots") - F.col("before")).alias("n"), "blocks").where("n > 0")
+    met = own.groupBy("k").agg(F.sum("n").alias("met"))
+    # what is left of each source follows in shards of its own, as many slots a shard at most
+    rest = owed.join(met, "k", "left").select("k", F.coalesce("met", F.lit(0)).alias("met"), "slots", "blocks").where("met < slots")
+    rest = rest.withColumn("i", F.explode(F.expr(f"sequence(0L, CAST((slots - met - 1) DIV {shard_slots} AS BIGINT))")))
+    start = F.col("met") + F.col("i") * shard_slots
+    return own.unionByName(rest.select((F.lit(shards) + F.col("i")).alias("shard"), "k", start.alias("start"), F.least(F.lit(shard_slots), F.col("slots") - start).alias("n"), "blocks"))
+
+
+def _plan_rows(spark: SparkSession, plan: pd.DataFrame, *columns: str) -> DataFrame:
+    """The plan's columns as a table: as many rows as the driver holds already."""
+    kinds = {"k": "int", "source": "string", "target": "double"}
+    rows = list(zip(*(plan[c].tolist() for c in columns), strict=True))
+    return spark.createDataFrame(rows, ", ".join(f"{c} {kinds.get(c, 'long')}" for c in columns))
+
+
+def _of_source(rows: DataFrame, plan: pd.DataFrame, *columns: str) -> DataFrame:
+    """rows with the plan's columns of their source: broadcast up to BROADCAST_SOURCES, else met under salts, so that no source is one key."""
+    known = _plan_rows(rows.sparkSession, plan, "source", *columns)
+    same = rows["source"].eqNullSafe(known["source"])
+    if len(plan) <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(known), same).drop(known["source"])
+    known = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("own_salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int"))
+    return rows.join(known, rows["source"].eqNullSafe(known["source"]) & (F.col("own_salt") == F.col("salt"))).drop(known["source"]).drop("own_salt", "salt")
 
 
 def permuted(i: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -106,9 +144,7 @@ def permuted(i: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 def drawn_blocks(spark: SparkSession, plan: pd.DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
     """(shard, k, pass, block) of every slot of the mix."""
-    rows = shard_draws(plan["slots"].tolist(), shard_slots, seed)
-    blocks = dict(zip(plan["k"], plan["blocks"], strict=True))
-    draws = spark.createDataFrame([(s, k, a, c, int(blocks[k])) for s, k, a, c in rows], "shard long, k int, start long, n long, blocks long")
+    draws = shard_draws(spark, plan, shard_slots, seed)
 
     def run(batches):
         with np.errstate(over="ignore"):
@@ -124,22 +160,10 @@ def drawn_blocks(spark: SparkSession, plan: pd.DataFrame, shard_slots: int = SHA
 
 
 def placed(sizes: DataFrame, plan: pd.DataFrame) -> DataFrame:
-    """sizes (doc_id, source, size) of documents with words, with k and `off`, the word of its source at which a document begins.
-
-    Two levels of sums: a source's documents fall into pieces by a hash of their
-    id; the pieces are summed with map-side combining, and only within a piece
-    are documents put in order.
-    """
-    spark = sizes.sparkSession
-    known = spark.createDataFrame(plan[["k", "source", "blocks"]].astype({"k": int, "blocks": int}).to_dict("records") or [], "k int, source string, blocks long")
-    # one row per source: bounded by the plan, which the driver holds already
-    own = sizes.where("size > 0").join(F.broadcast(known), sizes["source"].eqNullSafe(known["source"])).drop(known["source"])
-    own = own.withColumn("h", F.xxhash64(F.lit(SEED), "doc_id"))
-    own = own.withColumn("piece", F.pmod("h", F.lit(PIECES)).cast("int"))
-    sums = own.groupBy("k", "piece").agg(F.sum("size").alias("n"))
-    sums = sums.select("k", "piece", (F.sum("n").over(Window.partitionBy("k").orderBy("piece")) - F.col("n")).alias("base"))
-    inside = F.sum("size").over(Window.partitionBy("k", "piece").orderBy("h", "doc_id", "size", "rid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    return own.withColumn("inside", inside).join(sums, ["k", "piece"]).select("rid", "doc_id", "k", "size", (F.col("base") + F.col("inside")).alias("off"))
+    """Documents with words of sizes (rid, doc_id, th, source, size), with k and `off`, the word of its source at which a document begins."""
+    own = _of_source(sizes.where("size > 0").select("rid", "doc_id", "th", "source", "size"), plan, "k", "pieces")
+    own = own.withColumn("h", F.xxhash64(F.lit(SEED), "doc_id", "th"))
+    return _before(own, F.pmod("h", "pieces"), ["h", "doc_id", "size", "rid"], "size").select("rid", "doc_id", "k", "size", F.col("before").alias("off"))
 
 
 def taken_pieces(sizes: DataFrame, plan: pd.DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
@@ -167,14 +191,12 @@ def mix_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sour
     A null or empty text has size 0 and is never taken; a source without words
     has target 0. A null source is a source of its own, the last. Repeated rows
     are so many documents. No words at all, or an empty table: nothing is taken.
-    A run is fixed by the seed, the ids and the sizes.
+    A run is fixed by the seed, the ids and the texts.
     """
-    spark = docs.sparkSession
     sizes = document_sizes(docs, text, doc_id, source)
     plan = source_plan(sizes, block)
     taken = taken_pieces(sizes, plan, block, seed).groupBy("rid").agg(F.sum("n_words").alias("taken"))
-    known = spark.createDataFrame(plan[["source", "source_size", "target"]].to_dict("records"), "source string, source_size long, target double")
-    out = sizes.join(taken, "rid", "left").join(F.broadcast(known), sizes["source"].eqNullSafe(known["source"]))
+    out = _of_source(sizes.select("rid", "doc_id", "source", "size"), plan, "source_size", "target").join(taken, "rid", "left")
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
