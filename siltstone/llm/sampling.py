@@ -1,4 +1,4 @@
-"""Bounded samples of labelled rows, and a small calibrated logistic fit."""
+"""Bounded samples of rows to learn from, and a small calibrated logistic fit."""
 
 from __future__ import annotations
 
@@ -7,27 +7,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, text: str = "text", doc_id: str = "doc_id") -> list[tuple[str, int]]:
-    """(text, label) of at most `rows` labelled rows of each class that `learn` allows, chosen by a hash of the id.
+_SPAN = 1 << 30
 
-    The labels are cut to the sample first, per class by a top-k with map-side
-    pruning; only the sampled documents' texts come to the driver. A label row
-    with a null id or label is left out; a repeated id counts once, by its
-    greatest label.
+
+def _some(ids: DataFrame, total: int, rows: int, salt: int) -> list[int]:
+    """At most `rows` of the ids `i`, those of least hash. total: how many there are.
+
+    A threshold on the hash lets hardly more than `rows` through on the
+    executors, so what comes to the driver does not grow with the table.
     """
+    h = F.pmod(F.xxhash64(F.lit(salt), "i"), F.lit(_SPAN))
+    if total > rows:
+        ids = ids.where(h < int(_SPAN * min(1.0, (rows + 8 * rows**0.5 + 16) / total)))
+    got = ids.select("i", h.alias("h")).distinct().collect()
+    return [r["i"] for r in sorted(got, key=lambda r: (r["h"], r["i"]))[:rows]]
+
+
+def _texts(docs: DataFrame, ids: list[int], text: str, doc_id: str) -> dict[int, str]:
+    """The text of each id; of rows that repeat an id the least text, of null texts the empty one."""
     spark = docs.sparkSession
+    if not ids:
+        return {}
+    # as many rows as were sampled: a bounded broadcast
+    chosen = F.broadcast(spark.createDataFrame([(i,) for i in ids], "i long"))
+    own = docs.select(F.col(doc_id).cast("long").alias("i"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).join(chosen, "i")
+    return {r["i"]: r["t"] for r in own.groupBy("i").agg(F.min("t").alias("t")).collect()}
+
+
+def labelled(labels: DataFrame, label: str, learn: Column, doc_id: str = "doc_id") -> DataFrame:
+    """(i, y) of the labels that `learn` allows: a null id or label is left out, a repeated id counts once, by its greatest label."""
     own = labels.select(F.col(doc_id).cast("long").alias("i"), F.col(label).cast("int").alias("y")).where("i IS NOT NULL AND y IN (0, 1)").groupBy("i").agg(F.max("y").alias("y"))
-    own = own.withColumn("doc_id", F.col("i")).where(learn).select("i", "y", F.xxhash64("i").alias("h"))
-    picked = []
-    for y in (0, 1):
-        picked += [(r["i"], y) for r in own.where(F.col("y") == y).orderBy("h", "i").limit(rows).collect()]
-    if not picked:
-        return []
-    # at most 2 * rows ids: a bounded broadcast
-    chosen = F.broadcast(spark.createDataFrame(picked, "i long, y int"))
-    got = docs.select(F.col(doc_id).cast("long").alias("i"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).join(chosen, "i").collect()
-    out = {r["i"]: (r["t"], r["y"]) for r in sorted(got, key=lambda r: (r["i"], r["t"]))}
-    return [out[i] for i in sorted(out)]
+    return own.withColumn("doc_id", F.col("i")).where(learn).select("i", "y")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, rows: int, text: str = "text", doc_id: str = "doc_id", classes: tuple[int, ...] = (0, 1)) -> tuple[list[tuple[str, int]], float]:
+    """(text, label) of at most `rows` labelled rows of each class, chosen by a hash of the id, in order of id; and label 1's share of all labels that `learn` allows.
+
+    Labels are cut to the sample first; only the sampled documents' whole texts
+    come to the driver.
+    """
+    own = labelled(labels, label, learn, doc_id)
+    n = {r["y"]: r["n"] for r in own.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    y = {i: c for c in classes if c in n for i in _some(own.where(F.col("y") == c), n[c], rows, 0)}
+    texts = _texts(docs, sorted(y), text, doc_id)
+    return [(texts[i], y[i]) for i in sorted(texts)], n.get(1, 0) / max(1, sum(n.values()))
+
+
+def text_sample(docs: DataFrame, learn: Column, rows: int, text: str = "text", doc_id: str = "doc_id") -> list[str]:
+    """Whole texts of at most `rows` documents that `learn` allows, chosen by a hash of the id, whatever their label; null ids are left out."""
+    ids = docs.select(F.col(doc_id).cast("long").alias("i")).where("i IS NOT NULL").withColumn("doc_id", F.col("i")).where(learn).select("i")
+    texts = _texts(docs, _some(ids, ids.count(), rows, 1), text, doc_id)
+    return [texts[i] for i in sorted(texts)]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
