@@ -21,8 +21,7 @@ from .sampling import labelled_sample, logistic, sigmoid
 
 #: Labelled rows of each class that are learnt from, at most.
 SAMPLE_ROWS = 2000
-#: Of a sampled text, the pieces that train a dictionary; scores use all of a text.
-TRAIN_PIECES, DICT_BYTES, PIECE, LEVEL = 8, 1 << 16, 4096, 3
+DICT_BYTES, PIECE, LEVEL = 1 << 16, 4096, 3
 THRESHOLD = 0.3
 
 
@@ -62,15 +61,15 @@ def features(text: str, compressors: list) -> tuple[float, float, float]:
 
 
 def _dictionary(texts: list[str]) -> bytes:
-    pieces = [p for t in texts for p in _pieces(t)[:TRAIN_PIECES] if len(p) >= 8]
+    pieces = [p for t in texts for p in _pieces(t) if len(p) >= 8]
     try:
         return zstandard.train_dictionary(min(DICT_BYTES, max(256, sum(map(len, pieces)) // 4)), pieces).as_bytes()
     except zstandard.ZstdError:  # too little text
         return b""
 
 
-def fit(sample: list[tuple[str, int]]) -> Model:
-    """Dictionaries from two thirds of the sample, calibration on the rest. Of one class alone, or nothing: its share, for any text."""
+def fit(sample: list[tuple[str, int]], prior: float | None = None) -> Model:
+    """Dictionaries from two thirds of the sample, calibration on the rest, moved from the sample's share of label 1 to `prior`. Of one class alone, or nothing: its share, for any text."""
     ys = np.array([y for _, y in sample], dtype=float)
     if len(set(ys.tolist())) < 2:
         p = 0.5 if not len(ys) else float(np.clip(ys[0], 0.05, 0.95))
@@ -81,7 +80,11 @@ def fit(sample: list[tuple[str, int]]) -> Model:
     c = model.compressors()
     x = np.array([features(t, c) for t, _ in held])
     y = np.array([y for _, y in held], dtype=float)
-    model.weights = logistic(x * 10, y) * np.array([10, 10, 10, 1]) if len(set(y.tolist())) == 2 else np.array([0, 0, 0, 0.0])
+    if len(set(y.tolist())) == 2:
+        model.weights = logistic(x * 10, y) * np.array([10, 10, 10, 1])
+        if prior is not None:
+            prior, share = np.clip((prior, y.mean()), 0.005, 0.995)
+            model.weights[3] += np.log(prior / (1 - prior)) - np.log(share / (1 - share))
     return model
 
 
@@ -101,8 +104,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """A model from at most sample_rows labelled documents of each class whose crc32(doc_id) mod 5 is not 0."""
-    return fit(labelled_sample(docs, labels, "quality", crc_mod(F.col("doc_id"), 5) != 0, sample_rows, text, doc_id))
+    """A model from at most sample_rows labelled documents of each class whose crc32(doc_id) mod 5 is not 0, calibrated at the share of label 1 among all of these."""
+    return fit(*labelled_sample(docs, labels, "quality", crc_mod(F.col("doc_id"), 5) != 0, sample_rows, text, doc_id))
 
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
