@@ -3,20 +3,19 @@
 A batch's texts are split by the tokenizer's pattern; the pieces that the worker
 has not met yet become token-position rows, one per byte. A recursive query
 joins neighbouring rows with the merge table (left, right -> merged rank) and
-contracts each piece's leftmost pair of least rank until no pair is left.
-Decoding joins ids with the vocabulary and aggregates the bytes in order.
+contracts each piece's leftmost pair of least rank until no pair is left. In
+pieces over LONG_PIECE bytes a step contracts every pair of the least rank from
+left to right, where that comes to the same; see _LONG. Decoding joins a
+document's ids with the vocabulary and aggregates their bytes in order.
 
 The merge table holds every split of every token into two tokens: a pair's rank
-is the rank of its bytes put together, however these came about. Pieces longer
-than LONG_PIECE bytes, where one contraction a step would take as many steps as
-bytes, go through the same table with a heap.
+is the rank of its bytes put together, however these came about.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterable, Iterator
 from itertools import compress
 
@@ -28,7 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import read
 
-LONG_PIECE = 48
+#: Bytes up to which a position fits the six bits that _ENCODE's key has for it.
+LONG_PIECE = 63
+#: Steps of one query over long pieces, whose recursion keeps every step's rows; what is not done then goes into the next query.
+LONG_STEPS, LONG_BYTES = 16, 100_000
 #: Units whose ids a worker remembers; beyond that it keeps those met again, half as many at most.
 REMEMBERED = 800_000
 #: Characters that are encoded together, at least one text.
@@ -58,9 +60,27 @@ _ENCODE = """WITH RECURSIVE t(step, piece, pos, tok, nxt, npos, key) AS (
 SELECT piece, tok FROM t JOIN (SELECT piece, max(step) AS step FROM t WHERE pos = 0 GROUP BY piece) USING (piece, step) ORDER BY piece, pos
 """
 
+#: One step contracts all pairs of the piece's least rank from left to right, of overlapping ones every other. That is what
+#: contracting the leftmost again and again comes to, unless the new token makes a pair of lower rank with a neighbour: it
+#: can only if it is `loose`, and then the leftmost alone is contracted. A row's rank is that of its pair with the next row.
+_LONG = """WITH RECURSIVE t(step, piece, pos, tok, rank) AS (
+  SELECT 0, s.piece, s.pos, s.tok, m.rank FROM (SELECT *, lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS nxt FROM start) s LEFT JOIN merges m ON s.tok = m.a AND s.nxt = m.b
+  UNION ALL
+  SELECT n.step, n.piece, n.pos, n.tok, m.rank FROM (
+    SELECT step + 1 AS step, piece, pos, CASE WHEN take THEN least ELSE tok END AS tok, lead(CASE WHEN take THEN least ELSE tok END) OVER (PARTITION BY piece ORDER BY pos) AS nxt
+    FROM (SELECT *, coalesce(lag(take) OVER (PARTITION BY piece ORDER BY pos), false) AS gone FROM (
+      SELECT *, hit AND row_number() OVER (PARTITION BY piece, hit, run ORDER BY pos) % 2 = 1 AND (nth = 1 OR least NOT IN (SELECT tok FROM loose)) AS take FROM (
+        SELECT *, row_number() OVER (PARTITION BY piece ORDER BY pos) - row_number() OVER (PARTITION BY piece, hit ORDER BY pos) AS run, row_number() OVER (PARTITION BY piece, hit ORDER BY pos) AS nth FROM (
+          SELECT *, coalesce(rank = least, false) AS hit FROM (SELECT *, min(rank) OVER (PARTITION BY piece) AS least FROM t) WHERE least IS NOT NULL AND step < $steps))))
+    WHERE NOT gone) n
+  LEFT JOIN merges m ON n.tok = m.a AND n.nxt = m.b
+)
+SELECT piece, pos, tok, rank IS NOT NULL AS open FROM t JOIN (SELECT piece, max(step) AS step FROM t GROUP BY piece) USING (piece, step) ORDER BY piece, pos
+"""
+
+#: The vocabulary's bytes stand as characters of the same code, one a byte: only texts can be put together in order.
 _DECODE = """
-SELECT seq, unhex(string_agg(v.hex, '' ORDER BY i.pos)) AS bytes
-FROM ids i JOIN vocab v ON i.tok = v.tok GROUP BY seq ORDER BY seq
+SELECT seq, string_agg(s, '') AS s FROM (SELECT i.seq, v.s FROM ids i JOIN vocab v ON i.tok = v.tok ORDER BY i.pos) GROUP BY seq ORDER BY seq
 """
 
 
@@ -85,8 +105,11 @@ class Tokenizer:
         keys = np.array(list(self.merges), dtype=np.int32).reshape(-1, 2)
         self._table("merge_rows", a=keys[:, 0], b=keys[:, 1], rank=np.array(list(self.merges.values()), dtype=np.int32))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
-        vocab = pa.table({"tok": pa.array(list(ranks.values()), pa.int64()), "hex": [t.hex() for t in ranks]})
-        self.con.register("vocab_rows", vocab)
+        # tokens that can stand in a pair of lower rank than their own
+        loose = sorted({x for pair, rank in self.merges.items() for x in pair if rank < x})
+        self._table("loose_rows", tok=np.array(loose, dtype=np.int32))
+        self.con.execute("CREATE TABLE loose AS SELECT * FROM loose_rows")
+        self._table("vocab_rows", tok=np.array(list(ranks.values()), dtype=np.int32), s=[t.decode("latin-1") for t in ranks])
         self.con.execute("CREATE TABLE vocab AS SELECT * FROM vocab_rows")
         self.forget()
 
@@ -94,11 +117,10 @@ class Tokenizer:
         self.con.register(name, pa.table({k: pa.array(v) for k, v in columns.items()}))
 
     def forget(self) -> None:
-        """Drop the remembered units. Unit i has ids[starts[i] : starts[i + 1]] and bytes likewise."""
+        """Drop the remembered units. Unit i has ids[starts[i] : starts[i + 1]]."""
         self.units: dict[str, int] = {}
         self.seen = np.empty(0, dtype=np.int64)
         self.starts, self.ids = np.zeros(1, dtype=np.int64), np.empty(0, dtype="<u4")
-        self.byte_starts, self.bytes = np.zeros(1, dtype=np.int64), np.empty(0, dtype=np.uint8)
 
     def keep(self, most: int) -> None:
         """Forget units but those met again since they were learned, and of these all but the `most` met most; what is kept ages."""
@@ -110,20 +132,17 @@ class Tokenizer:
         self.units = {u: i for i, u in enumerate(compress(self.units, mask.tolist()))}
         self.seen = self.seen[again] // 2
         self.ids, self.starts = _gather(self.ids, self.starts, again)
-        self.bytes, self.byte_starts = _gather(self.bytes, self.byte_starts, again)
 
     def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all pieces in a row, and where each piece's begin and the last's end."""
-        which, found, rest = [], [], []
+        which, found, rest, long = [], [], [], []
         for i, p in enumerate(pieces):
             one = self.ranks.get(p)  # as the tokenizer does: a piece that is a token stays whole
             if one is not None:
                 which.append(i)
                 found.append(one)
             elif len(p) > LONG_PIECE:
-                ids = self._by_heap(p)
-                which += [i] * len(ids)
-                found += ids
+                long.append(i)
             else:
                 rest.append(i)
         owner, ids = [np.array(which, dtype=np.int64)], [np.array(found, dtype=np.int32)]
@@ -141,48 +160,53 @@ class Tokenizer:
             self.con.unregister("start")
             owner.append(index[got.column(0).to_numpy()])
             ids.append(got.column(1).to_numpy())
+        at = 0
+        while at < len(long):
+            end, size = at + 1, len(pieces[long[at]])
+            while end < len(long) and size + len(pieces[long[end]]) <= LONG_BYTES:
+                size += len(pieces[long[end]])
+                end += 1
+            for k, own in enumerate(self._contract_long([pieces[i] for i in long[at:end]])):
+                owner.append(np.full(len(own), long[at + k]))
+                ids.append(own)
+            at = end
         who = np.concatenate(owner)
         order = np.argsort(who, kind="stable")
         return np.concatenate(ids)[order], np.searchsorted(who[order], np.arange(len(pieces) + 1))
 
-    def _by_heap(self, piece: bytes) -> list[int]:
-        """The same contraction: least rank first, of equal ranks the leftmost."""
-        tok = [self.byte[b] for b in piece]
-        n = len(tok)
-        nxt, prv, merges = list(range(1, n + 1)), list(range(-1, n - 1)), self.merges
-        heap = [(r, i, tok[i], tok[i + 1]) for i in range(n - 1) if (r := merges.get((tok[i], tok[i + 1]))) is not None]
-        heapq.heapify(heap)
-        alive = [True] * n
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = nxt[i]
-            if not alive[i] or tok[i] != a or j >= n or tok[j] != b:
-                continue
-            tok[i], alive[j], nxt[i] = r, False, nxt[j]
-            if nxt[j] < n:
-                prv[nxt[j]] = i
-            for x in (prv[i], i):
-                if x >= 0 and nxt[x] < n and (s := merges.get((tok[x], tok[nxt[x]]))) is not None:
-                    heapq.heappush(heap, (s, x, tok[x], tok[nxt[x]]))
-        return [t for t, x in zip(tok, alive, strict=True) if x]
-
-    def decode_runs(self, ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of the runs ids[starts[i] : starts[i + 1]] in a row, and where each run's begin and the last's end; an empty run has none."""
+    def _contract_long(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """The ids of each piece, of any length: LONG_STEPS steps a query, until no piece holds a pair of the merge table."""
+        table = np.array(self.byte, dtype=np.int32)
+        out: list[np.ndarray] = [table[np.frombuffer(p, dtype=np.uint8)] for p in pieces]
+        todo = list(range(len(pieces)))
+        while todo:
+            sizes = [len(out[i]) for i in todo]
+            pos = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+            self._table("start", piece=np.repeat(np.array(todo, dtype=np.int32), sizes), pos=pos, tok=np.concatenate([out[i] for i in todo]))
+            got = self.con.sql(_LONG, params={"steps": LONG_STEPS}).to_arrow_table()
+            self.con.unregister("start")
+            piece, tok = got.column("piece").to_numpy(), got.column("tok").to_numpy()
+            cut = np.searchsorted(piece, todo + [len(pieces)])
+            for i, a, b in zip(todo, cut[:-1], cut[1:], strict=True):
+                out[i] = tok[a:b]
+            todo = np.unique(piece[got.column("open").to_numpy()]).tolist()
+        return out
+
+    def decode_runs(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
+        """The bytes of each run ids[starts[i] : starts[i + 1]]; an empty run has none."""
         runs = len(starts) - 1
-        self._table("ids", seq=np.repeat(np.arange(runs), np.diff(starts)), pos=np.arange(len(ids)), tok=ids)
+        self._table("ids", seq=np.repeat(np.arange(runs, dtype=np.int32), np.diff(starts)), pos=np.arange(len(ids), dtype=np.int32), tok=ids.astype(np.int32))
         got = self.con.sql(_DECODE).to_arrow_table()
         self.con.unregister("ids")
-        parts = got.column(1).to_pylist()
-        sizes = np.zeros(runs, dtype=np.int64)
-        sizes[got.column(0).to_numpy()] = list(map(len, parts))
-        return np.frombuffer(b"".join(parts), dtype=np.uint8), np.concatenate(([0], np.cumsum(sizes)))
+        out = [b""] * runs
+        for i, s in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
+            out[i] = s.encode("latin-1")
+        return out
 
     def decode(self, ids: list[list[int]]) -> list[bytes]:
         """The bytes of each sequence of ids; an empty sequence has none."""
         flat = np.fromiter((i for x in ids for i in x), dtype=np.int64)
-        raw, starts = self.decode_runs(flat, np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int64))
-        raw = raw.tobytes()
-        return [raw[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+        return self.decode_runs(flat, np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int64))
 
     def split(self, text: str) -> list[str]:
         """Units of text that the pattern never matches across.
@@ -199,25 +223,21 @@ class Tokenizer:
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if text else []
 
     def learn(self, new: list[str]) -> None:
-        """Encode and decode units not met before, each once in new, and remember them."""
+        """Encode units not met before, each once in new, and remember them."""
         split = list(map(self.pattern.findall, new))
         flat = [p for s in split for p in s]
         pieces = {p: i for i, p in enumerate(dict.fromkeys(flat))}
         ids, starts = self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in pieces])
-        raw, raw_starts = self.decode_runs(ids, starts)
         self.units.update(zip(new, range(len(self.units), len(self.units) + len(new)), strict=True))
         k = np.array(list(map(pieces.__getitem__, flat)), dtype=np.int64)
         ends = np.cumsum(list(map(len, split)))
         ids, at = _gather(ids, starts, k)
         self.starts = np.concatenate((self.starts, self.starts[-1] + at[ends]))
         self.ids = np.concatenate((self.ids, ids.astype("<u4")))
-        raw, at = _gather(raw, raw_starts, k)
-        self.byte_starts = np.concatenate((self.byte_starts, self.byte_starts[-1] + at[ends]))
-        self.bytes = np.concatenate((self.bytes, raw))
         self.seen = np.append(self.seen, np.zeros(len(new), dtype=np.int64))
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """The ids of all texts in a row (unsigned, 32 bits), where each text's begin and end, and each text's decoded bytes; null counts as empty."""
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row (unsigned, 32 bits), and where each text's begin and end; null counts as empty."""
         if len(self.units) > REMEMBERED:
             self.keep(REMEMBERED // 2)
         split = [self.split(t or "") for t in texts]
@@ -230,9 +250,7 @@ class Tokenizer:
         self.seen += np.bincount(k, minlength=len(self.units))
         ids, ends = _gather(self.ids, self.starts, k)
         units = np.concatenate(([0], np.cumsum([len(s) for s in split]))).astype(np.int64)
-        raw, byte_ends = _gather(self.bytes, self.byte_starts, k)
-        raw, cut = raw.tobytes(), byte_ends[units].tolist()
-        return ids, ends[units], [raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return ids, ends[units]
 
 
 def _gather(values: np.ndarray, starts: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,8 +263,10 @@ def _gather(values: np.ndarray, starts: np.ndarray, k: np.ndarray) -> tuple[np.n
 _made: dict[tuple[str, str], Tokenizer] = {}
 
 
-def tokenizer(path: str, pattern: str) -> Tokenizer:
-    """This process' tokenizer for a rank file: built once, kept from task to task."""
+def tokenizer(path: str | None, pattern: str | None) -> Tokenizer:
+    """This process' tokenizer for a rank file, without one the public vocabulary as installed here: built once, kept from task to task."""
+    if path is None:
+        path, pattern = _vocabulary()
     if (path, pattern) not in _made:
         _made[path, pattern] = Tokenizer(path, pattern)
     return _made[path, pattern]
@@ -266,8 +286,6 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
     ids; an empty table gives an empty result. Columns of docs named like a new
     one are replaced.
     """
-    if path is None:
-        path, pattern = _vocabulary()
     rest = [c for c in docs.columns if c not in (text, "n_tokens", "ids", "ids_sha256", "decoded_sha256")]
     own = docs.select(F.col(text).cast("string").alias("t"), F.struct(F.lit(0).alias("__none"), *rest).alias("rest"))
     kind = own.schema["rest"].dataType.simpleString()
@@ -283,7 +301,8 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
                 if i < len(texts) and size < PART_CHARS:
                     continue
                 part = texts[at : i + 1]
-                flat, bounds, back = tok.encode(part)
+                flat, bounds = tok.encode(part)
+                back = tok.decode_runs(flat, bounds)
                 raw, cut = flat.tobytes(), (4 * bounds).tolist()
                 hashes = [hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(cut[:-1], cut[1:], strict=True)]
                 columns = [pa.array(np.diff(bounds), pa.int64()), pa.array(hashes, pa.string()), pa.array([hashlib.sha256(x).hexdigest() for x in back], pa.string()), b.column(1).slice(at, len(part))]
@@ -301,8 +320,6 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
 
 def decode(rows: DataFrame, ids: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """rows with `decoded` (binary) in place of ids; null or no ids: no bytes. An id outside the vocabulary decodes to nothing."""
-    if path is None:
-        path, pattern = _vocabulary()
     rest = [c for c in rows.columns if c not in (ids, "decoded")]
     own = rows.select(F.col(ids).cast("array<long>").alias("i"), F.struct(F.lit(0).alias("__none"), *rest).alias("rest"))
 

@@ -218,17 +218,46 @@ def test_bpe_forgets_without_changing_ids(monkeypatch):
     for k in range(60):
         texts = ["", None, *[" ".join(rng.choices(words[: 8 + 5 * k], k=rng.randint(1, 8))) for _ in range(3)], "the\nthe"]
         before = len(tok.units)
-        ids, bounds, back = tok.encode(texts)
+        ids, bounds = tok.encode(texts)
+        back = tok.decode_runs(ids, bounds)
         forgot += len(tok.units) < before
         if k % 7 == 0:
             tok.keep(k % 3)  # as between tasks; 0 forgets all
-            assert len(tok.units) == len(tok.seen) == len(tok.starts) - 1 == len(tok.byte_starts) - 1 <= k % 3
+            assert len(tok.units) == len(tok.seen) == len(tok.starts) - 1 <= k % 3
         for i, t in enumerate(texts):
             assert ids[bounds[i] : bounds[i + 1]].tolist() == library.encode_ordinary(t or "")
             assert back[i] == (t or "").encode()
     assert forgot > 5
 
 
+def test_bpe_long_pieces(monkeypatch):
+    """Pieces of any length against the library: repeats, overlaps, loose tokens, and every length around the border."""
+    import tiktoken
+
+    path, pattern = bpe._vocabulary()
+    tok = bpe.Tokenizer(path, pattern)
+    lib = tiktoken.Encoding("long", pat_str=pattern, mergeable_ranks=tok.ranks, special_tokens={})
+    rng = random.Random(5)
+    loose = [t for t, in tok.con.sql("SELECT tok FROM loose").fetchall()]
+    by_rank = {r: b for b, r in tok.ranks.items()}
+    letters = [by_rank[r].decode("utf-8", "ignore") for r in rng.sample(loose, min(300, len(loose)))]
+    letters = [x for x in letters if x.isalpha()]
+    pieces = ["a" * n for n in (62, 63, 64, 65, 99, 100, 1001, 5000)] + ["ab" * 333, "日本語テキスト" * 120, "é" * 201, "-" * 70, "=" * 129 + "-" * 64, " " * 300, "xyz" * 2500]
+    pieces += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(60, 400))) for _ in range(60)]
+    pieces += ["".join(rng.choices("ab", k=rng.randint(60, 300))) for _ in range(40)]
+    pieces += ["".join(rng.choices(letters, k=30)) for _ in range(60) if letters]
+    pieces += [chr(rng.randint(0x4E00, 0x9000)) * 2 + "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(400)) for _ in range(3)]
+    ids, bounds = tok.encode(pieces)
+    for i, p in enumerate(pieces):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == lib.encode_ordinary(p), p
+    assert tok.decode_runs(ids, bounds) == [p.encode() for p in pieces]
+    monkeypatch.setattr(bpe, "LONG_PIECE", 1)  # the same recursion for all
+    short = bpe.Tokenizer(path, pattern)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 30))) for _ in range(400)]
+    ids, bounds = short.encode(words)
+    assert [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(len(words))] == [lib.encode_ordinary(w) for w in words]
+
+
 def test_bpe_round_trip_and_library(spark):
     import tiktoken
 
@@ -243,9 +272,8 @@ def test_bpe_round_trip_and_library(spark):
         assert r["ids_sha256"] == hashlib.sha256(np.array(want, dtype="<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
     for t in ["", "a  b", " x", "x ", "a \tb\n\n c", "日本語 テキスト", "aaaa" * 40, "it's I'LL", "\x1c a\x85b\x00", "é" * 99]:
-        ids, _, (raw,) = tok.encode([t])
-        assert ids.tolist() == lib.encode_ordinary(t) and raw == t.encode()
-        assert tok.decode([ids.tolist()]) == [t.encode()]
+        ids, bounds = tok.encode([t])
+        assert ids.tolist() == lib.encode_ordinary(t) and tok.decode_runs(ids, bounds) == tok.decode([ids.tolist()]) == [t.encode()]
 
 
 @pytest.mark.parametrize(("query", "column", "recall", "precision"), [("op6_quality_classifier", "quality", 0.98, 0.98), ("op9_toxicity", "toxic", 0.9, 0.9)])
