@@ -410,17 +410,43 @@ def test_language_model_keeps_every_ngram(spark, monkeypatch):
         t = total[g[:-1]]
         return max(n[len(g)][g] - langid.DISCOUNT, 0) / t + langid.DISCOUNT * kinds[g[:-1]] / t * low if t else low
 
-    monkeypatch.setattr(langid, "_SLICE_BYTES", 1 << 22, raising=False)  # fetched in several slices
     d = spark.createDataFrame([(i, lang, t) for lang, own in texts.items() for i, t in enumerate(own)], "doc_id long, lang string, text string")
-    model = langid.learn(d)
-    model.prepare()
-    assert len(model.keys[3]) == len(by["zh"][0][4].keys() | by["en"][0][4].keys()) > 320_000
-    asked = [texts["zh"][0][:60], texts["zh"][0][-60:], "the hat sat", "日本ö xx", texts["zh"][0][50:20_000:777]]
-    e, _ = model.entropies(asked)
-    for t, mine in zip(asked, e, strict=True):
-        c = langid.symbols([t])[0].tolist()
-        for lang, got in zip(model.langs, mine, strict=True):
-            assert got == pytest.approx(-np.mean([np.log(p(lang, tuple(c[i - 3 : i + 1]))) for i in range(3, len(c))]), rel=1e-4)
+    asked = [texts["zh"][0][:60], texts["zh"][0][-60:], "the hat sat", "日本ö xx", None, "", texts["zh"][0][50:20_000:777]]
+    found = []
+    for most in (1 << 27, 1 << 21):  # one shard; several
+        monkeypatch.setattr(langid, "SHARD_BYTES", most)
+        model = langid.learn(d)
+        shards = [x.value for x in model.shards]
+        assert (len(shards) > 3) == (most < 1 << 27) and sum(len(x.keys[3]) for x in shards) >= len(by["zh"][0][4].keys() | by["en"][0][4].keys()) > 320_000
+        e, n = model.entropies(asked)
+        assert n.tolist()[2:6] == [9, 5, 0, 0]
+        found.append(e)
+        for t, mine in zip(asked, e, strict=True):
+            c = langid.symbols([t])[0].tolist()
+            for lang, got in zip(model.langs, mine, strict=True):
+                assert got == pytest.approx(-np.mean([np.log(p(lang, tuple(c[i - 3 : i + 1]))) for i in range(3, len(c))]) if t else 0, rel=1e-4)
+        got = langid.predict(spark.createDataFrame([(i, t, "x") for i, t in enumerate(asked)], "i int, text string, score string"), model).orderBy("i").collect()
+        assert [r["lang_pred"] for r in got] == ["zh", "zh", "en", got[3]["lang_pred"], "und", "und", "zh"] and got[0].asDict().keys() == {"i", "lang_pred", "score", "entropy", "rejected"}
+        assert [r["entropy"] for r in got] == pytest.approx([x.min() for x in e])
+    assert found[0] == pytest.approx(found[1])
+
+
+def test_language_calibration():
+    """Texts of two languages at known entropies: the threshold lies above them, and a lead counts more the cleaner they part."""
+    rng = np.random.default_rng(1)
+    lang = np.repeat([0, 1], 300)
+    sharp = []
+    for lead in (1.0, 0.05):
+        own = 2 + 0.05 * rng.standard_normal(600) + lang
+        nats = np.where(np.arange(2) == lang[:, None], own[:, None], own[:, None] + lead + 0.1 * rng.standard_normal((600, 1)))
+        m = langid.Model(["a", "b"], [], np.full(2, np.inf))
+        langid._calibrated(m, nats, np.full(600, 9), lang)
+        assert ((own > m.reject[lang]).mean() <= 0.01) and (m.reject < [2.5, 3.5]).all()
+        sharp.append(m.sharp)
+        # the stated share of the right language is about its frequency
+        share = 1 / np.exp(-m.sharp * (nats - nats.min(axis=1, keepdims=True))).sum(axis=1)
+        assert share.mean() == pytest.approx((nats.argmin(axis=1) == lang).mean(), abs=0.06)
+    assert sharp[0] > 5 and sharp[1] > 1
 
 
 def test_language_never_learnt_is_rejected(spark, tmp_path):
