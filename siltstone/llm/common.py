@@ -58,3 +58,14 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 
 def shuffles(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, share: float) -> DataFrame:
+    """rows joined with table on keys, of which table holds each once with `weight`, its number of rows.
+
+    Keys with more rows than `share`, a task's mean, are fewer than the tasks:
+    these few are broadcast, so that no key's rows meet in one task. All others
+    meet by key.
+    """
+    hot, rest = F.broadcast(table.where(F.col(weight) > share).drop(weight)), table.where(F.col(weight) <= share).drop(weight)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, new_path, read, remove, shuffles
+from .common import join_hot, materialize, new_path, read, remove, shuffles
 
 MIN_CHARS, MIN_DOCS, FANOUT = 40, 5, 2
 #: In how many batches a corpus comes that is all there from the start. A batch is as distributed as the whole: more of them cost runs, and save no memory.
@@ -159,10 +159,9 @@ def drops(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars
     for k in range(batches):
         runs.add(every.where(F.col("batch") == k).select("doc", "h1", "h2"))
     share = every.count() / n
-    common = materialize(runs.totals().where(F.col("n_docs") >= min_docs).select("h1", "h2", "last_doc", (F.col("n_docs") > share).alias("hot")), "lines-common")
+    common = materialize(runs.totals().where(F.col("n_docs") >= min_docs), "lines-common")
     keys = ["h1", "h2"]
-    hot, rest = F.broadcast(common.where("hot").drop("hot")), common.where("NOT hot").drop("hot")
-    met = every.join(hot, keys).unionByName(every.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
+    met = join_hot(every, common, keys, "n_docs", share)
     lost = met.where("doc < last_doc").select("doc", *keys).distinct()
     # a document's own lines are gathered, never a line's documents
     out = materialize(lost.groupBy("doc").agg(F.collect_list(F.struct(*keys)).alias("lines")), "lines-lost")
