@@ -7,9 +7,10 @@ with everything below it.
 
 Two fingerprints within 3 bits agree on one of their four 16-bit blocks, so with
 each block in turn rotated to the top the only pairs of nodes at depth 16 that
-can lead to a new link are a node with itself. These nodes are the units that
-Spark deals out; a node with very many leaves is dealt out again as pairs of
-its nodes 12 levels below, again under the budget.
+can lead to a new link are a node with itself. From there the traversal is dealt
+out: pairs of nodes with more than UNIT leaves are opened STRIDE levels at a
+time by joins of node tables, under the same budget, until each that is left is
+work for one task, which goes on below it.
 """
 
 from __future__ import annotations
@@ -18,15 +19,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read, remove, shuffles  # noqa: F401
+from .common import materialize, read, shuffles
 from .components import components
 
 BITS, BUDGET, SHINGLE, SEED = 64, 3, 3, 42
-#: A node with more leaves than this is dealt out as pairs of lower nodes.
-LARGE_NODE = 100_000
+#: Leaves of a node that one task goes through, as a pair the geometric mean of both; levels that a larger one is opened at once.
+UNIT, STRIDE = 100_000, 4
 #: Node pairs that one step of the traversal holds at most.
 FRONTIER = 1 << 19
 
@@ -52,14 +53,15 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a signed long) of every row."""
+    """doc_id, fp (the fingerprint's 64 bits as a signed long) and th (a hash of the text) of every row."""
 
     def run(batches):
         for b in batches:
             fps = np.fromiter((fingerprint(t) for t in b.column(1).to_pylist()), dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], names=["doc_id", "fp", "th"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t")).mapInArrow(run, "doc_id long, fp long")
+    t = F.col(text).cast("string")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), t.alias("t"), F.xxhash64(t).alias("th")).mapInArrow(run, "doc_id long, fp long, th long")
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -183,20 +185,56 @@ def _join(groups: list[tuple[int, np.ndarray]]) -> pd.DataFrame:
     return pd.DataFrame({"a": a, "b": b})
 
 
-def _cells(fp: np.ndarray, block: int) -> np.ndarray:
-    """The node 12 levels below the block's: where a large node is dealt out again."""
-    return ((_rotated(fp, block) >> np.uint64(36)) & np.uint64(0xFFF)).astype(np.int64)
-
-
-def links(distinct: DataFrame) -> DataFrame:
+def _rotated_column(block: Column) -> Column:
+    """fp with the 16-bit block rotated to the top."""
+    out = F.col("fp")
+    for k in (1, 2, 3):
+        out = F.when(block == k, F.shiftleft("fp", 16 * k).bitwiseOR(F.shiftrightunsigned("fp", BITS - 16 * k))).otherwise(out)
+    return out
+
+
+def _pair_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(a, b) as _join() gives, of the leaves of one pair of nodes."""
+    block, depth, p, q = (int(pdf[c].iloc[0]) for c in ("block", "depth", "p", "q"))
+    a = np.sort(_rotated(pdf["fp"].to_numpy().view(np.uint64), block))
+    node = (a >> np.uint64(BITS - depth)).view(np.int64)
+    labels = _Labels(len(a))
+    x = tuple(int(np.searchsorted(node, n, side)) for n in (p, q) for side in ("left", "right"))
+    if x[0] < x[1] and x[2] < x[3]:
+        trie_links(a, [x], depth, BUDGET, labels)
+    i = np.flatnonzero(labels.of != np.arange(len(a)))
+    back = _rotated(a, 4 - block) if block else a
+    return pd.DataFrame({"a": back[labels.of[i]].view(np.int64), "b": back[i].view(np.int64)})
+
+
+def _opened(leaves: DataFrame, pairs: DataFrame, unit: int) -> list[DataFrame]:
+    """leaves: block, rot, fp. pairs: block, p, q, err: pairs of nodes at depth 16. The leaves of the smaller pairs that they lead to, a table (block, depth, p, q, fp) for each depth."""
+    out, depth = [], 16
+    pairs = materialize(pairs, "simhash-pairs")
+    while depth < BITS and not pairs.isEmpty():
+        depth += STRIDE
+        node = F.shiftrightunsigned("rot", BITS - depth)
+        kids = materialize(leaves.groupBy("block", node.alias("kid")).agg(F.count(F.lit(1)).alias("n")).withColumn("parent", F.shiftrightunsigned("kid", STRIDE)), "simhash-nodes")
+        x, y = (kids.select("block", F.col("parent").alias(c), F.col("kid").alias(f"{c}_kid"), F.col("n").alias(f"{c}_n")) for c in ("p", "q"))
+        err = F.col("err") + F.bit_count(F.col("p_kid").bitwiseXOR(F.col("q_kid")).bitwiseAND(F.lit((1 << STRIDE) - 1).cast("long")))
+        met = pairs.join(x, ["block", "p"]).join(y, ["block", "q"]).where("p <> q OR p_kid < q_kid OR (p_kid = q_kid AND p_n > 1)")
+        met = met.select("block", F.col("p_kid").alias("p"), F.col("q_kid").alias("q"), err.alias("err"), (F.col("p_n").cast("double") * F.col("q_n")).alias("work")).where(F.col("err") <= BUDGET)
+        met = materialize(met, "simhash-pairs")
+        small = (F.col("work") <= float(unit) ** 2) | F.lit(depth >= BITS)
+        ready = met.where(small).select("block", F.lit(depth).alias("depth"), "p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("node"))
+        out.append(leaves.select("block", node.alias("node"), "fp").join(ready, ["block", "node"]).select("block", "depth", "p", "q", "fp"))
+        pairs = met.where(~small).drop("work")
+    return out
+
+
+def links(distinct: DataFrame, unit: int | None = None) -> DataFrame:
     """distinct: fp, each once. (a, b): links that join the same fingerprints as all pairs within 3 bits do."""
-    spark = distinct.sparkSession
+    unit = unit or UNIT
     n = shuffles(distinct)
-    u = F.col("fp")
-    rotated = F.explode(F.array(*[F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(F.shiftleft(u, 16 * k), 48).cast("int").alias("node")) for k in range(4)]))
-    dealt = distinct.select("fp", rotated.alias("r")).select("fp", "r.block", "r.node")
-    large = dealt.groupBy("block", "node").count().where(F.col("count") > LARGE_NODE).select("block", "node")
-    small = dealt.join(large, ["block", "node"], "left_anti")
+    dealt = distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("block"))
+    dealt = dealt.withColumn("rot", _rotated_column(F.col("block"))).withColumn("node", F.shiftrightunsigned("rot", 48))
+    large = materialize(dealt.groupBy("block", "node").count().where(F.col("count") > unit).select("block", "node"), "simhash-large")
+    small = dealt.join(large, ["block", "node"], "left_anti").select("fp", "block", F.col("node").cast("int").alias("node"))
 
     def run(batches):
         # a task's nodes come together; it holds the fingerprints of one slice of nodes at a time
@@ -204,36 +242,12 @@ def links(distinct: DataFrame) -> DataFrame:
             yield _join([(int(k), g["fp"].to_numpy().view(np.uint64)) for k, g in pdf.groupby("block")])
 
     near = small.repartition(4 * n, "block", "node").sortWithinPartitions("node", "block").mapInPandas(run, "a long, b long")
-
-    # of a large node: a fingerprint goes to each pair of lower nodes within the budget that its own is part of, known by the smaller cell
-    masks = [m for m in range(1 << 12) if bin(m).count("1") <= BUDGET]
-
-    def cells(batches):
-        m = np.array(masks)
-        for pdf in batches:
-            for k, g in pdf.groupby("block"):
-                fp = g["fp"].to_numpy().view(np.uint64)
-                own = _cells(fp, int(k))
-                other = own[:, None] ^ m[None, :]
-                low, high = np.minimum(own[:, None], other), np.maximum(own[:, None], other)
-                yield pd.DataFrame({"fp": np.repeat(fp.view(np.int64), len(m)), "block": int(k), "node": np.repeat(g["node"].to_numpy(), len(m)), "low": low.ravel(), "high": high.ravel()})
-
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        block = int(pdf["block"].iloc[0])
-        a = np.sort(_rotated(pdf["fp"].to_numpy().view(np.uint64), block))
-        labels = _Labels(len(a))
-        lo, hi = int(pdf["low"].iloc[0]), int(pdf["high"].iloc[0])
-        cell = ((a >> np.uint64(36)) & np.uint64(0xFFF)).astype(np.int64)
-        x = (np.searchsorted(cell, lo), np.searchsorted(cell, lo, "right"), np.searchsorted(cell, hi), np.searchsorted(cell, hi, "right"))
-        if x[0] < x[1] and x[2] < x[3]:
-            trie_links(a, [x], 28, BUDGET, labels)
-        i = np.flatnonzero(labels.of != np.arange(len(a)))
-        back = _rotated(a, 4 - block) if block else a
-        return pd.DataFrame({"a": back[labels.of[i]].view(np.int64), "b": back[i].view(np.int64)})
-
-    again = dealt.join(large, ["block", "node"], "left_semi").mapInPandas(cells, "fp long, block int, node int, low int, high int")
-    far = again.groupBy("block", "node", "low", "high").applyInPandas(pairs, "a long, b long")
-    return near.unionByName(far)
+    if large.isEmpty():
+        return near
+    leaves = materialize(dealt.join(large, ["block", "node"], "left_semi").select("block", "rot", "fp"), "simhash-opened")
+    for t in _opened(leaves, large.select("block", F.col("node").alias("p"), F.col("node").alias("q"), F.lit(0).alias("err")), unit):
+        near = near.unionByName(t.groupBy("block", "depth", "p", "q").applyInPandas(_pair_links, "a long, b long"))
+    return near
 
 
 def _by_node(batches, least: int = 200_000):
@@ -254,33 +268,46 @@ def _by_node(batches, least: int = 200_000):
         yield pd.concat(held)
 
 
+def _groups(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """fingerprints(), and fp with the root of its group for each different one."""
+    prints = materialize(fingerprints(docs, text, doc_id), "simhash-prints")
+    leaves = materialize(prints.select("fp").distinct(), "simhash-leaves")
+    roots = components(materialize(links(leaves), "simhash-links"))  # node, root: of linked fingerprints alone
+    named = leaves.join(roots, leaves["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return prints, named
+
+
 def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, fp and component_id of every row of docs.
 
     component_id is the smallest doc_id reachable over links of at most 3
     differing bits. Null, empty and blank texts have fingerprint 0 and link like
     any other. Equal fingerprints (exact copies, repeated rows) are one leaf.
-    A null doc_id gets a component and never names one unless it is alone in it.
-    Other columns of docs play no part. An empty table gives an empty result.
+    A null doc_id gets a component and never names one; alone in it, its
+    component is null. Other columns of docs play no part. An empty table gives
+    an empty result.
     """
-    prints = materialize(fingerprints(docs, text, doc_id), "simhash-prints")
-    leaves = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-leaves")
-    found = materialize(links(leaves.select("fp")), "simhash-links")
-    roots = components(found)  # node, root: of linked fingerprints alone
-    named = leaves.join(roots, leaves["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = named.join(least, "root").select("fp", "component_id")
+    prints, named = _groups(docs, text, doc_id)
+    ids = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    of = named.join(ids, "fp")
+    by_print = of.join(of.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """docs, of each near-duplicate group only the document whose id names it; of rows that repeat that id one.
+def near_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """docs, of each near-duplicate group one row: of the smallest id, null last, and of rows that share it one of the least text hash.
 
-    Documents with a null id stay: none can stand for them.
+    Rows that share an id but not a group are documents of their own. Null,
+    empty and blank texts are one group. An empty table gives an empty result.
     """
-    keep = simhash_groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    own = docs.where("doc_id IS NOT NULL").join(keep, docs["doc_id"] == F.col("__keep"), "left_semi").dropDuplicates(["doc_id"])
-    return own.unionByName(docs.where("doc_id IS NULL"))
+    prints, named = _groups(docs, text, doc_id)
+    first = prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"))
+    keep = named.join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    # a null id stands as the text, and others behind a sign that tells them from it
+    key = lambda c: F.coalesce(F.concat(F.lit("i"), c.cast("string")), F.lit(""))
+    keep = keep.select(key(F.col("first.doc_id")).alias("__id"), F.col("first.th").alias("__th"))
+    own = docs.withColumns({"__id": key(F.col(doc_id).cast("long")), "__th": F.xxhash64(F.col(text).cast("string"))})
+    return own.join(keep.hint("merge"), ["__id", "__th"], "left_semi").dropDuplicates(["__id", "__th"]).select(*docs.columns)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
