@@ -64,13 +64,15 @@ def test_trie_join_finds_all_links():
     assert len({root(int(x)) for x in fps}) == len(set(want.values()))
 
 
-def test_large_nodes_are_dealt_out_again(spark, monkeypatch):
+@pytest.mark.parametrize("unit", [1, 6, 50])
+def test_large_nodes_are_opened(spark, unit):
+    """Clouds of fingerprints round two centres, and others; nodes opened over many levels find the links of all pairs."""
     rng = np.random.default_rng(5)
-    centre = 0x1234_5678_9ABC_DEF0
-    fps = np.unique(np.array([centre ^ sum(1 << int(b) for b in rng.integers(0, 48, 3)) for _ in range(400)], dtype=np.uint64))
+    near = [c ^ sum(1 << int(b) for b in set(rng.integers(0, 64, rng.integers(0, 4)).tolist())) for c in (0x1234_5678_9ABC_DEF0, 0xFFFF_0000_0000_0001) for _ in range(120)]
+    low = [0x1234_5678_0000_0000 | int(x) for x in [*rng.integers(0, 1 << 13, 90), *rng.integers(0, 1 << 30, 60)]]
+    fps = np.unique(np.array([*near, *low, 0, (1 << 64) - 1], dtype=np.uint64))
     d = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
-    monkeypatch.setattr(simhash, "LARGE_NODE", 50)
-    found = [(np.int64(r["a"]).view(np.uint64), np.int64(r["b"]).view(np.uint64)) for r in simhash.links(d).collect()]
+    found = [(np.int64(r["a"]).view(np.uint64), np.int64(r["b"]).view(np.uint64)) for r in simhash.links(d, unit).collect()]
     want = _components(fps)
     up = {int(x): int(x) for x in fps}
 
@@ -80,8 +82,28 @@ def test_large_nodes_are_dealt_out_again(spark, monkeypatch):
         return x
 
     for a, b in found:
+        assert want[int(a)] == want[int(b)]
         up[root(int(a))] = root(int(b))
-    assert len({root(int(x)) for x in fps}) == len(set(want.values()))
+    assert len({root(int(x)) for x in fps}) == len(set(want.values())) > 10
+
+
+def test_near_dedup_of_repeated_and_null_ids(spark):
+    """Rows that share an id but no text are documents of their own; a group of null ids, or with one, keeps one row."""
+    a, b, c = ("first text about rivers and stones " * 9, "second words upon mountains with snow " * 9, "third lines over oceans far away " * 9)
+    rows = [(1, a, "x"), (1, b, "x"), (2, a + " ", "x"), (None, b, "x"), (None, c, "x"), (None, c, "y"), (7, None, "x"), (8, "", "x"), (9, " ", "x"), (0, "lone words of its own kind here now", "x"), (0, "lone words of its own kind here now", "x")]
+    out = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string, th string"))
+    assert out.columns == ["doc_id", "text", "th"]
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (None, c), (7, None), (0, rows[-1][1])], key=str)
+
+
+def test_components_of_hot_nodes_and_chains(spark):
+    edges = [(0, i) for i in range(1, 400)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, 5000), (None, 3), (399, 2000), (2000, 2001)]
+    from siltstone.llm.components import components
+
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in [*range(400), 2000, 2001]} | {1000 + i: 1000 for i in range(61)}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_simhash_brute_force(spark):
