@@ -70,12 +70,22 @@ class Template:
         text, at = self.read_text(s, at, self.closing)
         return role, text, at
 
+    def closed(self, s: str) -> tuple[str, str, int] | None:
+        """parse() of the first turn of s; None if s ends before the turn does."""
+        try:
+            return self.parse(s)
+        except ValueError:
+            head = self.opening.partition("{role}")[0]
+            if not (s.startswith(head) or head.startswith(s)):
+                raise
+            return None
+
     def unquote(self, text: str) -> str:
         return self.read_text(text + self.closing, 0, self.closing)[0]
 
 
 TEMPLATE = Template()
-SEGMENTS = "conv_id long, turn long, part int, text string, loss boolean, valid boolean"
+SEGMENTS = "conv_id long, turn long, seq long, part int, text string, loss boolean, valid boolean"
 
 
 def in_order(convs: DataFrame) -> DataFrame:
@@ -85,7 +95,7 @@ def in_order(convs: DataFrame) -> DataFrame:
 
 
 def chat_segments(convs: DataFrame, template: Template = TEMPLATE) -> DataFrame:
-    """conv_id, turn, part (0 opening, 1 text, 2 closing), text, loss, valid: three rows per row of convs, in conversation order.
+    """conv_id, turn, seq (the turn's place), part (0 opening, 1 text, 2 closing), text, loss, valid: three rows per row of convs, in conversation order.
 
     valid is false from the first turn that the machine does not allow. Null
     roles and texts are empty; a null conv_id is one conversation, a null turn
@@ -95,13 +105,15 @@ def chat_segments(convs: DataFrame, template: Template = TEMPLATE) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, state = object(), ""
+        conv, state, at = object(), "", 0
         for b in batches:
             ids, turns = b.column(0).to_pylist(), b.column(1).to_pylist()
-            text, loss, valid = [], [], []
+            text, loss, valid, seq = [], [], [], []
             for i, role, t in zip(ids, b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 if i != conv:
-                    conv, state = i, "start"
+                    conv, state, at = i, "start", 0
+                seq.append(at)
+                at += 1
                 state = template.moves.get(state, {}).get(role, "broken")
                 for s, x in template.segments(role, t):
                     text.append(s)
@@ -109,9 +121,9 @@ def chat_segments(convs: DataFrame, template: Template = TEMPLATE) -> DataFrame:
                 valid.append(state != "broken")
             n = len(ids)
             yield pa.RecordBatch.from_arrays([
-                pa.array([i for i in ids for _ in range(3)], pa.int64()), pa.array([i for i in turns for _ in range(3)], pa.int64()), pa.array([0, 1, 2] * n, pa.int32()),
+                pa.array([i for i in ids for _ in range(3)], pa.int64()), pa.array([i for i in turns for _ in range(3)], pa.int64()), pa.array([i for i in seq for _ in range(3)], pa.int64()), pa.array([0, 1, 2] * n, pa.int32()),
                 pa.array(text, pa.string()), pa.array(loss, pa.bool_()), pa.array([v for v in valid for _ in range(3)], pa.bool_()),
-            ], names=["conv_id", "turn", "part", "text", "loss", "valid"])
+            ], names=["conv_id", "turn", "seq", "part", "text", "loss", "valid"])
 
     return in_order(convs).mapInArrow(run, SEGMENTS)
 
@@ -120,16 +132,22 @@ DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss
 
 
 def read_back(segments: DataFrame, template: Template = TEMPLATE) -> DataFrame:
-    """One row per conversation of chat_segments(), parsed again from the formatted text; needs its row order.
+    """One row per conversation of chat_segments(), parsed again from the formatted text.
 
-    Hashes are taken as the segments stream by: a task holds one turn at a time.
+    Segments must come in the order that chat_segments() gives them; one out of
+    its place raises ValueError, as does text that is no closed turn. Where a
+    turn ends is read from the text alone. Hashes are taken as the segments
+    stream by: a task holds one turn at a time.
     """
 
     class Open:
         def __init__(self, conv):
-            self.conv, self.n, self.turns, self.loss, self.loss_n, self.chars, self.valid, self.held = conv, 0, hashlib.sha256(), hashlib.sha256(), 0, 0, True, ""
+            self.conv, self.n, self.turns, self.loss, self.loss_n, self.chars, self.valid, self.held, self.next = conv, 0, hashlib.sha256(), hashlib.sha256(), 0, 0, True, "", (0, 0)
 
-        def take(self, part: int, text: str, loss: bool, valid: bool) -> None:
+        def take(self, seq: int, part: int, text: str, loss: bool, valid: bool) -> None:
+            if (seq, part) != self.next:
+                raise ValueError(f"segment {seq}, {part} of conversation {self.conv} is out of place")
+            self.next = (seq, part + 1) if part < 2 else (seq + 1, 0)
             self.chars += len(text)
             self.held += text
             self.valid = self.valid and valid
@@ -137,15 +155,15 @@ def read_back(segments: DataFrame, template: Template = TEMPLATE) -> DataFrame:
                 said = template.unquote(text)
                 self.loss_n += len(said)
                 self.loss.update(said.encode("utf-8", "surrogatepass"))
-            if part == 2:
-                role, said, end = template.parse(self.held)
-                if end != len(self.held):
-                    raise ValueError("text follows a closed turn")
+            while self.held.endswith(template.closing) and (turn := template.closed(self.held)) is not None:
+                role, said, end = turn
                 self.turns.update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
                 self.n += 1
-                self.held = ""
+                self.held = self.held[end:]
 
         def row(self) -> tuple:
+            if self.held:
+                raise ValueError(f"conversation {self.conv} ends in an open turn")
             return self.conv, self.n, self.turns.hexdigest(), self.loss_n, self.loss.hexdigest(), self.chars, self.valid
 
     def table(rows: list[tuple]) -> pa.RecordBatch:
@@ -155,12 +173,12 @@ def read_back(segments: DataFrame, template: Template = TEMPLATE) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, done = None, []
         for b in batches:
-            for conv, part, text, loss, valid in zip(*(b.column(k).to_pylist() for k in (0, 2, 3, 4, 5)), strict=True):
+            for conv, seq, part, text, loss, valid in zip(*(b.column(k).to_pylist() for k in ("conv_id", "seq", "part", "text", "loss", "valid")), strict=True):
                 if now is None or conv != now.conv:
                     if now is not None:
                         done.append(now.row())
                     now = Open(conv)
-                now.take(part, text, loss, valid)
+                now.take(seq, part, text, loss, valid)
             if done:
                 yield table(done)
                 done = []
