@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,17 +19,30 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share; one of our own where it is unset, as in tests."""
+    """The folder of spark.checkpoint.dir, which all executors share; where it is unset and all runs in one process, as in tests, one of our own."""
     sc = spark.sparkContext
     known = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not known:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         known = tempfile.mkdtemp(prefix="siltstone-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", known)
     return known.rstrip("/")
 
 
+_paths: dict[str, list[str]] = {}
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/siltstone/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/siltstone/{name}-{uuid.uuid4().hex}"
+    _paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every intermediate table that this application has written: for when the results that rest on them are written themselves."""
+    for path in _paths.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

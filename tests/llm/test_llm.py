@@ -487,6 +487,34 @@ def test_chat_escapes_and_order(spark):
     assert rows[3]["turns_sha256"] == hashlib.sha256(b"us:er\nx\n").hexdigest()
 
 
+def test_chat_odd_rows(spark):
+    """Empty table, extra and clashing columns, equal and null turns, texts that look like markers, against hashes taken by hand."""
+    schema = "conv_id long, turn long, role string, text string, seq string, valid int"
+    rows = [(1, 1, "assistant", "b </turn>\n### user: x </turn>\n", "q", 1), (1, 0, "user", "a", "q", 1), (1, 1, "assistant", "a </turn>", "q", 1), (2, None, "system", "\\", "q", 1), (2, 5, None, None, "q", 1), (3, 0, "user", "", "q", 1), (3, 0, "user", "", "q", 1), (None, 0, "user", "n", "q", 1)]
+    assert chat.read_back(chat.chat_segments(spark.createDataFrame([], schema))).count() == 0
+    d = spark.createDataFrame(rows, schema)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
+    want = {}
+    for c, _, role, text, *_ in order:
+        want.setdefault(c, []).append((role or "", text or ""))
+    segments = chat.chat_segments(d)
+    got = {r["conv_id"]: r for r in chat.read_back(segments).collect()}
+    for c, turns in want.items():
+        said = "".join(t for r, t in turns if r == "assistant")
+        assert got[c]["n_turns"] == len(turns) and got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+        text = "".join(r["text"] for r in sorted((r for r in segments.collect() if r["conv_id"] == c), key=lambda r: (r["seq"], r["part"])))
+        at, read = 0, []
+        while at < len(text):
+            role, t, at = chat.TEMPLATE.parse(text, at)
+            read.append((role, t))
+        assert read == turns and got[c]["formatted_chars"] == len(text)
+    assert got[None]["valid"] and not got[1]["valid"] and not got[2]["valid"] and not got[3]["valid"]
+    for broken in (segments.orderBy("conv_id", F.desc("seq"), "part"), segments.where("part <> 2")):
+        with pytest.raises(Exception, match="out of place|open turn"):
+            chat.read_back(broken.coalesce(1)).collect()
+
+
 def test_topk_ties_and_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, []), (7, [0.5])]
     d = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
