@@ -25,6 +25,7 @@ BLOCK, SHARD_SLOTS, SEED, MOST_REPEATS = 64, 1 << 16, 20240229, 3
 PIECES, PIECE_DOCS = 256, 1 << 16
 #: Sources up to which the plan, a row for each, is broadcast; beyond, it is dealt out under SALTS.
 BROADCAST_SOURCES, SALTS = 1 << 16, 64
+_PARTS = ("pass", "from_word", "n_words")
 
 
 def targets(sizes: list[int], weights: list[float], total: float, most: float = MOST_REPEATS) -> list[float]:
@@ -216,31 +217,37 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     sizes = sizes.groupBy("doc_id", "th", "size").agg(F.min("rid").alias("rid"), F.min(F.struct(F.col("source").isNull(), "source"))["source"].alias("source"))
     sizes = materialize(sizes.select("rid", "doc_id", "th", "source", "size"), "mixing-documents")
     plan = source_plan(sizes, block)
-    taken = taken_pieces(sizes, plan, block, seed).groupBy("rid", "pass").agg(F.collect_list(F.struct("from_word", "n_words")).alias("parts"))
-    taken = taken.groupBy("rid").agg(F.collect_list(F.struct("pass", "parts")).alias("passes"))
-    taken = sizes.select("rid", F.col("doc_id").alias("__doc"), "th").join(taken, "rid").select("__doc", "th", "passes")
+    # a document's pieces in order of pass and place, as three arrays of numbers
+    taken = taken_pieces(sizes, plan, block, seed).groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("pass", "from_word", "n_words"))).alias("parts"))
+    taken = sizes.select("rid", F.col("doc_id").alias("__doc"), "th").join(taken, "rid").select("__doc", "th", *[F.col(f"parts.{c}").alias(f"__{c}") for c in _PARTS])
     names = docs.columns
     own = docs.withColumn("__th", F.xxhash64(F.col(text)))
-    joined = own.join(taken, own[doc_id].eqNullSafe(taken["__doc"]) & (own["__th"] == taken["th"])).select(F.col(text).cast("string").alias("t"), "passes", F.struct(*[c for c in names if c not in (text, n_chars)]).alias("rest"))
+    rest = F.struct(*[c for c in names if c not in (text, n_chars)]).alias("rest")
+    joined = own.join(taken, own[doc_id].eqNullSafe(taken["__doc"]) & (own["__th"] == taken["th"])).select(F.col(text).cast("string").alias("t"), *[F.col(f"__{c}") for c in _PARTS], rest)
     word = re.compile(WORD)
 
     def run(batches):
         for b in batches:
             at, texts, sizes = [], [], []
-            for i, (t, passes) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
-                spans = [m.span() for m in word.finditer(t)]
-                for p in sorted(passes, key=lambda p: p["pass"]):
-                    runs: list[list[int]] = []
-                    for x in sorted(p["parts"], key=lambda x: x["from_word"]):
-                        if runs and runs[-1][1] == x["from_word"]:
-                            runs[-1][1] += x["n_words"]
-                        else:
-                            runs.append([x["from_word"], x["from_word"] + x["n_words"]])
-                    text_ = "\n".join(t[spans[a][0] : spans[e - 1][1]] for a, e in runs)
+            parts = [b.column(k) for k in (1, 2, 3)]
+            ends = np.concatenate(([0], np.cumsum(parts[0].value_lengths().to_numpy())))
+            turn, first, n = (p.flatten().to_numpy() for p in parts)
+            for i, t in enumerate(b.column(0).to_pylist()):
+                spans = np.array([m.span() for m in word.finditer(t)], dtype=np.int64)
+                own = slice(ends[i], ends[i + 1])
+                turns, starts, stops = turn[own], first[own], first[own] + n[own]
+                # a run ends where the pass ends, or where the next piece does not follow on
+                new = np.append(True, (turns[1:] != turns[:-1]) | (starts[1:] != stops[:-1]))
+                heads = np.flatnonzero(new)
+                tails = np.append(heads[1:], len(turns)) - 1
+                said: dict[int, list[str]] = {}
+                for a, e in zip(heads.tolist(), tails.tolist(), strict=True):
+                    said.setdefault(int(turns[a]), []).append(t[spans[starts[a], 0] : spans[stops[e] - 1, 1]])
+                for pieces in said.values():
                     at.append(i)
-                    texts.append(text_)
-                    sizes.append(len(text_))
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), b.column(2).take(pa.array(at, pa.int64()))], names=["t", "n", "rest"])
+                    texts.append("\n".join(pieces))
+                    sizes.append(len(texts[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), b.column(4).take(pa.array(at, pa.int64()))], names=["t", "n", "rest"])
 
     rest = joined.schema["rest"].dataType.simpleString()
     out = joined.mapInArrow(run, f"t string, n long, rest {rest}")
