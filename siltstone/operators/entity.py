@@ -27,16 +27,21 @@ def trigrams(text: Column) -> Column:
     return F.array_distinct(F.flatten(grams))
 
 
-def trigram_pairs(names: DataFrame, key: str, name: str, threshold: float = 0.5) -> DataFrame:
-    """(a, b, similarity), a < b by key, of names at or above the threshold.
+def similarity(a: Column, b: Column) -> Column:
+    """The share of all 3-grams of two texts that both hold; null where neither has one."""
+    x, y = trigrams(a), trigrams(b)
+    both = F.size(F.array_intersect(x, y))
+    return F.try_divide(both.cast("double"), (F.size(x) + F.size(y) - both).cast("double"))
+
 
-    Names are made distinct first, so equal names meet once and are expanded
-    last. A pair must share a gram of its prefix: of a set of n grams in order
-    of rarity, one of the first n - ceil(threshold * n) + 1. Only these are
+def trigram_name_pairs(names: DataFrame, name: str, threshold: float = 0.5) -> DataFrame:
+    """(n1, n2, similarity), n1 < n2, of different names at or above the threshold.
+
+    A pair must share a gram of its prefix: of a set of n grams in order of
+    rarity, one of the first n - ceil(threshold * n) + 1. Only these are
     exploded and joined; the similarity is then taken from whole sets.
     """
-    own = names.select(F.col(key).alias("k"), F.col(name).alias("n")).where("n IS NOT NULL")
-    sets = own.select("n").distinct().select("n", trigrams(F.col("n")).alias("g")).where(F.size("g") > 0)
+    sets = names.select(F.col(name).alias("n")).where("n IS NOT NULL").distinct().select("n", trigrams(F.col("n")).alias("g")).where(F.size("g") > 0)
     rare = sets.select(F.explode("g").alias("t")).groupBy("t").agg(F.count("*").alias("c"))
     ordered = sets.select("n", F.explode("g").alias("t")).join(rare, "t").groupBy("n").agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("o"))
     size = F.size("o")
@@ -44,8 +49,23 @@ def trigram_pairs(names: DataFrame, key: str, name: str, threshold: float = 0.5)
     met = prefix.alias("l").join(prefix.alias("r"), "t").where("l.n < r.n").select(F.col("l.n").alias("n1"), F.col("r.n").alias("n2")).distinct()
     g1, g2 = sets.select(F.col("n").alias("n1"), F.col("g").alias("g1")), sets.select(F.col("n").alias("n2"), F.col("g").alias("g2"))
     both = F.size(F.array_intersect("g1", "g2"))
-    near = met.join(g1, "n1").join(g2, "n2").withColumn("similarity", both / (F.size("g1") + F.size("g2") - both)).where(F.col("similarity") >= threshold).select("n1", "n2", "similarity")
-    return near
+    return met.join(g1, "n1").join(g2, "n2").withColumn("similarity", both / (F.size("g1") + F.size("g2") - both)).where(F.col("similarity") >= threshold).select("n1", "n2", "similarity")
+
+
+def trigram_pairs(names: DataFrame, key: str, name: str, threshold: float = 0.5) -> DataFrame:
+    """(a, b, similarity) of names at or above the threshold: of each name's rows and of each pair of names no link is lost, and no group is written out pair by pair.
+
+    A name's least key stands for it: it is paired with the name's other keys,
+    at similarity 1, and with the least keys of similar names, the smaller key
+    first. Rows of null names, and of names without letters or digits, meet none.
+    """
+    own = names.select(F.col(key).alias("k"), F.col(name).alias("n")).where("n IS NOT NULL").where(F.size(trigrams(F.col("n"))) > 0)
+    least = own.groupBy("n").agg(F.min("k").alias("first"))
+    same = own.join(least, "n").where("k <> first").select(F.col("first").alias("a"), F.col("k").alias("b"), F.lit(1.0).alias("similarity"))
+    near = trigram_name_pairs(own, "n", threshold)
+    l1, l2 = least.select(F.col("n").alias("n1"), F.col("first").alias("f1")), least.select(F.col("n").alias("n2"), F.col("first").alias("f2"))
+    met = near.join(l1, "n1").join(l2, "n2").select(F.least("f1", "f2").alias("a"), F.greatest("f1", "f2").alias("b"), "similarity")
+    return same.unionByName(met).distinct()
 
 
 def cross_source_duplicates(rows: DataFrame, group: list[str], source: str, day: str, key: str, trust: str, days: int = 3) -> DataFrame:

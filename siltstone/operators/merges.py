@@ -27,11 +27,19 @@ def get_or_create(known: DataFrame, names: DataFrame, key: str, name: str) -> Da
     up, and only within a piece names are put in order. Null names are skipped.
     """
     new = names.where(F.col(name).isNotNull()).select(name).distinct().join(known.select(name), name, "left_anti").withColumn("__p", F.substr(F.md5(F.col(name).cast("binary")), F.lit(1), F.lit(2)))
-    sums = new.groupBy("__p").agg(F.count("*").alias("n"))
-    base = sums.select("__p", (F.sum("n").over(Window.orderBy("__p")) - F.col("n")).alias("base"))  # at most 256 rows
     top = known.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).scalar()
-    ranked = new.withColumn("i", F.row_number().over(Window.partitionBy("__p").orderBy(name))).join(F.broadcast(base), "__p")
-    return known.select(F.col(key).cast("long").alias(key), name).unionByName(ranked.select((top + F.col("base") + F.col("i")).alias(key), name))
+    return known.select(F.col(key).cast("long").alias(key), name).unionByName(_numbered(new, "__p", name).select((top + F.col("i")).alias(key), name))
+
+
+def numbered(rows: DataFrame, key: str, span: int = 1 << 16) -> DataFrame:
+    """rows with `i`, from 1 in order of the key, a whole number: counted by spans of keys, put in order within a span only."""
+    return _numbered(rows.withColumn("__p", F.floor(F.col(key) / span)), "__p", key).drop("__p")
+
+
+def _numbered(rows: DataFrame, piece: str, order: str) -> DataFrame:
+    sums = rows.groupBy(piece).agg(F.count(F.lit(1)).alias("n"))
+    base = sums.select(piece, (F.sum("n").over(Window.orderBy(piece)) - F.col("n")).alias("base"))  # a row for each piece
+    return rows.withColumn("i", F.row_number().over(Window.partitionBy(piece).orderBy(order))).join(base, piece).withColumn("i", F.col("base") + F.col("i")).drop("base")
 
 
 def claim(queue: DataFrame, key: str, status: str, last: str, limit: int) -> DataFrame:

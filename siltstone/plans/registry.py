@@ -12,7 +12,7 @@ from siltstone.operators import entity
 from siltstone.sources.tables import TABLES, read
 from siltstone.streaming import incremental
 
-from . import postings
+from . import extraction, postings, storage
 from .shared import SHARED, SPLIT
 
 
@@ -31,7 +31,7 @@ def _oracle(sql: str) -> str:
 
 
 def join_self_theta_trgm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entity.trigram_pairs(read(spark, sf_dir, "part"), "p_partkey", "p_name").select("n1", "n2", F.round("similarity", 4).alias("similarity"))
+    return entity.trigram_pairs(read(spark, sf_dir, "part"), "p_partkey", "p_name").select("a", "b", F.round("similarity", 4).alias("similarity"))
 
 
 def fn_strip_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +74,9 @@ DATAFRAME = {f.__name__: f for f in (join_self_theta_trgm, fn_strip_suffix, dedu
 _GRAMS = """SELECT n, list_distinct(flatten(list_transform(list_filter(string_split_regex(lower(n), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''),
     lambda w: list_transform(generate_series(1, length(w) + 1), lambda i: substr('  ' || w || ' ', i, 3))))) AS g FROM (SELECT DISTINCT p_name AS n FROM part WHERE p_name IS NOT NULL)"""
 DATAFRAME_ORACLE = {
-    "join_self_theta_trgm": f"""WITH s AS ({_GRAMS}), p AS (SELECT a.n AS n1, b.n AS n2, len(list_intersect(a.g, b.g)) AS k, len(a.g) + len(b.g) AS t FROM s a JOIN s b ON a.n < b.n)
-        SELECT n1, n2, round(k::DOUBLE / (t - k), 4) AS similarity FROM p WHERE k::DOUBLE / (t - k) >= 0.5""",
+    "join_self_theta_trgm": f"""WITH s AS ({_GRAMS}), f AS (SELECT p_name AS n, min(p_partkey) AS k FROM part GROUP BY 1), p AS (SELECT a.n AS n1, b.n AS n2, len(list_intersect(a.g, b.g)) AS k, len(a.g) + len(b.g) AS t FROM s a JOIN s b ON a.n < b.n WHERE len(a.g) > 0 AND len(b.g) > 0)
+        SELECT least(x.k, y.k) AS a, greatest(x.k, y.k) AS b, round(p.k::DOUBLE / (t - p.k), 4) AS similarity FROM p JOIN f x ON x.n = n1 JOIN f y ON y.n = n2 WHERE p.k::DOUBLE / (t - p.k) >= 0.5
+        UNION ALL SELECT f.k, q.p_partkey, 1.0 FROM part q JOIN f ON f.n = q.p_name JOIN s ON s.n = f.n WHERE q.p_partkey <> f.k AND len(s.g) > 0""",
     "fn_strip_suffix": "SELECT c_custkey, c_mktsegment AS stripped FROM customer",
     "dedup_cross_source": """WITH f AS (SELECT *, o_orderdate::DATE AS day, first_value(o_orderkey) OVER w AS ck, first_value(o_orderpriority) OVER w AS cs, first_value(o_orderdate::DATE) OVER w AS cd FROM orders
         WINDOW w AS (PARTITION BY o_custkey ORDER BY coalesce(o_totalprice, -1) DESC, o_orderdate::DATE, o_orderkey))
@@ -97,8 +98,8 @@ DATAFRAME_ORACLE = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: statement(v) for k, v in SHARED.items()} | {k: statement(v[0]) for k, v in SPLIT.items()} | DATAFRAME | postings.queries()
+    return {k: statement(v) for k, v in SHARED.items()} | {k: statement(v[0]) for k, v in SPLIT.items()} | DATAFRAME | postings.queries() | extraction.queries() | storage.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _oracle(v) for k, v in SHARED.items()} | {k: v[1] for k, v in SPLIT.items()} | DATAFRAME_ORACLE | postings.oracle_sql()
+    return {k: _oracle(v) for k, v in SHARED.items()} | {k: v[1] for k, v in SPLIT.items()} | DATAFRAME_ORACLE | postings.oracle_sql() | extraction.oracle_sql() | storage.oracle_sql()

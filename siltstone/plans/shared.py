@@ -120,7 +120,6 @@ SHARED: dict[str, str] = {
     "fn_salary_anomaly": "SELECT o_orderkey, CASE WHEN o_totalprice IS NULL THEN 'missing' WHEN o_totalprice < 1000 THEN 'too low' WHEN o_totalprice > 400000 THEN 'wide' END AS flag FROM {orders}",
     "fn_salary_swap": "SELECT l_orderkey, l_linenumber, least(l_quantity, l_extendedprice) AS lo, greatest(l_quantity, l_extendedprice) AS hi FROM {lineitem}",
     "fn_app_method": "SELECT page_id, CASE WHEN url LIKE 'mailto:%' THEN 'email' ELSE 'url' END AS method FROM {pages}",
-    "str_daily_window": "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM {events} GROUP BY CAST(ts AS DATE)",
     # analytics
     "q_headcount_demand": "SELECT o_custkey, count(*) AS all_jobs, count(*) FILTER (WHERE o_orderstatus = 'O') AS active_jobs FROM {orders} GROUP BY o_custkey",
     "q_skill_demand_daily": "SELECT CAST(o.o_orderdate AS DATE) AS day, l.l_partkey AS skill, c.c_nationkey AS country, count(*) AS n FROM {orders} o JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey JOIN {customer} c ON c.c_custkey = o.o_custkey GROUP BY CAST(o.o_orderdate AS DATE), l.l_partkey, c.c_nationkey",
@@ -128,8 +127,6 @@ SHARED: dict[str, str] = {
     "q_corpus_checks": "SELECT count(*) AS n, count(*) - count(DISTINCT doc_id) AS duplicate_keys, count(*) FILTER (WHERE doc_id IS NULL) AS null_keys, count(DISTINCT source) AS sources, count(*) > 0 AS passed FROM {documents}",
     "q_volume_outliers": "SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) - INTERVAL '90' DAY FROM {events}) AS is_outlier FROM {events} GROUP BY CAST(ts AS DATE)",
     # further sources, filters, joins, sorts and merges
-    "src_parquet_footer_count": "SELECT count(*) AS n FROM {lineitem}",
-    "src_partition_from_path": "SELECT doc_id, regexp_extract('shards/source=' || source || '/dt=2024-01-01/part-0.parquet', 'source=([^/]+)', 1) AS part FROM {documents}",
     "flt_desc_pending": "SELECT d.doc_id FROM {documents} d LEFT JOIN {benchmark} b ON b.item_id = d.doc_id WHERE d.lang NOT IN ('en', 'unknown') AND d.source IS NOT NULL AND b.text IS NULL",
     "flt_blank_text": "SELECT doc_id FROM {documents} WHERE (text IS NULL OR trim(text) = '') OR (lang IS NULL OR trim(lang) = '')",
     "flt_suspect_rows": "SELECT count(*) AS n, count(*) FILTER (WHERE length(html) < 500) AS short_pages, count(*) FILTER (WHERE lower(url) LIKE '%/about%' OR lower(url) LIKE '%/login%') AS navigation FROM {pages}",
