@@ -23,6 +23,8 @@ from .common import join_hot, materialize, new_path, read, remove, shuffles
 MIN_CHARS, MIN_DOCS, FANOUT = 40, 5, 2
 #: In how many batches a corpus comes that is all there from the start. A batch is as distributed as the whole: more of them cost runs, and save no memory.
 BATCHES = 4
+#: Line occurrences for each bucket of a run, up to as many buckets as shuffle partitions: small runs are few files.
+BUCKET_LINES = 250_000
 _STRIP = " \t\n\x0b\x0c\r"
 _LOWER = {i: i + 32 for i in range(65, 91)}
 #: Stands for a null id: below every id, so never the one that keeps a line unless all ids are null.
@@ -155,13 +157,13 @@ def drops(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars
     lines = stage_lines(docs, text, doc_id, min_chars)
     lines.withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches)).cast("int")).write.partitionBy("batch").parquet(staged)
     every = spark.read.schema("doc long, h1 long, h2 long, batch int").parquet(staged)
-    runs = LineRuns(spark, n)
+    occurrences = every.count()
+    runs = LineRuns(spark, max(1, min(n, occurrences // BUCKET_LINES)))
     for k in range(batches):
         runs.add(every.where(F.col("batch") == k).select("doc", "h1", "h2"))
-    share = every.count() / n
     common = materialize(runs.totals().where(F.col("n_docs") >= min_docs), "lines-common")
     keys = ["h1", "h2"]
-    met = join_hot(every, common, keys, "n_docs", share)
+    met = join_hot(every, common, keys, "n_docs", occurrences / n)
     lost = met.where("doc < last_doc").select("doc", *keys).distinct()
     # a document's own lines are gathered, never a line's documents
     out = materialize(lost.groupBy("doc").agg(F.collect_list(F.struct(*keys)).alias("lines")), "lines-lost")
