@@ -15,6 +15,7 @@ is the rank of its bytes put together, however these came about.
 from __future__ import annotations
 
 import base64
+import ctypes
 import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import compress
@@ -32,11 +33,11 @@ LONG_PIECE = 63
 #: Steps of one query over long pieces, whose recursion keeps every step's rows; what is not done then goes into the next query.
 LONG_STEPS, LONG_BYTES = 16, 100_000
 #: Units whose ids a worker remembers; beyond that it keeps those met again, half as many at most.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: Characters that are encoded together, at least one text.
 PART_CHARS = 1_500_000
 #: Units kept from one task to the next, those met most.
-KEPT = 400_000
+KEPT = 250_000
 #: Pieces that one recursive query contracts.
 PIECES = 20_000
 
@@ -93,21 +94,20 @@ class Tokenizer:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         self.pattern = regex.compile(pattern)
-        self.merges: dict[tuple[int, int], int] = {}
         ranks = self.ranks
+        merges: list[tuple[int, int, int]] = []
         for token, rank in ranks.items():
             for k in range(1, len(token)):
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
-                    self.merges[a, b] = rank
+                    merges.append((a, b, rank))
         self.byte = [ranks[bytes([i])] for i in range(256)]
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": False})
-        keys = np.array(list(self.merges), dtype=np.int32).reshape(-1, 2)
-        self._table("merge_rows", a=keys[:, 0], b=keys[:, 1], rank=np.array(list(self.merges.values()), dtype=np.int32))
+        rows = np.array(merges, dtype=np.int32).reshape(-1, 3)
+        self._table("merge_rows", a=rows[:, 0], b=rows[:, 1], rank=rows[:, 2])
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
         # tokens that can stand in a pair of lower rank than their own
-        loose = sorted({x for pair, rank in self.merges.items() for x in pair if rank < x})
-        self._table("loose_rows", tok=np.array(loose, dtype=np.int32))
+        self._table("loose_rows", tok=np.unique(np.concatenate([rows[rows[:, 2] < rows[:, k], k] for k in (0, 1)])))
         self.con.execute("CREATE TABLE loose AS SELECT * FROM loose_rows")
         self._table("vocab_rows", tok=np.array(list(ranks.values()), dtype=np.int32), s=[t.decode("latin-1") for t in ranks])
         self.con.execute("CREATE TABLE vocab AS SELECT * FROM vocab_rows")
@@ -260,6 +260,14 @@ def _gather(values: np.ndarray, starts: np.ndarray, k: np.ndarray) -> tuple[np.n
     return values[np.repeat(starts[k] - ends[:-1], size) + np.arange(ends[-1])], ends
 
 
+def _trim() -> None:
+    """Give free memory back to the system, where the C library can: a worker that waits for its next task holds what it remembers only."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 _made: dict[tuple[str, str], Tokenizer] = {}
 
 
@@ -313,6 +321,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
                 size, at = 0, i + 1
         if len(tok.units) > KEPT:  # an idle worker keeps what it holds
             tok.keep(KEPT)
+        _trim()
 
     out = own.mapInArrow(run, f"n_tokens long, ids_sha256 string, decoded_sha256 string, rest {kind}" + ", ids array<int>" * ids)
     return out.select(*[F.col("rest").getField(c).alias(c) for c in rest], "n_tokens", *["ids"] * ids, "ids_sha256", "decoded_sha256")
