@@ -389,6 +389,29 @@ def label_value(page: Column, label: str) -> Column:
     return _over("string", lambda markup: labelled(tree(markup), label), page)
 
 
+def json_walk(payload: Column, path: str) -> Column:
+    """The value at a path as JSON text; null where there is none."""
+
+    def use(raw: str) -> str | None:
+        found = walk(lenient_json(raw), path)
+        return None if found is None else json.dumps(found, ensure_ascii=False, separators=(",", ":"))
+
+    return _over("string", use, payload)
+
+
+def json_joined(payload: Column, paths: list[str], mark: str = "\n") -> Column:
+    """The values at several paths, lists opened, nulls and empty texts dropped, joined by the mark."""
+
+    def use(raw: str) -> str:
+        node, parts = lenient_json(raw), []
+        for path in paths:
+            found = walk(node, path)
+            parts += [str(x) for x in (found if isinstance(found, list) else [found]) if x not in (None, "")]
+        return mark.join(parts)
+
+    return _over("string", use, payload)
+
+
 def json_template(payload: Column, template: str) -> Column:
     return _over("string", lambda raw: filled(lenient_json(raw), template), payload)
 

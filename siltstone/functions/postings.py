@@ -109,14 +109,18 @@ def education_level(text: Column) -> Column:
     return first_match(text, EDUCATION)
 
 
-def experience_level(title: Column, text: Column) -> Column:
-    """By the title; else by the years that the text asks for, the lower of a range; else by the text's words."""
+def experience_level(title: Column, text: Column, years: Column | None = None) -> Column:
+    """By the title; else by the years that a source states; else by those that the text asks for, the lower of a range; else by the text's words."""
     found = [F.nullif(F.regexp_extract(text, "(?iU)" + EXPERIENCE_YEARS, k), F.lit("")) for k in (1, 2)]
-    years = F.coalesce(*found).try_cast("double")
-    level = F.when(years.isNull(), None)
-    for least, code in YEARS_LEVELS:
-        level = level.when(years >= least, code)
-    return F.coalesce(first_match(title, EXPERIENCE), level.otherwise("entry"), first_match(text, EXPERIENCE))
+
+    def of(n: Column) -> Column:
+        level = F.when(n.isNull(), None)
+        for least, code in YEARS_LEVELS:
+            level = level.when(n >= least, code)
+        return level.otherwise("entry")
+
+    stated = [] if years is None else [of(years.cast("double"))]
+    return F.coalesce(first_match(title, EXPERIENCE), *stated, of(F.coalesce(*found).try_cast("double")), first_match(text, EXPERIENCE))
 
 
 def experience_range(text: Column) -> tuple[Column, Column]:
@@ -171,10 +175,14 @@ def core_title(cleaned: Column) -> Column:
     return F.trim(F.regexp_replace(cleaned, "(?iu)" + SENIORITY, ""))
 
 
+def without_boilerplate(description: Column) -> Column:
+    """The description without a board's notice to applicants."""
+    return F.trim(F.regexp_replace(F.coalesce(description, F.lit("")), "(?isu)" + BOILERPLATE, ""))
+
+
 def is_non_job(title: Column, description: Column) -> Column:
     """A test posting, or under 15 characters of description beside the boilerplate."""
-    rest = F.trim(F.regexp_replace(F.coalesce(description, F.lit("")), "(?isu)" + BOILERPLATE, ""))
-    return F.coalesce(title.rlike("(?iu)" + TEST_TITLE), F.lit(False)) | (F.length(rest) < 15)
+    return F.coalesce(title.rlike("(?iu)" + TEST_TITLE), F.lit(False)) | (F.length(without_boilerplate(description)) < 15)
 
 
 def pay_period(text: Column) -> Column:
@@ -197,16 +205,40 @@ def european_amount(text: Column) -> Column:
 
 
 def relative_day(text: Column, today: Column) -> Column:
-    """The day `N days|weeks|months|years ago` before today, hours and minutes being today; null if the text says no such thing."""
-    n = F.regexp_extract(text, r"(?i)(\d+)\s*(minute|hour|day|week|month|year)s?\s+ago", 1).try_cast("int")
-    unit = F.lower(F.regexp_extract(text, r"(?i)(\d+)\s*(minute|hour|day|week|month|year)s?\s+ago", 2))
+    """The day that an age in English or Hebrew stands for, minutes and hours being today; null if the text names none."""
+    pattern = r"(?i)(\d+)\s*(minute|hour|day|week|month|year)s?\s+ago"
+    n = F.regexp_extract(text, pattern, 1).try_cast("int")
+    unit = F.lower(F.regexp_extract(text, pattern, 2))
     days = F.when(unit.isin("minute", "hour"), 0).when(unit == "day", n).when(unit == "week", 7 * n).when(unit == "month", 30 * n).when(unit == "year", 365 * n)
-    return F.date_sub(today, days)
+    return F.date_sub(today, F.coalesce(days, _hebrew_age(text)))
+
+
+# Beginnings of units in Hebrew and their days; a day is also a word of its own.
+HEBREW_UNITS = (("דקו", 0), ("שע", 0), ("ימ", 1), ("שבוע", 7), ("חודש", 30), ("שנה", 365))
+HEBREW_DAY = "יום"
+
+
+def _hebrew_age(text: Column) -> Column:
+    """Days of the first number and the word behind it, where the text holds a Hebrew letter; a number alone is days."""
+    pattern = r"(\d+)\s*(\S+)?"
+    n, unit = F.regexp_extract(text, pattern, 1).try_cast("int"), F.regexp_extract(text, pattern, 2)
+    days = F.when(unit == HEBREW_DAY, n)
+    for begin, size in HEBREW_UNITS:
+        days = days.when(unit.startswith(begin), n * size)
+    return F.when(text.rlike("[\u05d0-\u05ea]"), days.otherwise(n))
+
+
+# The formats of days that pages print, in the order in which they are tried.
+DAY_FORMATS = ("yyyy-M-d", "yyyy/M/d", "d-M-yyyy", "d/M/yyyy", "d.M.yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy")
 
 
-def dotted(json: Column, path: str) -> Column:
-    """The value at a path such as a.b[].c; [] goes over a list, and over a single object as a list of one."""
-    return F.coalesce(F.get_json_object(json, "$." + path.replace("[]", "[*]")), F.get_json_object(json, "$." + path.replace("[]", "")))
+def parse_day(text: Column) -> Column:
+    """A printed day, or the day that an ISO time begins with; null if it is neither."""
+    own = F.trim(text)
+    # month names are read in any case
+    cased = F.initcap(F.lower(own))
+    days = [F.try_to_timestamp(cased, F.lit(f)).cast("date") for f in DAY_FORMATS]
+    return F.coalesce(*days, F.regexp_extract(own, r"^(\d{4}-\d{2}-\d{2})", 1).try_cast("date"))
 
 
 def skill_scan(text: Column, terms: Iterable[str]) -> Column:

@@ -36,7 +36,7 @@ def annual_usd(amount: Column, currency: Column, period: Column) -> Column:
     """A year's pay in US dollars, to the cent; null for a currency or period that is not known. Currencies count in any case, periods do not."""
     times = F.try_element_at(F.create_map(*[F.lit(x) for pair in PER_YEAR for x in pair]), period)
     rate = F.try_element_at(F.create_map(*[F.lit(x) for pair in USD_RATES for x in pair]), F.upper(currency))
-    return F.round(amount.cast("double") * times * rate, 2)
+    return F.floor(amount.cast("double") * times * rate * 100 + 0.5) / 100
 
 
 def anomaly(low: Column, high: Column) -> Column:

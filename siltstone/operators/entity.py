@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Corporate suffix words.
@@ -68,15 +68,42 @@ def trigram_pairs(names: DataFrame, key: str, name: str, threshold: float = 0.5)
     return same.unionByName(met).distinct()
 
 
-def cross_source_duplicates(rows: DataFrame, group: list[str], source: str, day: str, key: str, trust: str, days: int = 3) -> DataFrame:
-    """key and canonical key of rows that repeat a row of another source within `days` of it.
+def cross_source_duplicates(rows: DataFrame, title: str, company: str, source: str, day: str, key: str, trust: str, digest: str, days: int = 3) -> DataFrame:
+    """Rows that repeat a row of another source, by normalised title and company, within `days` of it: both rows' keys, days and sources, the normalised names, content_hash_matched.
 
     A group's canonical row is the one of greatest trust (null as -1), then
-    earliest day, then smallest key.
+    earliest day, then smallest key. It is found with map-side combining; a
+    group's other rows meet it by key, and no group is put in order.
     """
-    w = Window.partitionBy(*group).orderBy(F.coalesce(trust, F.lit(-1)).desc(), F.col(day), F.col(key))
-    first = rows.withColumns({"__k": F.first_value(key).over(w), "__s": F.first_value(source).over(w), "__d": F.first_value(day).over(w)})
-    return first.where((F.col(key) != F.col("__k")) & (F.col(source) != F.col("__s")) & (F.abs(F.datediff(day, F.col("__d"))) <= days)).select(F.col(key).alias("duplicate"), F.col("__k").alias("canonical"))
+    own = rows.select(F.col(key).alias("k"), F.col(day).alias("d"), F.col(source).alias("s"), F.col(digest).alias("h"), F.coalesce(trust, F.lit(-1)).alias("t"), normalized(F.col(title)).alias("normalized_title"), normalized(F.col(company)).alias("normalized_company"))
+    group = ["normalized_title", "normalized_company"]
+    first = own.groupBy(*group).agg(F.min_by(F.struct("k", "d", "s", "h"), F.struct((-F.col("t")).alias("t"), "d", "k")).alias("c"), F.min("s").alias("s1"), F.max("s").alias("s2")).where("s1 <> s2").select(*group, "c")
+    met = own.join(first, group).where((F.col("k") != F.col("c.k")) & (F.col("s") != F.col("c.s")) & (F.abs(F.datediff("d", F.col("c.d"))) <= days))
+    return met.select(F.col("k").alias("duplicate"), F.col("d").alias("duplicate_day"), F.col("s").alias("duplicate_source"), F.col("c.k").alias("canonical"), F.col("c.d").alias("canonical_day"), F.col("c.s").alias("canonical_source"), *group, (F.col("h") == F.col("c.h")).alias("content_hash_matched"))
+
+
+def _stripped(c: Column) -> Column:
+    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+
+
+def content_hash(title: Column, company: Column, description: Column, place: Column, low: Column, high: Column) -> Column:
+    """SHA-256 of a posting's parts; bounds come as the text that is to count, nulls are empty."""
+    parts = [_stripped(title), F.lower(_stripped(company)), _stripped(description), F.lower(_stripped(place)), F.coalesce(low, F.lit("")), F.coalesce(high, F.lit(""))]
+    return F.sha2(F.concat_ws("|", *parts), 256)
+
+
+def quality_score(disclosed: Column, place: Column, has_skills: Column, words: Column) -> Column:
+    """The share of four signs that hold, to the hundredth: pay disclosed, a place, skills, twenty words or more."""
+    signs = [disclosed, F.length(place) > 0, has_skills, words >= 20]
+    return F.round(sum((F.coalesce(s, F.lit(False)).cast("int") for s in signs), F.lit(0)) / 4.0, 2)
+
+
+def bounded_rows(rows: DataFrame, most: int) -> list:
+    """At most `most` rows on the driver; more raise, since what is built from them would grow with the data."""
+    got = rows.limit(most + 1).collect()
+    if len(got) > most:
+        raise ValueError(f"more than {most} rows")
+    return got
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, digest: str, seen: str, values: list[str]) -> DataFrame:
@@ -90,10 +117,3 @@ def upsert(old: DataFrame, new: DataFrame, key: str, digest: str, seen: str, val
     change = F.when(F.col(f"n.{key}").isNull(), "kept").when(F.col(f"o.{key}").isNull(), "inserted").when(F.col(f"o.{digest}").eqNullSafe(F.col(f"n.{digest}")), "unchanged").otherwise("updated")
     pick = [F.when(change == "updated", F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}"))).otherwise(F.coalesce(F.col(f"o.{c}"), F.col(f"n.{c}"))).alias(c) for c in values]
     return both.select(F.coalesce(F.col(f"o.{key}"), F.col(f"n.{key}")).alias(key), *pick, F.when(change.isin("updated", "inserted"), F.col(f"n.{digest}")).otherwise(F.col(f"o.{digest}")).alias(digest), F.greatest(F.col(f"o.{seen}"), F.col(f"n.{seen}")).alias(seen), change.alias("change"))
-
-
-def reject_reason(url: Column, html: Column) -> Column:
-    """The first reason why a page is no posting; null if there is none."""
-    path = F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit(""))
-    text = F.length(F.regexp_replace(F.regexp_replace(html, r"(?is)<script\b.*?</script>|<style\b.*?</style>", " "), r"<[^>]*>", ""))
-    return F.when(url.isNull() | (F.trim(url) == ""), "no url").when(path.isin("", "/"), "site root").when(path.rlike(r"-jobs/?$"), "category").when(~html.rlike(r"(?is)<title>\s*\S"), "no title").when(text < 80, "short description")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,11 +56,38 @@ def deletable(existing: DataFrame, written: DataFrame, uploaded: DataFrame, path
     return shards.join(written.select(source).distinct(), source, "left_semi").join(uploaded.select(path), path, "left_anti")
 
 
-def classify_titles(jobs: DataFrame, taxonomy: DataFrame, title: str, core: str) -> DataFrame:
-    """jobs with title_id, confidence (1.00 for the cleaned title, 0.95 for its core) and status; the taxonomy's first of equal names wins."""
+def classify_titles(jobs: DataFrame, taxonomy: DataFrame, title: str, core: str, non_job: str, vector: str, least: float) -> DataFrame:
+    """jobs with title_id, confidence and status: excluded_non_job, matched or no_match.
+
+    The cleaned title by its name counts 1.00, its core 0.95, the taxonomy's
+    smallest id of equal names; else the entry of the nearest vector by cosine
+    counts its cosine, and matches from `least` on, of equal ones the smallest
+    id. Vectors are compared once for each different title without a name. The
+    taxonomy is a reference list: at most 10,000 entries, or ValueError.
+    """
+    from .entity import bounded_rows
+
     names = taxonomy.groupBy(F.lower("name").alias("__name")).agg(F.min("id").alias("__id"))
     a, b = names.alias("a"), names.alias("b")
     both = jobs.join(a, F.lower(title) == F.col("a.__name"), "left").join(b, F.lower(core) == F.col("b.__name"), "left")
-    found = F.coalesce("a.__id", "b.__id")
-    confidence = F.when(F.col("a.__id").isNotNull(), 1.0).when(F.col("b.__id").isNotNull(), 0.95)
-    return both.select(*[jobs[c] for c in jobs.columns], found.alias("title_id"), confidence.alias("confidence"), F.when(found.isNull(), "no_match").otherwise("matched").alias("status"))
+    named = both.select(*[jobs[c] for c in jobs.columns], F.coalesce("a.__id", "b.__id").alias("__named"), F.when(F.col("a.__id").isNotNull(), 1.0).when(F.col("b.__id").isNotNull(), 0.95).alias("__sure"))
+    entries = bounded_rows(taxonomy.select("id", vector), 10_000)
+    own = named.where(F.col("__named").isNull() & ~F.col(non_job)).groupBy(title).agg(F.first(vector).alias("v"))
+    ids = np.array([r["id"] for r in entries], dtype=np.int64)
+    matrix = np.array([r[vector] for r in entries], dtype=float).reshape(len(ids), -1)
+    matrix = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
+
+    def nearest(batches):
+        for pdf in batches:
+            v = np.array(pdf["v"].tolist(), dtype=float).reshape(len(pdf), -1)
+            s = np.round(v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300) @ matrix.T, 6)
+            k = np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=1)[:, 0]
+            yield pd.DataFrame({"__title": pdf[title], "__near": ids[k], "__cosine": s[np.arange(len(k)), k]})
+
+    schema = "__title string, __near long, __cosine double"
+    near = own.mapInPandas(nearest, schema) if len(ids) else jobs.sparkSession.createDataFrame([], schema)
+    out = named.join(near, F.col(title) == F.col("__title"), "left")
+    close = F.col("__cosine") >= least
+    found = F.coalesce("__named", F.when(close, F.col("__near")))
+    status = F.when(F.col(non_job), "excluded_non_job").when(found.isNotNull(), "matched").otherwise("no_match")
+    return out.select(*jobs.columns, F.when(~F.col(non_job), found).alias("title_id"), F.when(~F.col(non_job), F.coalesce("__sure", "__cosine")).alias("confidence"), status.alias("status"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import postings as p
-from siltstone.operators import merges, places
+from siltstone.operators import merges
 from siltstone.sources.tables import read
 
 TITLES = ("Chief Executive Officer", "Senior DevOps Engineer (Linux, PHP)", "Team Lead [urgent]", "Junior Analyst - remote", "Intern", "test 12", "Data Engineer", "Staff Engineer (m/w/d) - Full-time", "", "Sr. C++ / Go Developer, hybrid", "Mid-level R&D Chemist")
@@ -20,7 +20,6 @@ TEXTS = (
 )
 PERIODS = ("Annual", " per hour ", "month", "yearly", "fortnight", "DAY", "")
 AMOUNTS = ("12,345.67", "12.345,67", "21,000", "16261,86", "15 EUR", "", "0", "1.234.567", "n/a", "30000")
-AGES = ("3 days ago", "Posted 2 weeks ago", "1 month ago", "5 hours ago", "yesterday", "1 year ago")
 TERMS = ("R", "Go", "C", "Python", "JavaScript", "Java", "Machine Learning")
 SKILLS = (("R and Go developers", "Go|R"), ("R&D manager, go getter", ""), ("python, JAVASCRIPT and java", "Java|JavaScript|Python"), ("Golang or C-level", ""), ("machine learning in Python3", "Machine Learning"), ("C, R/Go", "C"))
 
@@ -62,7 +61,6 @@ def text() -> Column:
 
 FUNCTIONS = {
     "fn_education_level": lambda: [p.education_level(text()).alias("level")],
-    "fn_experience_level": lambda: [p.experience_level(title(), text()).alias("level")],
     "fn_remote_type": lambda: [p.remote_type(text()).alias("remote_type")],
     "fn_visa": lambda: [p.stance(text(), p.VISA).alias("visa")],
     "fn_relocation": lambda: [p.stance(text(), p.RELOCATION).alias("relocation")],
@@ -74,33 +72,10 @@ FUNCTIONS = {
     "fn_schedule": lambda: [p.work_schedule(_of(_column(SCHEDULES, 0), "o_orderkey")).alias("schedule")],
     "fn_pay_period": lambda: [p.pay_period(_of(PERIODS, "o_orderkey")).alias("period")],
     "fn_salary_eu_amount": lambda: [p.european_amount(_of(AMOUNTS, "o_orderkey")).alias("amount")],
-    "fn_relative_date": lambda: [p.relative_day(_of(AGES, "o_orderkey"), F.lit("2024-03-31").cast("date")).alias("day")],
     "fn_skill_scan": lambda: [F.array_join(p.skill_scan(_of(tuple(t for t, _ in SKILLS), "o_orderkey"), TERMS), "|").alias("skills")],
 }
 
 
-def fn_json_dotted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events")
-    many = F.concat(F.lit('{"a":{"b":['), "props", F.lit(","), "props", F.lit("]}}"))
-    return e.select("event_id", p.dotted(many, "a.b[].k").alias("many"), p.dotted(F.concat(F.lit('{"a":{"b":'), "props", F.lit("}}")), "a.b[].k").alias("one"))
-
-
-def geo_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n, r = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
-    c = read(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-    kinds = [F.col("n_name"), F.concat(F.lit("Remote - "), "n_name"), F.concat("n_name", F.lit(", "), "r_name"), F.lit("Remote, Worldwide"), F.lit("USA"), F.lit("nowhere at all"), F.col("r_name"), F.concat("r_name", F.lit("; "), "n_name"), F.concat(F.lit("x, "), "r_name", F.lit(" (Centre)"))]
-    raw = c.select("c_custkey", F.element_at(F.array(*kinds), (F.col("c_custkey") % len(kinds) + 1).cast("int")).alias("raw"))
-    countries = spark.createDataFrame([(1, "United States"), (2, "United Kingdom")], "id long, name string")
-    return places.resolve(raw, "raw", n.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")), r.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")), countries).drop("raw")
-
-
-def title_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = read(spark, sf_dir, "part").select("p_partkey", "p_name")
-    named = F.when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("Senior "), "p_name")).when(F.col("p_partkey") % 3 == 2, F.concat("p_name", F.lit(" (Remote)"))).otherwise(F.col("p_name"))
-    jobs = own.select("p_partkey", p.clean_title(named).alias("cleaned")).withColumn("core", p.core_title(F.col("cleaned")))
-    return merges.classify_titles(jobs, own.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")), "cleaned", "core").select("p_partkey", "title_id", "confidence", "status")
-
-
 def mrg_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("k"), "day", F.col("day").alias("seen"))
     shard = o.where("k % 2 = 0").select("k", F.when(F.col("k") % 10 != 0, F.col("day")).alias("day"), F.date_add("seen", 7).alias("seen"))
@@ -124,7 +99,7 @@ def sink_prune_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merges.deletable(d.select("path", "source"), d.where("doc_id % 2 = 0 AND source <> 'src0'"), d.where("doc_id % 7 = 0"), "path", "source")
 
 
-FRAMES = {f.__name__: f for f in (fn_json_dotted, geo_resolve, title_class, mrg_shard, mrg_get_or_create, str_claim_queue, sink_prune_guard)}
+FRAMES = {f.__name__: f for f in (mrg_shard, mrg_get_or_create, str_claim_queue, sink_prune_guard)}
 
 
 def queries() -> dict:
@@ -164,7 +139,6 @@ def oracle_sql() -> dict[str, str]:
     has = lambda x: f"regexp_matches(x, {_quoted(x)}, 'i')"
     return {
         "fn_education_level": f"SELECT o_orderkey, {_case('x', p.EDUCATION)} AS level FROM {t}",
-        "fn_experience_level": f"SELECT o_orderkey, coalesce({_case('t', p.EXPERIENCE)}, CASE WHEN y IS NULL THEN NULL {levels} ELSE 'entry' END, {_case('x', p.EXPERIENCE)}) AS level FROM (SELECT *, {years} AS y FROM {t})",
         "fn_remote_type": f"SELECT o_orderkey, CASE WHEN {has(p.HYBRID)} THEN 'hybrid' WHEN {has(p.REMOTE)} AND {has(p.REMOTE_GLOBAL)} THEN 'remote_global' WHEN {has(p.REMOTE)} THEN 'remote_country' WHEN {has(p.ON_SITE)} THEN 'on_site' END AS remote_type FROM {t}",
         "fn_visa": f"SELECT o_orderkey, {_stance(p.VISA)} AS visa FROM {t}",
         "fn_relocation": f"SELECT o_orderkey, {_stance(p.RELOCATION)} AS relocation FROM {t}",
@@ -176,13 +150,7 @@ def oracle_sql() -> dict[str, str]:
         "fn_schedule": f"SELECT o_orderkey, {_value(_column(SCHEDULES, 1), 'VARCHAR')} AS schedule FROM orders",
         "fn_pay_period": "SELECT o_orderkey, ['yearly', 'hourly', 'monthly', 'yearly', NULL, 'daily', NULL][o_orderkey % 7 + 1] AS period FROM orders",
         "fn_salary_eu_amount": "SELECT o_orderkey, [12345.67, 12345.67, 21000, 16261.86, 15, NULL, NULL, 1234567, NULL, 30000][o_orderkey % 10 + 1]::DOUBLE AS amount FROM orders",
-        "fn_relative_date": "SELECT o_orderkey, [DATE '2024-03-28', DATE '2024-03-17', DATE '2024-03-01', DATE '2024-03-31', NULL, DATE '2023-04-01'][o_orderkey % 6 + 1] AS day FROM orders",
         "fn_skill_scan": f"SELECT o_orderkey, {_item([s for _, s in SKILLS])} AS skills FROM orders",
-        "fn_json_dotted": "SELECT event_id, '[' || k || ',' || k || ']' AS many, k AS one FROM (SELECT event_id, json_extract_string(props, '$.k') AS k FROM events)",
-        "geo_resolve": """SELECT c_custkey, CASE WHEN k IN (0, 1, 2, 7) THEN 4 WHEN k IN (6, 8) THEN 3 WHEN k = 4 THEN 2 WHEN k = 3 THEN 1 ELSE 0 END AS place_level,
-            (CASE WHEN k IN (0, 1, 2, 7) THEN n_nationkey WHEN k IN (6, 8) THEN n_regionkey WHEN k = 4 THEN 1 END)::BIGINT AS place_id FROM (SELECT *, c_custkey % 9 AS k FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
-        "title_class": """WITH x AS (SELECT lower(p_name) AS name, min(p_partkey) AS id FROM part WHERE p_partkey % 5 = 0 GROUP BY 1)
-            SELECT p_partkey, id AS title_id, (CASE WHEN id IS NOT NULL THEN CASE WHEN p_partkey % 3 = 1 THEN 0.95 ELSE 1.0 END END)::DOUBLE AS confidence, CASE WHEN id IS NULL THEN 'no_match' ELSE 'matched' END AS status FROM part LEFT JOIN x ON lower(p_name) = name""",
         "mrg_shard": """WITH a AS (SELECT o_orderkey AS k, o_orderdate::DATE AS day FROM orders)
             SELECT k, day, CASE WHEN change = 'kept' THEN day ELSE (day + 7)::DATE END AS seen, change FROM (SELECT *, CASE WHEN k % 2 <> 0 OR k % 10 = 0 THEN CASE WHEN k % 3 <> 0 THEN 'kept' END WHEN k % 3 = 0 THEN 'inserted' ELSE 'touched' END AS change FROM a) WHERE change IS NOT NULL""",
         "mrg_get_or_create": """SELECT s_suppkey AS k, s_name AS name FROM supplier UNION ALL SELECT (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (ORDER BY substr(md5(name), 1, 2), name), name

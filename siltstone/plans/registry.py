@@ -12,7 +12,7 @@ from siltstone.operators import entity
 from siltstone.sources.tables import TABLES, read
 from siltstone.streaming import incremental
 
-from . import extraction, postings, storage
+from . import extraction, postings, storage, wide
 from .shared import SHARED, SPLIT
 
 
@@ -40,36 +40,7 @@ def fn_strip_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", entity.without_suffix(name).alias("stripped"))
 
 
-def dedup_cross_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"), "o_totalprice")
-    return entity.cross_source_duplicates(o, ["o_custkey"], "o_orderpriority", "day", "o_orderkey", "o_totalprice", 30)
-
-
-def mrg_upsert_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"), F.col("o_custkey").alias("h"), F.to_date("o_orderdate").alias("seen"))
-    new = o.where("k % 4 = 0").select((F.col("k") + F.when(F.col("k") % 8 == 0, 0).otherwise(1)).alias("k"), F.lower("v").alias("v"), F.when(F.col("k") % 16 == 0, F.col("h")).otherwise(F.col("h") + 1).alias("h"), F.date_add("seen", 1).alias("seen"))
-    return entity.upsert(o.where("k % 4 <> 1"), new, "k", "h", "seen", ["v"])
-
-
-def flt_posting_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", entity.reject_reason(F.col("url"), F.col("html")).alias("reason"))
-
-
-def sort_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each vector's nearest label centre by cosine, the first label of equal ones; one centre per label is broadcast."""
-    e = read(spark, sf_dir, "embeddings")
-    first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("centre"))
-
-    def dot(a: str, b: str):
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-
-    centres = first.agg(F.sort_array(F.collect_list(F.struct("label", "centre"))).alias("centres"))  # one row per label
-    scored = e.select("vec_id", "embedding").join(F.broadcast(centres)).select("vec_id", "embedding", F.explode("centres").alias("c")).select("vec_id", F.col("c.label").alias("label"), "embedding", F.col("c.centre").alias("centre"))
-    cosine = F.round(dot("embedding", "centre") / (F.sqrt(dot("embedding", "embedding")) * F.sqrt(dot("centre", "centre"))), 4)
-    return scored.withColumn("cosine", cosine).groupBy("vec_id").agg(F.max_by(F.struct("label", "cosine"), F.struct("cosine", -F.col("label"))).alias("b")).select("vec_id", "b.label", "b.cosine")
-
-
-DATAFRAME = {f.__name__: f for f in (join_self_theta_trgm, fn_strip_suffix, dedup_cross_source, mrg_upsert_job, flt_posting_quality, sort_argmax)} | {"str_ledger_exactly_once": incremental.ledger_merge, "str_watermark_export": incremental.watermark_export}
+DATAFRAME = {f.__name__: f for f in (join_self_theta_trgm, fn_strip_suffix)} | {"str_ledger_exactly_once": incremental.ledger_merge, "str_watermark_export": incremental.watermark_export}
 
 _GRAMS = """SELECT n, list_distinct(flatten(list_transform(list_filter(string_split_regex(lower(n), '[^\\p{L}\\p{N}]+'), lambda w: w <> ''),
     lambda w: list_transform(generate_series(1, length(w) + 1), lambda i: substr('  ' || w || ' ', i, 3))))) AS g FROM (SELECT DISTINCT p_name AS n FROM part WHERE p_name IS NOT NULL)"""
@@ -78,28 +49,14 @@ DATAFRAME_ORACLE = {
         SELECT least(x.k, y.k) AS a, greatest(x.k, y.k) AS b, round(p.k::DOUBLE / (t - p.k), 4) AS similarity FROM p JOIN f x ON x.n = n1 JOIN f y ON y.n = n2 WHERE p.k::DOUBLE / (t - p.k) >= 0.5
         UNION ALL SELECT f.k, q.p_partkey, 1.0 FROM part q JOIN f ON f.n = q.p_name JOIN s ON s.n = f.n WHERE q.p_partkey <> f.k AND len(s.g) > 0""",
     "fn_strip_suffix": "SELECT c_custkey, c_mktsegment AS stripped FROM customer",
-    "dedup_cross_source": """WITH f AS (SELECT *, o_orderdate::DATE AS day, first_value(o_orderkey) OVER w AS ck, first_value(o_orderpriority) OVER w AS cs, first_value(o_orderdate::DATE) OVER w AS cd FROM orders
-        WINDOW w AS (PARTITION BY o_custkey ORDER BY coalesce(o_totalprice, -1) DESC, o_orderdate::DATE, o_orderkey))
-        SELECT o_orderkey AS duplicate, ck AS canonical FROM f WHERE o_orderkey <> ck AND o_orderpriority <> cs AND abs(datediff('day', cd, day)) <= 30""",
-    "mrg_upsert_job": """WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS v, o_custkey AS h, o_orderdate::DATE AS seen FROM orders),
-        o AS (SELECT * FROM a WHERE k % 4 <> 1), n AS (SELECT k + CASE WHEN k % 8 = 0 THEN 0 ELSE 1 END AS k, lower(v) AS v, CASE WHEN k % 16 = 0 THEN h ELSE h + 1 END AS h, (seen + 1)::DATE AS seen FROM a WHERE k % 4 = 0),
-        j AS (SELECT o.k AS ok, n.k AS nk, o.v AS ov, n.v AS nv, o.h AS oh, n.h AS nh, o.seen AS os, n.seen AS ns, CASE WHEN n.k IS NULL THEN 'kept' WHEN o.k IS NULL THEN 'inserted' WHEN o.h IS NOT DISTINCT FROM n.h THEN 'unchanged' ELSE 'updated' END AS change FROM o FULL OUTER JOIN n ON o.k = n.k)
-        SELECT coalesce(ok, nk) AS k, CASE WHEN change = 'updated' THEN coalesce(nv, ov) ELSE coalesce(ov, nv) END AS v, CASE WHEN change IN ('updated', 'inserted') THEN nh ELSE oh END AS h, greatest(os, ns) AS seen, change FROM j""",
-    "flt_posting_quality": r"""WITH p AS (SELECT page_id, url, html, regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1) AS path,
-        length(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>', ' ', 'g'), '<[^>]*>', '', 'g')) AS n FROM pages)
-        SELECT page_id, CASE WHEN url IS NULL OR trim(url) = '' THEN 'no url' WHEN path IN ('', '/') THEN 'site root' WHEN regexp_matches(path, '-jobs/?$') THEN 'category'
-        WHEN NOT regexp_matches(html, '(?is)<title>\s*\S') THEN 'no title' WHEN n < 80 THEN 'short description' END AS reason FROM p""",
-    "sort_argmax": """WITH c AS (SELECT label, arg_min(embedding, vec_id) AS centre FROM embeddings GROUP BY label),
-        s AS (SELECT e.vec_id, c.label, round(list_cosine_similarity(e.embedding::DOUBLE[], c.centre::DOUBLE[]), 4) AS cosine FROM embeddings e JOIN c ON true)
-        SELECT vec_id, label, cosine FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, label) = 1""",
     "str_ledger_exactly_once": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "str_watermark_export": "SELECT event_id, user_id FROM events WHERE ts > TIMESTAMP '2024-01-03 00:00:00'",
 }
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: statement(v) for k, v in SHARED.items()} | {k: statement(v[0]) for k, v in SPLIT.items()} | DATAFRAME | postings.queries() | extraction.queries() | storage.queries()
+    return {k: statement(v) for k, v in SHARED.items()} | {k: statement(v[0]) for k, v in SPLIT.items()} | DATAFRAME | postings.queries() | extraction.queries() | storage.queries() | {k: statement(v) for k, v in wide.SHARED.items()} | wide.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _oracle(v) for k, v in SHARED.items()} | {k: v[1] for k, v in SPLIT.items()} | DATAFRAME_ORACLE | postings.oracle_sql() | extraction.oracle_sql() | storage.oracle_sql()
+    return {k: _oracle(v) for k, v in SHARED.items()} | {k: v[1] for k, v in SPLIT.items()} | DATAFRAME_ORACLE | postings.oracle_sql() | extraction.oracle_sql() | storage.oracle_sql() | {k: _oracle(v) for k, v in wide.SHARED.items()} | wide.oracle_sql()

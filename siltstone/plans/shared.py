@@ -24,14 +24,10 @@ SHARED: dict[str, str] = {
     "flt_recent_window": "SELECT event_id FROM {events} WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) - INTERVAL '90' DAY FROM {events})",
     "flt_isin": "SELECT doc_id, source FROM {documents} WHERE source IN ('src0', 'src1', 'src2')",
     "flt_between_dates": "SELECT o_orderkey FROM {orders} WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'",
-    "flt_contains_ci": "SELECT p_partkey, p_name FROM {part} WHERE coalesce(lower(p_name) LIKE '%widget%', false)",
     "flt_watermark": "SELECT event_id, user_id FROM {events} WHERE coalesce(ts, TIMESTAMP '1970-01-01 00:00:00') > TIMESTAMP '2024-01-05 00:00:00'",
     # joins
     "join_active_view": """SELECT o.o_orderkey, c.c_name, n.n_name, r.r_name FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
         LEFT JOIN {nation} n ON c.c_nationkey = n.n_nationkey LEFT JOIN {region} r ON n.n_regionkey = r.r_regionkey WHERE o.o_orderstatus = 'O'""",
-    "join_job_facts": """SELECT o.o_orderkey, c.c_name AS company_name, n.n_name AS country_name, coalesce(k.n, 0) AS skill_count
-        FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey LEFT JOIN {nation} n ON c.c_nationkey = n.n_nationkey
-        LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM {lineitem} GROUP BY l_orderkey) k ON k.l_orderkey = o.o_orderkey""",
     "join_lateral_top1": """SELECT o_orderkey, l_linenumber, l_shipdate FROM (SELECT o.o_orderkey, l.l_linenumber, l.l_shipdate,
         row_number() OVER (PARTITION BY o.o_orderkey ORDER BY l.l_shipdate DESC NULLS LAST, l.l_linenumber DESC, l.l_partkey DESC) AS rn
         FROM {orders} o LEFT JOIN {lineitem} l ON o.o_orderkey = l.l_orderkey) x WHERE rn = 1""",
@@ -42,9 +38,6 @@ SHARED: dict[str, str] = {
     "join_semi_ledger": "SELECT c_custkey FROM {customer} c WHERE EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F')",
     "join_semi_canonical_delete": "SELECT l_orderkey, l_linenumber FROM {lineitem} l WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F')",
     "join_anti_missing_salary": "SELECT o.o_orderkey FROM {orders} o LEFT JOIN {lineitem} l ON o.o_orderkey = l.l_orderkey WHERE l.l_orderkey IS NULL",
-    "join_pending_antijoin": """SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source, n_chars ORDER BY length(text) DESC, doc_id) AS rn FROM {documents}) x
-        WHERE rn = 1 AND doc_id NOT IN (SELECT doc_id FROM {labels} WHERE doc_id IS NOT NULL)""",
-    "join_overlay_update": """SELECT d.doc_id, coalesce(nullif(b.text, ''), d.text) AS text, d.lang FROM {documents} d LEFT JOIN {benchmark} b ON b.item_id = d.doc_id""",
     "join_cls_update": """SELECT d.doc_id, CASE WHEN l.quality IS NOT NULL AND l.quality IS DISTINCT FROM d.n_chars THEN CAST(l.quality AS BIGINT) ELSE d.n_chars END AS status FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id""",
     "join_label_lookup": "SELECT s.s_suppkey, n.n_nationkey, r.r_regionkey FROM {supplier} s LEFT JOIN {nation} n ON s.s_nationkey = n.n_nationkey LEFT JOIN {region} r ON n.n_regionkey = r.r_regionkey",
     "join_ref_translate": "SELECT a.n_nationkey AS id_a, b.n_nationkey AS id_b FROM {nation} a JOIN {nation} b ON a.n_name = b.n_name",
@@ -59,12 +52,7 @@ SHARED: dict[str, str] = {
     # aggregations
     "agg_star_revenue": """SELECT c.c_name AS company_name, count(*) AS n_jobs, CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
         WHERE o.o_orderstatus = 'O' GROUP BY c.c_name ORDER BY n_jobs DESC, company_name LIMIT 15""",
-    "agg_completeness": """SELECT column_name, n_null, round(CAST(100 AS DOUBLE) * n_null / nullif(total, 0), 1) AS null_pct FROM (
-        SELECT 'lang' AS column_name, count(*) FILTER (WHERE d.lang IS NULL) AS n_null, count(*) AS total FROM {documents} d
-        UNION ALL SELECT 'source', count(*) FILTER (WHERE source IS NULL), count(*) FROM {documents}
-        UNION ALL SELECT 'quality', count(*) FILTER (WHERE l.quality IS NULL), count(*) FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id) x""",
     "agg_fill_rate": "SELECT count(*) FILTER (WHERE trim(text) <> '') AS text_filled, count(*) FILTER (WHERE trim(lang) <> '') AS lang_filled, count(*) AS total FROM {documents}",
-    "agg_nonnull_by_column": "SELECT count(o_orderkey) AS o_orderkey, count(o_custkey) AS o_custkey, count(o_orderdate) AS o_orderdate, count(o_totalprice) AS o_totalprice FROM {orders}",
     "agg_group_count": "SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM {orders} GROUP BY o_orderpriority, o_orderstatus",
     "agg_pivot": """SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'O') AS open, count(*) FILTER (WHERE o_orderstatus = 'F') AS filled, count(*) FILTER (WHERE o_orderstatus = 'P') AS pending FROM {orders} GROUP BY o_orderpriority""",
     "agg_value_counts": "SELECT event_type, count(*) AS n FROM {events} GROUP BY event_type",
@@ -79,8 +67,6 @@ SHARED: dict[str, str] = {
     "agg_max_id": "SELECT coalesce(max(o_orderkey), 0) AS max_id FROM {orders}",
     "agg_greatest": "SELECT d.doc_id, greatest(coalesce(CAST(l.quality AS BIGINT), d.n_chars), d.n_chars) AS last FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id",
     "agg_run_totals": "SELECT o_orderstatus AS status, count(*) AS n FROM {orders} GROUP BY o_orderstatus",
-    "agg_batch_report": """SELECT count(*) AS total, count(*) FILTER (WHERE text IS NULL OR text = '') AS missing_text, count(*) - count(DISTINCT doc_id) AS duplicate_ids,
-        round(CAST(1 AS DOUBLE) * count(*) FILTER (WHERE n_chars < 100) / nullif(count(*), 0), 4) AS short_rate, count(*) > 0 AND count(*) = count(DISTINCT doc_id) AS passed FROM {documents}""",
     # windows
     "win_overlay_latest": """SELECT doc_id, quality FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY src_priority DESC) AS rn FROM (
         SELECT doc_id, quality, 1 AS src_priority FROM {labels} UNION ALL SELECT doc_id, toxic, 2 FROM {labels} WHERE doc_id % 2 = 0) u) x WHERE rn = 1""",
@@ -94,8 +80,6 @@ SHARED: dict[str, str] = {
     "topk_skills": "SELECT p.p_name, count(*) AS n FROM {lineitem} l JOIN {part} p ON p.p_partkey = l.l_partkey GROUP BY p.p_name ORDER BY n DESC, p.p_name LIMIT 20",
     "topk_locations": "SELECT n_name, count(*) AS n FROM {customer} c JOIN {nation} n ON c.c_nationkey = n.n_nationkey GROUP BY n_name ORDER BY n DESC, n_name LIMIT 5",
     "topk_queue": "SELECT event_id FROM {events} WHERE event_type = 'error' ORDER BY ts ASC NULLS FIRST, event_id LIMIT 50",
-    "topk_cap": "SELECT o_orderkey, rn <= 100 AS taken FROM (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS rn FROM {orders}) x",
-    "sort_status_order": "SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN 1 ELSE 2 END AS status_rank FROM {orders}",
     "sort_flag_expr": "SELECT c_nationkey, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY (c_mktsegment IS NOT DISTINCT FROM 'BUILDING') DESC, c_custkey) AS rn FROM {customer}) x WHERE rn = 1",
     # set operations
     "set_union_by_name": "SELECT c_custkey AS id, c_name AS name, 1 AS priority FROM {customer} UNION ALL SELECT s_suppkey, s_name, 2 FROM {supplier}",
@@ -108,30 +92,17 @@ SHARED: dict[str, str] = {
     "mrg_upsert_coalesce": "SELECT coalesce(n.k, t.k) AS k, coalesce(n.name, t.name) AS name FROM (SELECT c_custkey AS k, c_name AS name FROM {customer}) t FULL OUTER JOIN (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 2 = 0 THEN s_name END AS name FROM {supplier}) n ON n.k = t.k",
     "mrg_replace_children": """SELECT l_orderkey, l_linenumber FROM {lineitem} l WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderkey % 10 = 0)
         UNION ALL SELECT o_orderkey, 1 FROM {orders} WHERE o_orderkey % 10 = 0""",
-    "mrg_least_greatest": "SELECT l_orderkey, least(min(l_shipdate), max(l_shipdate)) AS first_seen, greatest(min(l_shipdate), max(l_shipdate)) AS last_seen FROM {lineitem} GROUP BY l_orderkey",
     "mrg_insert_ignore": "SELECT c_custkey AS k, c_name AS name FROM {customer} UNION ALL SELECT s_suppkey, s_name FROM {supplier} s WHERE NOT EXISTS (SELECT 1 FROM {customer} c WHERE c.c_custkey = s.s_suppkey)",
-    "mrg_guard_shrink": "SELECT count(DISTINCT k) AS merged, count(DISTINCT k) >= greatest(max(na), max(nb)) AS passed FROM (SELECT o_orderkey AS k, (SELECT count(*) FROM {orders}) AS na, (SELECT count(DISTINCT l_orderkey) FROM {lineitem}) AS nb FROM {orders} UNION ALL SELECT l_orderkey, 0, 0 FROM {lineitem}) x",
-    "mrg_delete_cascade": "SELECT l_orderkey, l_linenumber FROM {lineitem} WHERE l_orderkey NOT IN (SELECT o_orderkey FROM {orders} WHERE o_orderstatus = 'P' AND o_orderkey IS NOT NULL)",
     # numbers and dates
-    "fn_salary_usd": """SELECT o_orderkey, round(o_totalprice * m.f * r.f, 2) AS annual_usd FROM (SELECT *, CASE o_orderkey % 6 WHEN 0 THEN 'hourly' WHEN 1 THEN 'daily' WHEN 2 THEN 'weekly' WHEN 3 THEN 'monthly' WHEN 4 THEN 'yearly' ELSE 'unknown' END AS period,
-        CASE o_custkey % 4 WHEN 0 THEN 'USD' WHEN 1 THEN 'GBP' WHEN 2 THEN 'CNY' ELSE 'XXX' END AS cur FROM {orders}) o
-        LEFT JOIN (SELECT 'hourly' AS p, CAST(2080 AS DOUBLE) AS f UNION ALL SELECT 'daily', 260 UNION ALL SELECT 'weekly', 52 UNION ALL SELECT 'monthly', 12 UNION ALL SELECT 'yearly', 1) m ON m.p = o.period
-        LEFT JOIN (SELECT 'USD' AS c, CAST(1 AS DOUBLE) AS f UNION ALL SELECT 'GBP', CAST(1.3240 AS DOUBLE) UNION ALL SELECT 'CNY', CAST(0.1492 AS DOUBLE)) r ON r.c = o.cur""",
-    "fn_salary_anomaly": "SELECT o_orderkey, CASE WHEN o_totalprice IS NULL THEN 'missing' WHEN o_totalprice < 1000 THEN 'too low' WHEN o_totalprice > 400000 THEN 'wide' END AS flag FROM {orders}",
     "fn_salary_swap": "SELECT l_orderkey, l_linenumber, least(l_quantity, l_extendedprice) AS lo, greatest(l_quantity, l_extendedprice) AS hi FROM {lineitem}",
     "fn_app_method": "SELECT page_id, CASE WHEN url LIKE 'mailto:%' THEN 'email' ELSE 'url' END AS method FROM {pages}",
     # analytics
     "q_headcount_demand": "SELECT o_custkey, count(*) AS all_jobs, count(*) FILTER (WHERE o_orderstatus = 'O') AS active_jobs FROM {orders} GROUP BY o_custkey",
     "q_skill_demand_daily": "SELECT CAST(o.o_orderdate AS DATE) AS day, l.l_partkey AS skill, c.c_nationkey AS country, count(*) AS n FROM {orders} o JOIN {lineitem} l ON l.l_orderkey = o.o_orderkey JOIN {customer} c ON c.c_custkey = o.o_custkey GROUP BY CAST(o.o_orderdate AS DATE), l.l_partkey, c.c_nationkey",
-    "q_dashboard_kpis": "SELECT count(*) AS total, round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE o_orderstatus = 'F') / nullif(count(*), 0), 1) AS matched_pct, count(DISTINCT o_custkey) AS companies FROM {orders}",
-    "q_corpus_checks": "SELECT count(*) AS n, count(*) - count(DISTINCT doc_id) AS duplicate_keys, count(*) FILTER (WHERE doc_id IS NULL) AS null_keys, count(DISTINCT source) AS sources, count(*) > 0 AS passed FROM {documents}",
     "q_volume_outliers": "SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) - INTERVAL '90' DAY FROM {events}) AS is_outlier FROM {events} GROUP BY CAST(ts AS DATE)",
     # further sources, filters, joins, sorts and merges
     "flt_desc_pending": "SELECT d.doc_id FROM {documents} d LEFT JOIN {benchmark} b ON b.item_id = d.doc_id WHERE d.lang NOT IN ('en', 'unknown') AND d.source IS NOT NULL AND b.text IS NULL",
     "flt_blank_text": "SELECT doc_id FROM {documents} WHERE (text IS NULL OR trim(text) = '') OR (lang IS NULL OR trim(lang) = '')",
-    "flt_suspect_rows": "SELECT count(*) AS n, count(*) FILTER (WHERE length(html) < 500) AS short_pages, count(*) FILTER (WHERE lower(url) LIKE '%/about%' OR lower(url) LIKE '%/login%') AS navigation FROM {pages}",
-    "join_star_left": """SELECT l.l_orderkey, l.l_linenumber, p.p_brand, s.s_name, n.n_name AS supplier_country, r.r_name AS supplier_region FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey
-        LEFT JOIN {part} p ON p.p_partkey = l.l_partkey LEFT JOIN {supplier} s ON s.s_suppkey = l.l_suppkey LEFT JOIN {nation} n ON n.n_nationkey = s.s_nationkey LEFT JOIN {region} r ON r.r_regionkey = n.n_regionkey""",
     "agg_top_companies_sql": "SELECT c.c_name, count(*) AS n FROM {customer} c JOIN {orders} o ON o.o_custkey = c.c_custkey GROUP BY c.c_name ORDER BY n DESC, c.c_name LIMIT 10",
     "agg_group_having_host": "SELECT split_part(url, '/', 3) AS host, count(DISTINCT page_id % 5) AS codes FROM {pages} GROUP BY split_part(url, '/', 3) HAVING count(DISTINCT page_id % 5) > 1",
     "topk_dashboard": "SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM {orders} GROUP BY o_orderpriority, o_orderstatus ORDER BY n DESC, o_orderpriority, o_orderstatus LIMIT 12",
@@ -145,17 +116,9 @@ SHARED: dict[str, str] = {
         LEFT JOIN {orders} m ON m.o_orderkey = f.first""",
     "fn_embed_text": "SELECT doc_id, coalesce(source, '') || '. ' || substr(text, 1, 300) AS embed FROM {documents} WHERE text IS NOT NULL",
     "fn_as_number": "SELECT k, CASE WHEN v BETWEEN -1.7e308 AND 1.7e308 THEN v END AS v FROM (SELECT o_orderkey AS k, TRY_CAST(CASE o_orderkey % 4 WHEN 0 THEN '12.5' WHEN 1 THEN 'abc' WHEN 2 THEN 'NaN' END AS DOUBLE) AS v FROM {orders}) x",
-    "fn_json_map": "SELECT n.n_nationkey, concat_ws(', ', n.n_name, nullif(r.r_name, 'REGION_1'), CASE WHEN n.n_nationkey % 2 = 0 THEN 'Remote' END) AS location FROM {nation} n LEFT JOIN {region} r ON r.r_regionkey = n.n_regionkey",
     "fn_discovery_key": "SELECT page_id, coalesce('id:' || CASE WHEN page_id % 3 = 0 THEN CAST(page_id AS VARCHAR(20)) END, 'url:' || url) AS k FROM {pages}",
-    "q_explore_counts":"SELECT 'orders' AS t, count(*) AS n FROM {orders} UNION ALL SELECT 'lineitem', count(*) FROM {lineitem} UNION ALL SELECT 'customer', count(*) FROM {customer}",
 }
 
-# Code-point ranges that decide a language, in order (kana before Han).
-SCRIPTS = (
-    ("ja", "\u3040", "\u30ff"), ("ko", "\uac00", "\ud7af"), ("zh", "\u4e00", "\u9fff"), ("hy", "\u0530", "\u058f"), ("ka", "\u10a0", "\u10ff"),
-    ("am", "\u1200", "\u137f"), ("my", "\u1000", "\u109f"), ("km", "\u1780", "\u17ff"), ("lo", "\u0e80", "\u0eff"), ("si", "\u0d80", "\u0dff"),
-)
-
 #: Where the dialects differ: Spark's statement, then the oracle's.
 SPLIT: dict[str, tuple[str, str]] = {
     "fn_days_to_fill": (
@@ -178,26 +141,10 @@ SPLIT: dict[str, tuple[str, str]] = {
         r"""SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[.,\\-_/\\\\\'"()&]', ''), '[ \\t\\n\\r\\f]+', ' ')) AS norm FROM {documents}""",
         r"""SELECT doc_id, trim(regexp_replace(regexp_replace(lower(text), '[.,\-_/\\''"()&]', '', 'g'), '[ \t\n\r\f]+', ' ', 'g')) AS norm FROM documents""",
     ),
-    "fn_content_hash": (
-        "SELECT o_orderkey, sha2(concat(trim(o_orderpriority), '|', lower(trim(o_orderstatus)), '|', coalesce(nullif(CAST(o_custkey AS STRING), '0'), '')), 256) AS content_hash FROM {orders}",
-        "SELECT o_orderkey, sha256(concat(trim(o_orderpriority), '|', lower(trim(o_orderstatus)), '|', coalesce(nullif(o_custkey::VARCHAR, '0'), ''))) AS content_hash FROM orders",
-    ),
     "fn_word_count": (
         "SELECT doc_id, regexp_count(text, '[^ \\\\t\\\\n\\\\r\\\\f]+') AS words FROM {documents}",
         r"SELECT doc_id, len(regexp_extract_all(text, '[^ \t\n\r\f]+'))::INTEGER AS words FROM documents",
     ),
-    "fn_quality_score": (
-        "SELECT doc_id, round((CAST(n_chars > 500 AS INT) + CAST(lang IS NOT NULL AS INT) + CAST(source <> 'src0' AS INT) + CAST(regexp_count(text, '[^ ]+') >= 20 AS INT)) / 4.0D, 2) AS score FROM {documents}",
-        "SELECT doc_id, round(((n_chars > 500)::INT + (lang IS NOT NULL)::INT + (source <> 'src0')::INT + (len(regexp_extract_all(text, '[^ ]+')) >= 20)::INT) / 4.0::DOUBLE, 2) AS score FROM documents",
-    ),
-    "fn_script_lang": (
-        "SELECT doc_id, CASE " + " ".join(f"WHEN text RLIKE '[{a}-{b}]' THEN '{lang}'" for lang, a, b in SCRIPTS) + " END AS script FROM {documents}",
-        "SELECT doc_id, CASE " + " ".join(f"WHEN regexp_matches(text, '[{a}-{b}]') THEN '{lang}'" for lang, a, b in SCRIPTS) + " END AS script FROM documents",
-    ),
-    "fn_host": (
-        "SELECT page_id, regexp_replace(lower(try_parse_url(url, 'HOST')), '^www[.]', '') AS host FROM {pages}",
-        r"SELECT page_id, regexp_replace(lower(nullif(regexp_extract(url, '^[a-z]+://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')), '^www[.]', '') AS host FROM pages",
-    ),
     "fn_json_obj": (
         "SELECT event_id, get_json_object(props, '$.k') AS k FROM {events}",
         "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
@@ -206,18 +153,10 @@ SPLIT: dict[str, tuple[str, str]] = {
         "SELECT o_orderkey, CAST(bround(CAST(o_totalprice AS DECIMAL(18,2)), 0) AS BIGINT) AS rounded FROM {orders}",
         "SELECT o_orderkey, round_even(o_totalprice::DECIMAL(18,2), 0)::BIGINT AS rounded FROM orders",
     ),
-    "fn_parse_date": (
-        "SELECT o_orderkey, CAST(coalesce(try_to_timestamp(x, 'dd/MM/yyyy'), try_to_timestamp(x, 'yyyy-MM-dd')) AS DATE) AS d FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN date_format(o_orderdate, 'dd/MM/yyyy') ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS x FROM {orders})",
-        "SELECT o_orderkey, coalesce(try_strptime(x, '%d/%m/%Y'), try_strptime(x, '%Y-%m-%d'))::DATE AS d FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%d/%m/%Y') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS x FROM orders)",
-    ),
     "set_dedup_ci_items": (
         "SELECT p_partkey, array_join(filter(w, (x, i) -> array_position(transform(w, y -> lower(y)), lower(x)) = i + 1), '|') AS items FROM (SELECT p_partkey, split(concat(p_name, ' ', upper(p_name), ' ', p_type), ' ') AS w FROM {part})",
         "SELECT p_partkey, array_to_string(list_filter(w, lambda x, i: list_position(list_transform(w, lambda y: lower(y)), lower(x)) = i), '|') AS items FROM (SELECT p_partkey, string_split(concat(p_name, ' ', upper(p_name), ' ', p_type), ' ') AS w FROM part)",
     ),
-    "src_sitemap": (
-        "SELECT page_id, loc FROM (SELECT page_id, xpath('<urlset><url><loc>' || replace(url, '&', '&amp;') || '</loc></url></urlset>', 'urlset/url/loc/text()') AS x FROM {pages} WHERE url IS NOT NULL AND url NOT LIKE '%<%') LATERAL VIEW explode(x) AS loc",
-        "SELECT page_id, url AS loc FROM pages WHERE url IS NOT NULL AND url NOT LIKE '%<%' AND url <> ''",
-    ),
     "fn_non_english": (
         r"SELECT doc_id, coalesce(2 * length(regexp_replace(text, '[^\\pL]|[a-zA-Z]', '')) > length(regexp_replace(text, '[^\\pL]', '')), false) AS foreign FROM {documents}",
         r"SELECT doc_id, coalesce(2 * length(regexp_replace(text, '[^\p{L}]|[a-zA-Z]', '', 'g')) > length(regexp_replace(text, '[^\p{L}]', '', 'g')), false) AS foreign FROM documents",
@@ -234,8 +173,4 @@ SPLIT: dict[str, tuple[str, str]] = {
         LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey LEFT JOIN (SELECT l_orderkey, count(*) AS n,
         array_to_string((list(l_partkey ORDER BY -l_quantity, l_linenumber, l_partkey))[1:10], ',') AS skills FROM lineitem GROUP BY l_orderkey) k ON k.l_orderkey = o.o_orderkey""",
     ),
-    "src_html_listing": (
-        "SELECT page_id, link FROM {pages} LATERAL VIEW explode(array_distinct(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1))) AS link",
-        "SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1))) AS link FROM pages",
-    ),
 }

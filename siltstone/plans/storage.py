@@ -268,7 +268,7 @@ def st_cross_push(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("there_id", "code", "status", "first", "last", "duplicate_of", "change")
 
 
-def st_save_posting(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mrg_upsert_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as postings: known, unchanged, changed and new ones, with pay and closing days that come and go."""
     o = _orders(spark, sf_dir).select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("title"), F.col("o_orderpriority").alias("title_en"), F.col("day").alias("closing"), F.col("o_custkey").alias("digest"), F.col("day").alias("seen"),
                                       F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).alias("low"), F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey") + 10).alias("high"))
@@ -277,7 +277,7 @@ def st_save_posting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.save_postings(o.where("k % 4 <> 1"), new, "k", "digest", "seen", ["title"], ["title_en"], ["closing"], "low", "high")
 
 
-def mrg_guard_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mrg_guard_shrink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sound merge passes; of four broken ones each is refused for its reason."""
     a = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("v"))
     b = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("v"))
@@ -344,7 +344,7 @@ def str_interval_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
 FRAMES = {f.__name__: f for f in (
     src_parquet_shards, src_parquet_footer_count, src_partition_from_path, src_parquet_schema_check, set_schema_diff, src_overlay_parquet, src_table_scan, src_paged_scan, src_json_api, src_html_page, src_rss_xml, src_browser, src_retry, src_hf_retry, src_seed_lists,
     src_site_config, src_per_source, sink_shard_incremental, sink_snapshot_full, sink_state_snapshot, sink_state_restore, sink_copy_stage, sink_audit_append, sink_report_md, join_anti_rejection, sort_sim_desc, st_company_alias, agg_array_parallel, st_cross_push,
-    st_save_posting, mrg_guard_publish, q_site_directory, fn_trgm_similarity, str_path_order, str_late_rows, str_unchanged_touch, str_daily_window, str_interval_trigger,
+    mrg_upsert_job, mrg_guard_shrink, q_site_directory, fn_trgm_similarity, str_path_order, str_late_rows, str_unchanged_touch, str_daily_window, str_interval_trigger,
 )}
 
 _SHARD_ROWS = "(SELECT doc_id, n_chars, source, (DATE '2024-01-01' + (doc_id % 3)::INTEGER)::DATE AS dt FROM documents WHERE source IS NOT NULL)"
@@ -391,14 +391,14 @@ FRAMES_SQL = {
         i AS (SELECT *, CASE WHEN t THEN k + 1000000 ELSE (SELECT max(k) + 1000000 FROM o WHERE t) + row_number() OVER (PARTITION BY t ORDER BY k) END AS id FROM o WHERE h OR t AND NOT h)
         SELECT id AS there_id, 'k' || k AS code, CASE WHEN h AND k % 3 <> 0 THEN s WHEN t THEN 'old' END AS status, CASE WHEN t THEN (day - 2)::DATE ELSE day END AS first, CASE WHEN t THEN (day + 2)::DATE ELSE day END AS last,
         CASE WHEN h AND k % 5 = 0 THEN id END AS duplicate_of, CASE WHEN NOT h THEN 'kept' WHEN t THEN 'updated' ELSE 'inserted' END AS change FROM i""",
-    "st_save_posting": """WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS title, o_orderpriority AS title_en, o_orderdate::DATE AS closing, o_custkey AS digest, o_orderdate::DATE AS seen, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS low, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey + 10 END AS high FROM orders),
+    "mrg_upsert_job": """WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS title, o_orderpriority AS title_en, o_orderdate::DATE AS closing, o_custkey AS digest, o_orderdate::DATE AS seen, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS low, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey + 10 END AS high FROM orders),
         o AS (SELECT * FROM a WHERE k % 4 <> 1), n AS (SELECT k + CASE WHEN k % 8 = 0 THEN 0 ELSE 1 END AS k, lower(title) AS title, CASE WHEN k % 3 = 0 THEN lower(title_en) END AS title_en, CASE WHEN k % 32 <> 0 THEN (closing + 5)::DATE END AS closing,
           CASE WHEN k % 16 = 0 THEN digest ELSE digest + 1 END AS digest, (seen + 1)::DATE AS seen, CASE WHEN k % 6 <> 0 THEN low + k % 3 END AS low, high FROM a WHERE k % 4 = 0),
         j AS (SELECT coalesce(o.k, n.k) AS k, o AS w, n AS m, CASE WHEN n.k IS NULL THEN 'kept' WHEN o.k IS NULL THEN 'inserted' WHEN o.digest IS NOT DISTINCT FROM n.digest THEN 'unchanged' ELSE 'updated' END AS change FROM o FULL OUTER JOIN n ON o.k = n.k)
         SELECT k, CASE WHEN change IN ('inserted', 'updated') THEN m.title ELSE w.title END AS title, CASE WHEN change IN ('inserted', 'updated') THEN m.low ELSE w.low END AS low, CASE WHEN change IN ('inserted', 'updated') THEN m.high ELSE w.high END AS high,
         CASE WHEN change IN ('inserted', 'updated') THEN m.digest ELSE w.digest END AS digest, coalesce(m.title_en, w.title_en) AS title_en, CASE WHEN change = 'kept' THEN w.closing ELSE m.closing END AS closing, greatest(w.seen, m.seen) AS seen, change,
         change = 'inserted' OR (change = 'updated' AND coalesce((w.low <> m.low OR w.high <> m.high) AND w.low IS NOT NULL AND w.high IS NOT NULL AND m.low IS NOT NULL AND m.high IS NOT NULL, false)) AS pay_history FROM j""",
-    "mrg_guard_publish": "SELECT * FROM (VALUES ('sound', true, NULL), ('key lost', false, 'keys'), ('key twice', false, 'repeated'), ('column lost', false, 'columns lost'), ('own column', false, 'columns of the merge''s own')) t(merge, passed, reason)",
+    "mrg_guard_shrink": "SELECT * FROM (VALUES ('sound', true, NULL), ('key lost', false, 'keys'), ('key twice', false, 'repeated'), ('column lost', false, 'columns lost'), ('own column', false, 'columns of the merge''s own')) t(merge, passed, reason)",
     "q_site_directory": r"""WITH p AS (SELECT page_id, regexp_replace(lower(nullif(regexp_extract(url, '^[a-z]+://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')), '^(www|m|blog)[.]', '') AS host FROM pages),
         b AS (SELECT host, CASE WHEN count(*) FILTER (WHERE page_id % 3 <> 0) = 0 THEN 'new' WHEN count(*) FILTER (WHERE page_id % 3 = 0) = 0 THEN 'listed' ELSE 'live' END AS status, count(*) AS rows FROM p WHERE host IS NOT NULL GROUP BY host),
         t AS (SELECT * FROM b ORDER BY rows DESC, CASE status WHEN 'live' THEN 0 WHEN 'listed' THEN 1 ELSE 2 END, host LIMIT 15)

@@ -47,9 +47,9 @@ def test_amounts_and_titles(spark):
 def test_places(spark):
     named = "id long, name string"
     cities, regions, countries = spark.createDataFrame([(1, "Springfield"), (2, "springfield"), (3, "Paris")], named), spark.createDataFrame([(7, "Texas")], named), spark.createDataFrame([(9, "United States")], named)
-    raw = [("Paris, Texas",), ("Springfield, USA",), ("Remote - Texas; Paris",), ("Worldwide",), ("elsewhere, ",), ("",), (None,), ("Paris, Texas",)]
+    raw = [("Paris, Texas",), ("Springfield, USA",), ("Remote - Texas; Paris",), ("Worldwide",), ("elsewhere, ",), ("",), (None,), ("Paris, Texas",), ("Paris 12, TX",), ("x, tx 12345-6789",)]
     got = [(r["place_level"], r["place_id"]) for r in places.resolve(spark.createDataFrame(raw, "raw string").coalesce(1).withColumn("i", F.monotonically_increasing_id()), "raw", cities, regions, countries).orderBy("i").collect()]
-    assert got == [(4, 3), (2, 9), (4, 3), (1, None), (0, None), (1, None), (0, None), (4, 3)]
+    assert got == [(4, 3), (2, 9), (4, 3), (1, None), (0, None), (1, None), (0, None), (4, 3), (4, 3), (3, 7)]
 
 
 def test_merges_of_empty_and_repeated_rows(spark):
