@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -50,6 +50,26 @@ def claim(queue: DataFrame, key: str, status: str, last: str, limit: int) -> Dat
     return queue.join(due, F.col(key) == F.col("__key"), "left").withColumn(status, F.when(F.col("__mine"), "in_progress").otherwise(F.col(status))).drop("__key", "__mine")
 
 
+def seed_queue(queue: DataFrame, sources: DataFrame, key: str) -> DataFrame:
+    """queue (key, status, last, errors, note) with every source that it lacks, pending."""
+    new = sources.select(key).distinct().join(queue.select(key), key, "left_anti")
+    return queue.unionByName(new.select(key, F.lit("pending").alias("status"), F.lit(None).cast("date").alias("last"), F.lit(0).alias("errors"), F.lit(None).cast("string").alias("note")))
+
+
+def settle(queue: DataFrame, results: DataFrame, key: str, day: Column) -> DataFrame:
+    """queue after results (key, note) of rows in progress: done without a note, else failed, with one error more; others stay as they are."""
+    met = queue.join(results.select(key, F.col("note").alias("__note"), F.lit(True).alias("__told")), key, "left")
+    told = F.coalesce("__told", F.lit(False)) & (F.col("status") == "in_progress")
+    failed = told & F.col("__note").isNotNull()
+    return met.select(key, F.when(failed, "failed").when(told, "done").otherwise(F.col("status")).alias("status"), F.when(told, day).otherwise(F.col("last")).alias("last"), (F.col("errors") + failed.cast("int")).alias("errors"), F.when(told, F.col("__note")).otherwise(F.col("note")).alias("note"))
+
+
+def insert_missing(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """old with new's rows of keys that it lacks, of a repeated key the least; rows that are there are never replaced, and rows of nulls alone not inserted."""
+    fresh = new.na.drop("all", subset=columns).groupBy(key).agg(F.min(F.struct(*columns)).alias("r")).select(key, "r.*")
+    return old.select(key, *columns).unionByName(fresh.join(old.select(key), key, "left_anti"))
+
+
 def deletable(existing: DataFrame, written: DataFrame, uploaded: DataFrame, path: str, source: str) -> DataFrame:
     """Rows of existing that a rewrite replaces: Parquet, of a source written this time, not just uploaded; none if nothing was written."""
     shards = existing.where(F.col(path).endswith(".parquet") & F.col(path).startswith("shards/"))

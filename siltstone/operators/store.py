@@ -125,6 +125,14 @@ def translated(ids: DataFrame, here: DataFrame, there: DataFrame, column: str) -
     return met.withColumn(column, F.when(F.col(column).isNotNull() & F.col("b_id").isNull(), absent).otherwise(F.col("b_id"))).drop("a_id", "a_value", "b_id", "b_value")
 
 
+def remapped(rows: DataFrame, key: str, link: str, ids: DataFrame) -> DataFrame:
+    """rows with their key and the link to another row of theirs turned by ids (old_id, new_id, each once); a link that the map lacks raises."""
+    own, other = ids.select(F.col("old_id").alias("k_old"), F.col("new_id").alias("k_new")), ids.select(F.col("old_id").alias("l_old"), F.col("new_id").alias("l_new"))
+    met = rows.join(own, F.col(key) == F.col("k_old")).join(other, F.col(link) == F.col("l_old"), "left")
+    absent = F.raise_error(F.concat(F.lit(f"{link} is not mapped: "), F.col(link).cast("string"))).cast("long")
+    return met.withColumns({link: F.when(F.col(link).isNotNull() & F.col("l_new").isNull(), absent).otherwise(F.col("l_new")), key: F.col("k_new")}).select(*rows.columns)
+
+
 #: Columns that a merge keeps for itself.
 OWN_COLUMNS = ("rn", "src_priority", "priority")
 

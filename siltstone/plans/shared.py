@@ -9,7 +9,6 @@ from __future__ import annotations
 
 SHARED: dict[str, str] = {
     # scans and projections
-    "src_projection": "SELECT o_orderkey, o_custkey, o_orderstatus FROM {orders}",
     "proj_star_select": """SELECT l.l_orderkey, l.l_linenumber, o.o_orderstatus AS job_status, c.c_name AS company_name, n.n_name AS country_name, r.r_name AS region_name,
         CAST(l.l_quantity AS INTEGER) AS num_vacancies FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
         LEFT JOIN {customer} c ON o.o_custkey = c.c_custkey LEFT JOIN {nation} n ON c.c_nationkey = n.n_nationkey LEFT JOIN {region} r ON n.n_regionkey = r.r_regionkey""",
@@ -19,7 +18,6 @@ SHARED: dict[str, str] = {
     "flt_unclassified": "SELECT d.doc_id FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id WHERE l.quality IS NULL",
     "flt_detect_pending": "SELECT doc_id FROM {documents} WHERE lang IS NULL OR (lang NOT IN ('en', 'unknown') AND source IS NOT NULL)",
     "flt_is_distinct": "SELECT d.doc_id FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id WHERE l.quality IS DISTINCT FROM 1 OR l.toxic IS DISTINCT FROM 0",
-    "flt_not_distinct": "SELECT c.c_custkey, s.s_suppkey FROM {customer} c JOIN {supplier} s ON c.c_nationkey IS NOT DISTINCT FROM s.s_nationkey AND c.c_mktsegment = 'BUILDING' WHERE c.c_custkey < s.s_suppkey",
     "flt_any_array": "SELECT l_orderkey, l_linenumber FROM {lineitem} WHERE l_orderkey IN (SELECT o_orderkey FROM {orders} WHERE o_orderpriority = '1-URGENT')",
     "flt_recent_window": "SELECT event_id FROM {events} WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) - INTERVAL '90' DAY FROM {events})",
     "flt_isin": "SELECT doc_id, source FROM {documents} WHERE source IN ('src0', 'src1', 'src2')",
@@ -40,13 +38,11 @@ SHARED: dict[str, str] = {
     "join_anti_missing_salary": "SELECT o.o_orderkey FROM {orders} o LEFT JOIN {lineitem} l ON o.o_orderkey = l.l_orderkey WHERE l.l_orderkey IS NULL",
     "join_cls_update": """SELECT d.doc_id, CASE WHEN l.quality IS NOT NULL AND l.quality IS DISTINCT FROM d.n_chars THEN CAST(l.quality AS BIGINT) ELSE d.n_chars END AS status FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id""",
     "join_label_lookup": "SELECT s.s_suppkey, n.n_nationkey, r.r_regionkey FROM {supplier} s LEFT JOIN {nation} n ON s.s_nationkey = n.n_nationkey LEFT JOIN {region} r ON n.n_regionkey = r.r_regionkey",
-    "join_ref_translate": "SELECT a.n_nationkey AS id_a, b.n_nationkey AS id_b FROM {nation} a JOIN {nation} b ON a.n_name = b.n_name",
     "join_hierarchy_parent": "SELECT n.n_nationkey, r.r_name AS parent FROM {nation} n LEFT JOIN {region} r ON n.n_regionkey = r.r_regionkey",
     "join_alias_scope": "SELECT c.c_custkey, n.n_name FROM {customer} c JOIN {nation} n ON c.c_nationkey = n.n_nationkey WHERE c.c_mktsegment = 'MACHINERY'",
     "join_key_membership": "SELECT e.event_id FROM {events} e WHERE NOT EXISTS (SELECT 1 FROM {customer} c WHERE c.c_custkey = e.user_id)",
     "join_existing_ids": "SELECT DISTINCT e.user_id FROM {events} e WHERE e.user_id IN (SELECT c_custkey FROM {customer})",
     "join_domain_directory": "SELECT coalesce(c.k, s.k) AS k, coalesce(c.n, s.n) AS n, c.k IS NULL AS only_right FROM (SELECT c_custkey AS k, c_name AS n FROM {customer}) c FULL OUTER JOIN (SELECT s_suppkey + 50 AS k, s_name AS n FROM {supplier}) s ON c.k = s.k",
-    "join_new_first": "SELECT o.o_orderkey, l.l_orderkey IS NOT NULL AS is_known FROM {orders} o LEFT JOIN (SELECT DISTINCT l_orderkey FROM {lineitem}) l ON l.l_orderkey = o.o_orderkey",
     "join_full_parity": """SELECT count(*) FILTER (WHERE b.k IS NULL) AS only_left, count(*) FILTER (WHERE a.k IS NULL) AS only_right, count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NOT NULL) AS in_both
         FROM (SELECT o_orderkey AS k FROM {orders} WHERE o_orderkey % 7 <> 0) a FULL OUTER JOIN (SELECT o_orderkey AS k FROM {orders} WHERE o_orderkey % 5 <> 0) b ON a.k = b.k""",
     # aggregations
@@ -106,14 +102,11 @@ SHARED: dict[str, str] = {
     "agg_top_companies_sql": "SELECT c.c_name, count(*) AS n FROM {customer} c JOIN {orders} o ON o.o_custkey = c.c_custkey GROUP BY c.c_name ORDER BY n DESC, c.c_name LIMIT 10",
     "agg_group_having_host": "SELECT split_part(url, '/', 3) AS host, count(DISTINCT page_id % 5) AS codes FROM {pages} GROUP BY split_part(url, '/', 3) HAVING count(DISTINCT page_id % 5) > 1",
     "topk_dashboard": "SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM {orders} GROUP BY o_orderpriority, o_orderstatus ORDER BY n DESC, o_orderpriority, o_orderstatus LIMIT 12",
-    "sort_nulls": "SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_linenumber % 2 = 0 THEN l_discount END DESC NULLS LAST, l_linenumber, l_partkey, l_suppkey) AS place FROM {lineitem}",
     "sort_priority_stable": "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderpriority LIKE '1%' THEN 0 WHEN o_orderpriority LIKE '5%' THEN 2 ELSE 1 END, o_orderkey) AS place FROM {orders}",
     "mrg_upsert_ref": """SELECT coalesce(n.k, t.k) AS k, coalesce(n.name, t.name) AS name, CASE WHEN t.k IS NULL THEN 'inserted' WHEN n.k IS NULL THEN 'kept' ELSE 'updated' END AS change
         FROM (SELECT c_custkey AS k, c_name AS name FROM {customer} WHERE c_custkey % 3 <> 0) t FULL OUTER JOIN (SELECT c_custkey AS k, lower(c_name) AS name FROM {customer} WHERE c_custkey % 2 = 0) n ON n.k = t.k""",
     "mrg_upsert_cities": """SELECT coalesce(n.name, t.name) AS name, coalesce(n.g, t.g) AS region, coalesce(n.size, t.size) AS size FROM (SELECT n_name AS name, coalesce(CASE WHEN n_nationkey % 4 <> 0 THEN n_regionkey END, 0) AS g, n_nationkey AS size FROM {nation}) t
         FULL OUTER JOIN (SELECT n_name AS name, coalesce(CASE WHEN n_nationkey % 4 <> 0 THEN n_regionkey END, 0) AS g, n_nationkey + 100 AS size FROM {nation} WHERE n_nationkey % 2 = 0) n ON n.name = t.name AND n.g = t.g""",
-    "mrg_remap_selfref": """SELECT o.o_orderkey + 1000000 AS id, m.o_orderkey + 1000000 AS duplicate_of FROM {orders} o LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS first FROM {orders} GROUP BY o_custkey) f ON f.o_custkey = o.o_custkey AND f.first < o.o_orderkey
-        LEFT JOIN {orders} m ON m.o_orderkey = f.first""",
     "fn_embed_text": "SELECT doc_id, coalesce(source, '') || '. ' || substr(text, 1, 300) AS embed FROM {documents} WHERE text IS NOT NULL",
     "fn_as_number": "SELECT k, CASE WHEN v BETWEEN -1.7e308 AND 1.7e308 THEN v END AS v FROM (SELECT o_orderkey AS k, TRY_CAST(CASE o_orderkey % 4 WHEN 0 THEN '12.5' WHEN 1 THEN 'abc' WHEN 2 THEN 'NaN' END AS DOUBLE) AS v FROM {orders}) x",
     "fn_discovery_key": "SELECT page_id, coalesce('id:' || CASE WHEN page_id % 3 = 0 THEN CAST(page_id AS VARCHAR(20)) END, 'url:' || url) AS k FROM {pages}",
@@ -161,10 +154,6 @@ SPLIT: dict[str, tuple[str, str]] = {
         r"SELECT doc_id, coalesce(2 * length(regexp_replace(text, '[^\\pL]|[a-zA-Z]', '')) > length(regexp_replace(text, '[^\\pL]', '')), false) AS foreign FROM {documents}",
         r"SELECT doc_id, coalesce(2 * length(regexp_replace(text, '[^\p{L}]|[a-zA-Z]', '', 'g')) > length(regexp_replace(text, '[^\p{L}]', '', 'g')), false) AS foreign FROM documents",
     ),
-    "flt_valid_utf8": (
-        "SELECT doc_id, is_valid_utf8(text) AS fine FROM {documents}",
-        "SELECT doc_id, CASE WHEN text IS NOT NULL THEN true END AS fine FROM documents",
-    ),
     "q_job_facts": (
         """SELECT o.o_orderkey, c.c_name AS company_name, n.n_name AS country_name, r.r_name AS region_name, coalesce(k.n, 0) AS skill_count, k.skills FROM {orders} o JOIN {customer} c ON c.c_custkey = o.o_custkey
         LEFT JOIN {nation} n ON n.n_nationkey = c.c_nationkey LEFT JOIN {region} r ON r.r_regionkey = n.n_regionkey LEFT JOIN (SELECT l_orderkey, count(*) AS n,

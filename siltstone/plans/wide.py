@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import markup, postings, salary, text
-from siltstone.operators import entity, merges, places, quality
+from siltstone.operators import entity, merges, places, quality, store
 from siltstone.sources import files as sources
 from siltstone.sources.tables import read
 
@@ -36,6 +36,10 @@ _FACTS = """SELECT o.o_orderkey AS job_id, c.c_name AS company_name, n.n_name AS
     LEFT JOIN (SELECT l_orderkey, count(*) AS n, count(DISTINCT l_partkey) AS n_parts, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, max(CAST(l_shipdate AS DATE)) AS last_ship FROM {lineitem} GROUP BY l_orderkey) x ON x.l_orderkey = o.o_orderkey"""
 
 SHARED: dict[str, str] = {
+    "src_projection": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority FROM {orders}",
+    "flt_not_distinct": """SELECT c.c_custkey, k.name FROM (SELECT c_custkey, CASE WHEN c_nationkey % 3 <> 0 THEN c_nationkey END AS n FROM {customer}) c JOIN (SELECT n_nationkey AS n, n_name AS name FROM {nation} UNION ALL SELECT NULL, 'none') k ON k.n IS NOT DISTINCT FROM c.n""",
+    "join_new_first": "SELECT o.o_orderkey, l.l_orderkey IS NOT NULL AS is_known FROM {orders} o LEFT JOIN (SELECT DISTINCT l_orderkey FROM {lineitem} WHERE l_orderkey % 7 <> 0) l ON l.l_orderkey = o.o_orderkey ORDER BY l.l_orderkey IS NOT NULL, o.o_orderkey DESC LIMIT 300",
+    "sort_nulls": "SELECT l_orderkey, l_linenumber, d FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linenumber % 2 = 0 THEN l_discount END AS d FROM {lineitem} WHERE l_orderkey < 300) x ORDER BY d DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 400",
     "proj_shard_select": _SHARD.format(text="VARCHAR(20)"),
     "join_job_facts": _FACTS,
     "join_star_left": """SELECT l.l_orderkey, l.l_linenumber, o.o_orderstatus, c.c_name, cn.n_name AS company_city, cr.r_name AS company_country, p.p_brand, s.s_name, sn.n_name AS supplier_city, sr.r_name AS supplier_country, d.lang, b.quality, g.url, k.text AS passage, e.label AS vector_label
@@ -97,6 +101,53 @@ def fn_host(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("page_id", host.alias("host"), quality.same_site(host, F.lit("www.example.com")).alias("same_site"))
 
 
+def flt_valid_utf8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as bytes, every third with one that UTF-8 never holds, every fifth cut inside a letter."""
+    raw = F.encode("text", "UTF-8")
+    broken = F.when(F.col("doc_id") % 3 == 0, F.concat(raw, F.unhex(F.lit("FF")))).when(F.col("doc_id") % 5 == 0, F.concat(raw, F.unhex(F.lit("C3")))).otherwise(raw)
+    return read(spark, sf_dir, "documents").select("doc_id", F.is_valid_utf8(broken.cast("string")).alias("fine"))
+
+
+def fn_skill_scan_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' whole texts, scanned for words of several languages, two of them short and in their own case."""
+    return read(spark, sf_dir, "documents").select("doc_id", F.array_join(postings.skill_scan(F.col("text"), _TERMS), "|").alias("found"))
+
+
+_TERMS = ("The", "und", "dans", "para", "idiot", "De", "la")
+
+
+def join_ref_translate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' nations, known there under other numbers; every fifth supplier has none."""
+    n = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("value"))
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 5 != 0, F.col("s_nationkey").cast("long")).alias("nation"))
+    return store.translated(s, n, n.withColumn("id", F.col("id") * 10 + 3), "nation")
+
+
+def mrg_remap_selfref(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's later orders point at the first; both ends take their new numbers."""
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    rows = o.join(o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first")), "o_custkey").select("o_orderkey", F.when(F.col("first") < F.col("o_orderkey"), F.col("first")).alias("duplicate_of"))
+    return store.remapped(rows, "o_orderkey", "duplicate_of", o.select(F.col("o_orderkey").alias("old_id"), (F.col("o_orderkey") + 1_000_000).alias("new_id"))).select(F.col("o_orderkey").alias("id"), "duplicate_of")
+
+
+def mrg_shard_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pay that a shard brings: only where it is disclosed, and only for postings that have none yet."""
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("pay"))
+    shard = o.select("k", (F.col("pay") + 1).alias("pay")).where("k % 2 = 0 AND k % 6 <> 0").unionByName(o.where("k % 10 = 0").select("k", (F.col("pay") + 2).alias("pay")))
+    return merges.insert_missing(o.where("k % 4 = 0"), shard, "k", ["pay"])
+
+
+def str_queue_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A queue seeded with sources, some claimed, of these some done and some failed; seeding again changes nothing."""
+    s = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("source"))
+    empty = spark.createDataFrame([], "source long, status string, last date, errors int, note string")
+    queue = merges.seed_queue(empty, s.where("source % 2 = 0"), "source")
+    queue = merges.seed_queue(queue, s, "source")
+    queue = merges.claim(queue, "source", "status", "last", 6)
+    done = s.where("source % 3 = 0").select("source", F.lit(None).cast("string").alias("note")).unionByName(s.where("source % 3 = 1").select("source", F.lit("timeout").alias("note")))
+    return merges.settle(queue, done, "source", F.lit("2024-01-05").cast("date"))
+
+
 def flt_suspect_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _postings(spark, sf_dir)
     path, body = quality.path_of(F.col("url")), F.when(F.col("long"), F.col("html")).otherwise(F.col("head"))
@@ -246,7 +297,7 @@ def sort_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("vec_id", best.alias("b")).select("vec_id", (-F.col("b.l")).cast("int").alias("label"), "b.cosine")
 
 
-FRAMES = {f.__name__: f for f in (flt_posting_quality, src_html_listing, fn_host, flt_suspect_rows, src_sitemap, agg_completeness, agg_nonnull_by_column, agg_batch_report, fn_salary_usd, fn_salary_anomaly, fn_content_hash, fn_quality_score, fn_script_lang, dedup_cross_source, title_class, geo_resolve, sort_argmax)}
+FRAMES = {f.__name__: f for f in (flt_valid_utf8, fn_skill_scan_texts, join_ref_translate, mrg_remap_selfref, mrg_shard_children, str_queue_cycle, flt_posting_quality, src_html_listing, fn_host, flt_suspect_rows, src_sitemap, agg_completeness, agg_nonnull_by_column, agg_batch_report, fn_salary_usd, fn_salary_anomaly, fn_content_hash, fn_quality_score, fn_script_lang, dedup_cross_source, title_class, geo_resolve, sort_argmax)}
 
 
 def _list(items) -> str:
@@ -288,6 +339,13 @@ def _place_case() -> str:
 
 
 FRAMES_SQL = {
+    "flt_valid_utf8": "SELECT doc_id, CASE WHEN text IS NOT NULL THEN doc_id % 3 <> 0 AND doc_id % 5 <> 0 END AS fine FROM documents",
+    "fn_skill_scan_texts": r"""SELECT doc_id, array_to_string(list_filter(['De', 'The', 'dans', 'idiot', 'la', 'para', 'und'], lambda t: regexp_matches(coalesce(text, ''), CASE WHEN length(t) <= 2 THEN '(^|[^A-Za-z0-9&/-])' || t || '([^A-Za-z0-9&/-]|$)' ELSE '(?i)(^|[^A-Za-z0-9])' || t || '([^A-Za-z0-9]|$)' END)), '|') AS found FROM documents""",
+    "join_ref_translate": "SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN s_nationkey * 10 + 3 END::BIGINT AS nation FROM supplier",
+    "mrg_remap_selfref": "SELECT o_orderkey + 1000000 AS id, CASE WHEN min(o_orderkey) OVER (PARTITION BY o_custkey) < o_orderkey THEN min(o_orderkey) OVER (PARTITION BY o_custkey) + 1000000 END AS duplicate_of FROM orders",
+    "mrg_shard_children": "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice WHEN o_orderkey % 2 = 0 AND o_orderkey % 6 <> 0 THEN o_totalprice + 1 ELSE o_totalprice + 2 END AS pay FROM orders WHERE o_orderkey % 4 = 0 OR o_orderkey % 2 = 0 AND o_orderkey % 6 <> 0 OR o_orderkey % 10 = 0",
+    "str_queue_cycle": """WITH c AS (SELECT s_suppkey AS k, row_number() OVER (ORDER BY s_suppkey) <= 6 AS mine FROM supplier)
+        SELECT k AS source, CASE WHEN NOT mine THEN 'pending' WHEN k % 3 = 0 THEN 'done' WHEN k % 3 = 1 THEN 'failed' ELSE 'in_progress' END AS status, CASE WHEN mine AND k % 3 <> 2 THEN DATE '2024-01-05' END AS last, CASE WHEN mine AND k % 3 = 1 THEN 1 ELSE 0 END AS errors, CASE WHEN mine AND k % 3 = 1 THEN 'timeout' END AS note FROM c""",
     "flt_posting_quality": rf"""WITH p AS (SELECT page_id, page_id % 17 = 16 AS none, page_id % 13 = 12 AS off, lower({_SITE_PATH}) AS path, trim({_SITE_NAME}) AS t, {_BODY_CHARS} AS n FROM pages),
         q AS (SELECT *, trim(lower(t), ' .:!-–—') AS bare, regexp_extract(path, '([^/]*)/*$', 1) AS last, CASE WHEN path = '/' THEN 'site root, not a posting' WHEN off THEN 'offsite link (facebook.com)' WHEN path LIKE '/profile/%' THEN NULL WHEN path LIKE '/news/%' THEN 'section path (news)'
           WHEN path LIKE '/company/%' THEN 'section path (company)' WHEN path LIKE '/2026/10/21/%' THEN 'news article path (dated)' WHEN path = '/jobs' THEN 'listing page (/jobs)' WHEN path = '/job/today.html' THEN 'listing page (/today.html)' WHEN path = '/offer/driver-jobs' THEN 'category path (ends in -jobs)' END AS by_path FROM p)

@@ -27,11 +27,14 @@ def ledger_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watermark_export(spark: SparkSession, sf_dir: str, since: str = "2024-01-03 00:00:00") -> DataFrame:
-    """Rows newer than the source's high-water mark, as one new immutable set of files."""
-    root = work_dir(spark, "stream")
-    events = read(spark, sf_dir, "events")
-    events.where(F.col("ts") > F.lit(since).cast("timestamp_ntz")).select("event_id", "user_id").write.option("compression", "zstd").parquet(f"{root}/export")
-    return spark.read.parquet(f"{root}/export")
+    """Two exports under one state: up to `since`, and what is newer than the marks that the first left, which is returned from its files."""
+    from siltstone.sinks import files
+
+    root = work_dir(spark, "export")
+    events = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.lit("all").alias("source"))
+    files.export_newer(events.where(F.col("ts") <= F.lit(since).cast("timestamp_ntz")), f"{root}/shards", f"{root}/state", "source", "ts", "1")
+    files.export_newer(events, f"{root}/shards", f"{root}/state", "source", "ts", "2")
+    return spark.read.schema("event_id long, user_id long").parquet(f"{root}/shards/stamp=2").select("event_id", "user_id")
 
 
 def touch_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
