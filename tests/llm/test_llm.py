@@ -554,20 +554,39 @@ def test_topk_brute_force_over_length_spreads(spark, tmp_path, monkeypatch, sigm
         assert got[q] == [(int(ids[j]), int(s[j])) for j in best]
 
 
+def _sorted(rows, *names):
+    return sorted((tuple(r[n] for n in names) for r in rows), key=repr)
+
+
 def test_odd_rows(spark, odd, empty):
+    """Each operator over nulls, blanks, repeated rows, a null id, a long text and columns named like its own: values, and what becomes of those columns."""
+    import tiktoken
+
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(10)] + [(None, 1, 1), (3, None, None)], LABELS)
-    for docs, n in ((odd, len(ODD)), (empty, 0)):
-        assert quality_rules.quality_rules(docs).count() == n
-        assert simhash.simhash_groups(docs).count() == n
-        assert mixing.mix_counts(docs).count() == n
-        assert bpe.encode(docs).count() == n
-        assert line_dedup.line_dedup(docs).count() == n
-        assert quality_classifier.score(docs, quality_classifier.learn(docs, labels)).count() == n
-        assert toxicity.score(docs, toxicity.learn(docs, labels)).count() == n
-        assert langid.predict(docs, langid.learn(docs)).count() == n
-        assert simhash.near_dedup(docs).count() <= n
-        assert mixing.mix(docs).columns == docs.columns
-    assert langid.predict(odd, langid.learn(odd)).where("doc_id = 1").first()["lang_pred"] == "und"
+    ids = [r[0] for r in ODD]
+    lib = tiktoken.Encoding("odd", pat_str=bpe._vocabulary()[1], mergeable_ranks=bpe.tokenizer(*bpe._vocabulary()).ranks, special_tokens={})
+
+    rules = quality_rules.quality_rules(odd)
+    assert _sorted(rules.collect(), "doc_id", "n_words") == sorted(((r[0], len((r[1] or "").split())) for r in ODD), key=repr)
+    encoded = bpe.encode(odd).collect()  # ids is replaced, the others stay
+    assert _sorted(encoded, "doc_id", "ids", "kept", "score") == sorted(((r[0], lib.encode_ordinary(r[1] or ""), r[5], r[6]) for r in ODD), key=repr)
+    for scored in (quality_classifier.score(odd, quality_classifier.learn(odd, labels)), toxicity.score(odd, toxicity.learn(odd, labels))):
+        got = scored.collect()  # score is replaced, the others stay
+        assert _sorted(got, "doc_id", "kept", "ids", "lang") == sorted(((r[0], r[5], r[7], r[2]) for r in ODD), key=repr)
+        assert all(0 <= r["score"] <= 1 for r in got) and len({r["score"] for r in got if r["doc_id"] == 4}) == 1
+        assert len({r["score"] for r in got if r["doc_id"] in (1, 2)}) == 1  # null and empty alike
+    told = langid.predict(odd, langid.learn(odd)).collect()
+    assert _sorted(told, "doc_id", "kept", "ids") == sorted(((r[0], r[5], r[7]) for r in ODD), key=repr)
+    by = {r["doc_id"]: r for r in told}
+    assert all(by[i]["lang_pred"] == "und" and by[i]["score"] == 0 and by[i]["rejected"] for i in (1, 2, 3)) and by[9]["lang_pred"] != "und"
+    kept = simhash.near_dedup(odd)
+    assert kept.columns == odd.columns and sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 1, 4, 9]
+    mixed = mixing.mix(odd)
+    assert mixed.columns == odd.columns and {r["doc_id"] for r in mixed.collect()} <= {4, 9, None}
+    none_model = quality_classifier.fit([])
+    assert langid.learn(empty) is None and _sorted(langid.predict(odd, None).collect(), "doc_id", "lang_pred") == sorted(((i, "und") for i in ids), key=repr)
+    for out in (quality_rules.quality_rules(empty), simhash.simhash_groups(empty), simhash.near_dedup(empty), mixing.mix_counts(empty), mixing.mix(empty), bpe.encode(empty), line_dedup.line_dedup(empty), quality_classifier.score(empty, none_model), toxicity.score(empty, toxicity.learn(empty, labels)), langid.predict(empty, None)):
+        assert out.count() == 0
 
 
 def test_lines_in_batches(spark):
@@ -648,3 +667,30 @@ def test_pipeline_stages_by_brute_force(spark):
     assert sum(len(r["text"].split()) for r in mixed.collect()) == total
     out = p.tokens(spark, mixed, SF)
     assert out.count() == mixed.count()
+
+
+def test_pipeline_over_odd_tables(spark, tmp_path):
+    """run() over nulls in every column, empty and long texts, repeated rows and ids, extra columns; and over no rows at all."""
+    import corpus_pipeline as p
+
+    good = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id").where("length(text) BETWEEN 500 AND 3000").orderBy("doc_id").limit(40).collect()]
+    rows = [(i, t, "en", f"s{i % 3}", len(t), "x", 1.0) for i, t in enumerate(good)]
+    rows += [(100, None, None, None, None, None, None), (101, "", "en", "s0", 0, "x", 0.0), (None, good[0] + " tail", None, "s1", 5, "x", 0.0), (3, good[3], "en", "s0", 9, "y", 2.0), (4, good[5] + " other words", "en", None, 9, "y", 2.0), (102, (good[7] + " ") * 60, "en", "s2", 9, "y", 2.0)]
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    texts = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(labels.where("quality = 0"), "doc_id").limit(30).collect()
+    bad = [(1000 + i, r["text"], "en", "s0", 1, "x", 0.0) for i, r in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, th double"
+    spark.createDataFrame(rows + bad, schema).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(1000 + i, 0, 0) for i in range(len(bad))] + [(None, 1, None), (7, None, None)], LABELS).write.parquet(f"{tmp_path}/odd/labels.parquet")
+    out = p.run(spark, f"{tmp_path}/odd")
+    assert out.columns[:3] == ["doc_id", "lang", "source"] and {"n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns)
+    got = out.collect()
+    kept = {r["doc_id"] for r in got}
+    assert len(kept & set(range(40))) > 25 and len(kept & set(range(1000, 1100))) < len(bad) / 3
+    tok = bpe.tokenizer(*bpe._vocabulary())
+    for r in got:  # the ids are those of the decoded text
+        text = tok.decode([r["ids"]])[0]
+        assert hashlib.sha256(text).hexdigest() == r["decoded_sha256"] and text and len(r["ids"]) == r["n_tokens"]
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{tmp_path}/odd/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert p.run(spark, f"{tmp_path}/none").count() == 0
