@@ -39,33 +39,34 @@ PART_CHARS = 1_500_000
 #: Units kept from one task to the next, those met most.
 KEPT = 250_000
 #: Pieces that one recursive query contracts.
-PIECES = 20_000
-
-#: A row is a token at a byte position with its right neighbour (nxt at npos); key is the rank of the pair the two
-#: make, then pos (under 64, see LONG_PIECE), or null. Columns have 32 bits. A step contracts the pair of least key and joins only the neighbours it changed.
-_ENCODE = """WITH RECURSIVE t(step, piece, pos, tok, nxt, npos, key) AS (
-  SELECT 0::INTEGER, s.piece, s.pos, s.tok, s.nxt, (s.pos + 1)::INTEGER, m.rank * 64 + s.pos
-  FROM start s LEFT JOIN merges m ON s.tok = m.a AND s.nxt = m.b
+PIECES = 40_000
+
+#: A row is a token at pp, its piece * 64 and its byte's position (under 64, see LONG_PIECE), with its right neighbour (nxt at
+#: npp); key is the rank of the pair the two make, then pos, or null. The merge table's key is left * 1048576 + right: every
+#: join is on one column. A step contracts the pair of least key and joins only the neighbours it changed.
+_ENCODE = """WITH RECURSIVE t(step, pp, tok, nxt, npp, key) AS (
+  SELECT 0::INTEGER, s.pp, s.tok, s.nxt, (s.pp + 1)::INTEGER, m.rank * 64 + (s.pp & 63)
+  FROM start s LEFT JOIN merges m ON s.tok::BIGINT * 1048576 + s.nxt = m.pair
   UNION ALL
-  SELECT n.step, n.piece, n.pos, n.tok, n.nxt, n.npos, CASE WHEN n.same THEN n.key ELSE m.rank * 64 + n.pos END
+  SELECT n.step, n.pp, n.tok, n.nxt, n.npp, CASE WHEN n.same THEN n.key ELSE m.rank * 64 + (n.pp & 63) END
   FROM (
-    SELECT (t.step + 1)::INTEGER AS step, t.piece, t.pos,
-      CASE WHEN t.pos = b.pos THEN b.rank ELSE t.tok END AS tok,
-      CASE WHEN t.pos = b.pos THEN r.nxt WHEN t.npos = b.pos THEN b.rank ELSE t.nxt END AS nxt,
-      CASE WHEN t.pos = b.pos THEN r.npos ELSE t.npos END AS npos, t.key, t.pos <> b.pos AND t.npos <> b.pos AS same
-    FROM t JOIN (SELECT piece, min(key) // 64 AS rank, min(key) % 64 AS pos, arg_min(npos, key) AS gone FROM t WHERE key IS NOT NULL GROUP BY piece) b USING (piece)
-      JOIN t r ON r.piece = b.piece AND r.pos = b.gone
-    WHERE t.pos <> b.gone) n
-  LEFT JOIN merges m ON n.tok = m.a AND n.nxt = m.b
+    SELECT (t.step + 1)::INTEGER AS step, t.pp,
+      CASE WHEN t.pp = b.pp THEN b.rank ELSE t.tok END AS tok,
+      CASE WHEN t.pp = b.pp THEN r.nxt WHEN t.npp = b.pp THEN b.rank ELSE t.nxt END AS nxt,
+      CASE WHEN t.pp = b.pp THEN r.npp ELSE t.npp END AS npp, t.key, t.pp <> b.pp AND t.npp <> b.pp AS same
+    FROM t JOIN (SELECT pp >> 6 AS piece, min(key) // 64 AS rank, ((pp >> 6) << 6) + min(key) % 64 AS pp, arg_min(npp, key) AS gone FROM t WHERE key IS NOT NULL GROUP BY pp >> 6) b ON t.pp >> 6 = b.piece
+      JOIN t r ON r.pp = b.gone
+    WHERE t.pp <> b.gone) n
+  LEFT JOIN merges m ON CASE WHEN n.same THEN -1 ELSE n.tok::BIGINT * 1048576 + n.nxt END = m.pair
 )
-SELECT piece, tok FROM t JOIN (SELECT piece, max(step) AS step FROM t WHERE pos = 0 GROUP BY piece) USING (piece, step) ORDER BY piece, pos
+SELECT t.pp >> 6 AS piece, tok FROM t JOIN (SELECT pp >> 6 AS piece, max(step) AS step FROM t WHERE pp & 63 = 0 GROUP BY pp >> 6) x ON t.pp >> 6 = x.piece AND t.step = x.step ORDER BY t.pp
 """
 
 #: One step contracts all pairs of the piece's least rank from left to right, of overlapping ones every other. That is what
 #: contracting the leftmost again and again comes to, unless the new token makes a pair of lower rank with a neighbour: it
 #: can only if it is `loose`, and then the leftmost alone is contracted. A row's rank is that of its pair with the next row.
 _LONG = """WITH RECURSIVE t(step, piece, pos, tok, rank) AS (
-  SELECT 0, s.piece, s.pos, s.tok, m.rank FROM (SELECT *, lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS nxt FROM start) s LEFT JOIN merges m ON s.tok = m.a AND s.nxt = m.b
+  SELECT 0, s.piece, s.pos, s.tok, m.rank FROM (SELECT *, lead(tok) OVER (PARTITION BY piece ORDER BY pos) AS nxt FROM start) s LEFT JOIN merges m ON s.tok::BIGINT * 1048576 + s.nxt = m.pair
   UNION ALL
   SELECT n.step, n.piece, n.pos, n.tok, m.rank FROM (
     SELECT step + 1 AS step, piece, pos, CASE WHEN take THEN least ELSE tok END AS tok, lead(CASE WHEN take THEN least ELSE tok END) OVER (PARTITION BY piece ORDER BY pos) AS nxt
@@ -74,7 +75,7 @@ _LONG = """WITH RECURSIVE t(step, piece, pos, tok, rank) AS (
         SELECT *, row_number() OVER (PARTITION BY piece ORDER BY pos) - row_number() OVER (PARTITION BY piece, hit ORDER BY pos) AS run, row_number() OVER (PARTITION BY piece, hit ORDER BY pos) AS nth FROM (
           SELECT *, coalesce(rank = least, false) AS hit FROM (SELECT *, min(rank) OVER (PARTITION BY piece) AS least FROM t) WHERE least IS NOT NULL AND step < $steps))))
     WHERE NOT gone) n
-  LEFT JOIN merges m ON n.tok = m.a AND n.nxt = m.b
+  LEFT JOIN merges m ON n.tok::BIGINT * 1048576 + n.nxt = m.pair
 )
 SELECT piece, pos, tok, rank IS NOT NULL AS open FROM t JOIN (SELECT piece, max(step) AS step FROM t GROUP BY piece) USING (piece, step) ORDER BY piece, pos
 """
@@ -104,7 +105,7 @@ class Tokenizer:
         self.byte = [ranks[bytes([i])] for i in range(256)]
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": False})
         rows = np.array(merges, dtype=np.int32).reshape(-1, 3)
-        self._table("merge_rows", a=rows[:, 0], b=rows[:, 1], rank=rows[:, 2])
+        self._table("merge_rows", pair=rows[:, 0].astype(np.int64) * 1048576 + rows[:, 1], rank=rows[:, 2])
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
         # tokens that can stand in a pair of lower rank than their own
         self._table("loose_rows", tok=np.unique(np.concatenate([rows[rows[:, 2] < rows[:, k], k] for k in (0, 1)])))
@@ -155,10 +156,10 @@ class Tokenizer:
             tok = table[raw]
             nxt = np.append(tok[1:], np.int32(-1))
             nxt[np.cumsum(sizes) - 1] = -1
-            self._table("start", piece=np.repeat(np.arange(at, at + len(some), dtype=np.int32), sizes), pos=pos, tok=tok, nxt=nxt)
+            self._table("start", pp=np.repeat(np.arange(len(some), dtype=np.int32), sizes) * np.int32(64) + pos, tok=tok, nxt=nxt)
             got = self.con.sql(_ENCODE).to_arrow_table()
             self.con.unregister("start")
-            owner.append(index[got.column(0).to_numpy()])
+            owner.append(index[at + got.column(0).to_numpy()])
             ids.append(got.column(1).to_numpy())
         at = 0
         while at < len(long):
