@@ -39,10 +39,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every intermediate table that this application has written: for when the results that rest on them are written themselves."""
-    for path in _paths.pop(spark.sparkContext.applicationId, []):
-        remove(spark, path)
+def written(spark: SparkSession) -> set[str]:
+    """The intermediate tables that this application has written and not deleted."""
+    return set(_paths.get(spark.sparkContext.applicationId, ()))
+
+
+def release(spark: SparkSession, keep: set[str] = frozenset()) -> None:
+    """Delete the intermediate tables that this application has written, but for those to keep: for when the results that rest on them are written themselves."""
+    app = spark.sparkContext.applicationId
+    for path in _paths.pop(app, []):
+        if path in keep:
+            _paths.setdefault(app, []).append(path)
+        else:
+            remove(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
