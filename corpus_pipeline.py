@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import siltstone
 from siltstone.llm import bpe, line_dedup, mixing, quality_classifier, simhash
-from siltstone.llm.common import materialize, read
+from siltstone.llm.common import new_path, read, release, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -52,10 +52,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in turn over documents, each written and read again."""
-    out = read(spark, sf_dir, "documents")
+    """The stages in turn over documents, each written and read again; what a stage wrote on its way goes once its result is written."""
+    out, before = read(spark, sf_dir, "documents"), written(spark)
     for k, (_, stage) in enumerate(STAGES):
         out = stage(spark, out, sf_dir)
         if k + 1 < len(STAGES):
-            out = materialize(out, f"pipeline-{k}")
+            path = new_path(spark, f"pipeline-{k}")
+            out.write.parquet(path)
+            out = spark.read.schema(out.schema).parquet(path)
+            release(spark, before | {path})
     return out
