@@ -650,18 +650,19 @@ def test_lines_by_brute_force(spark):
 
 def test_pipeline_stages_by_brute_force(spark):
     import corpus_pipeline as p
+    from siltstone.llm.common import materialize
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     whole = {r["doc_id"]: r["text"] for r in docs.collect()}
-    good = p.materialize(p.quality(spark, docs, SF), "test")
+    good = materialize(p.quality(spark, docs, SF), "test")
     assert 0 < good.count() < docs.count()
-    cut = p.materialize(p.lines(spark, good, SF), "test")
+    cut = materialize(p.lines(spark, good, SF), "test")
     assert cut.count() == good.count() and all(set(r["text"].split("\n")) <= set((whole[r["doc_id"]] or "").split("\n")) | {""} for r in cut.collect())
-    one = p.materialize(p.near_duplicates(spark, cut, SF), "test")
+    one = materialize(p.near_duplicates(spark, cut, SF), "test")
     fps = _components(np.array([simhash.fingerprint(r["text"]) for r in cut.collect()], dtype=np.uint64))
     assert one.count() == len(set(fps.values()))
     texts = {r["doc_id"]: r["text"] for r in one.collect()}
-    mixed = p.materialize(p.mixture(spark, one, SF), "test")
+    mixed = materialize(p.mixture(spark, one, SF), "test")
     assert all(part in texts[r["doc_id"]] for r in mixed.collect() for part in [r["text"].split("\n")[0]])
     total = mixing.mix_counts(one).agg(F.sum("taken")).first()[0]
     assert sum(len(r["text"].split()) for r in mixed.collect()) == total
@@ -672,6 +673,7 @@ def test_pipeline_stages_by_brute_force(spark):
 def test_pipeline_over_odd_tables(spark, tmp_path):
     """run() over nulls in every column, empty and long texts, repeated rows and ids, extra columns; and over no rows at all."""
     import corpus_pipeline as p
+    from siltstone.llm.common import materialize, written
 
     good = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id").where("length(text) BETWEEN 500 AND 3000").orderBy("doc_id").limit(40).collect()]
     rows = [(i, t, "en", f"s{i % 3}", len(t), "x", 1.0) for i, t in enumerate(good)]
@@ -682,7 +684,10 @@ def test_pipeline_over_odd_tables(spark, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, th double"
     spark.createDataFrame(rows + bad, schema).write.parquet(f"{tmp_path}/odd/documents.parquet")
     spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(1000 + i, 0, 0) for i in range(len(bad))] + [(None, 1, None), (7, None, None)], LABELS).write.parquet(f"{tmp_path}/odd/labels.parquet")
+    mine = materialize(spark.range(3).toDF("x"), "other")
+    held = written(spark)
     out = p.run(spark, f"{tmp_path}/odd")
+    assert len(written(spark) - held) == 1 and mine.count() == 3  # the last stage's input is left, and what was there before
     assert out.columns[:3] == ["doc_id", "lang", "source"] and {"n_tokens", "ids_sha256", "decoded_sha256"} <= set(out.columns)
     got = out.collect()
     kept = {r["doc_id"] for r in got}
