@@ -28,7 +28,6 @@ ROLES = (
     ("Chief Data Officer", "", "executive", True), ("Head of Sales", "", "director", True), ("Store manager", "", "manager", True), ("Tech Lead", "You will manage a team", "team_lead", True), ("Tech Lead", "", "team_lead", None),
     ("Junior Analyst", "direct reports", "individual_contributor", False), ("Nurse", "supervise staff daily", "manager", True), ("Nurse", "", None, None), ("", "direct reports", None, None),
 )
-SCHEDULES = (("Rotating shift, weekend work", "weekend"), ("Night shift or day shift", "night_shift"), ("shift work", "rotational"), ("Flexible hours", "flexible"), ("9am to 5pm", "standard_day"), ("Monday - Friday", "standard_day"), ("whenever", None), ("", None))
 
 
 def _of(items: tuple[str, ...], key: str) -> Column:
@@ -60,16 +59,9 @@ def text() -> Column:
 
 
 FUNCTIONS = {
-    "fn_education_level": lambda: [p.education_level(text()).alias("level")],
-    "fn_remote_type": lambda: [p.remote_type(text()).alias("remote_type")],
-    "fn_visa": lambda: [p.stance(text(), p.VISA).alias("visa")],
-    "fn_relocation": lambda: [p.stance(text(), p.RELOCATION).alias("relocation")],
-    "fn_clean_title": lambda: [p.clean_title(title()).alias("cleaned")],
-    "fn_core_title": lambda: [p.core_title(p.clean_title(title())).alias("core")],
     "flt_non_job": lambda: [p.is_non_job(title(), text()).alias("non_job")],
     "fn_experience_years": lambda: [c.alias(n) for c, n in zip(p.experience_range(_of(_column(YEARS, 0), "o_orderkey")), ("years_min", "years_max"), strict=True)],
     "fn_seniority": lambda: [c.alias(n) for c, n in zip(p.seniority(_of(_column(ROLES, 0), "o_orderkey"), _of(_column(ROLES, 1), "o_orderkey")), ("role", "managerial"), strict=True)],
-    "fn_schedule": lambda: [p.work_schedule(_of(_column(SCHEDULES, 0), "o_orderkey")).alias("schedule")],
     "fn_pay_period": lambda: [p.pay_period(_of(PERIODS, "o_orderkey")).alias("period")],
     "fn_salary_eu_amount": lambda: [p.european_amount(_of(AMOUNTS, "o_orderkey")).alias("amount")],
     "fn_skill_scan": lambda: [F.array_join(p.skill_scan(_of(tuple(t for t, _ in SKILLS), "o_orderkey"), TERMS), "|").alias("skills")],
@@ -120,34 +112,12 @@ def _item(items, key: str = "o_orderkey") -> str:
     return f"[{', '.join(map(_quoted, items))}][{key} % {len(items)} + 1]"
 
 
-def _case(column: str, table) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches({column}, {_quoted(x)}, 'i') THEN {_quoted(code)}" for code, x in table) + " END"
-
-
-def _stance(patterns) -> str:
-    return f"CASE WHEN regexp_matches(x, {_quoted(patterns[0])}, 'i') THEN true WHEN regexp_matches(x, {_quoted(patterns[1])}, 'i') THEN false END"
-
-
 def oracle_sql() -> dict[str, str]:
     t = f"(SELECT o_orderkey, {_item(TITLES)} AS t, {_item(TEXTS)} AS x FROM orders)"
-    years = f"try_cast(coalesce(nullif(regexp_extract(x, {_quoted(p.EXPERIENCE_YEARS)}, 1, 'i'), ''), nullif(regexp_extract(x, {_quoted(p.EXPERIENCE_YEARS)}, 2, 'i'), '')) AS DOUBLE)"
-    levels = " ".join(f"WHEN y >= {n} THEN '{code}'" for n, code in p.YEARS_LEVELS)
-    cleaned = "t"
-    for _ in range(3):
-        cleaned = f"trim(regexp_replace({cleaned}, {_quoted(p.TITLE_NOISE)}, '', 'i'))"
-    cleaned = rf"trim(regexp_replace(regexp_replace({cleaned}, '[^\w\s\-/&]', '', 'g'), '\s+', ' ', 'g'))"
-    has = lambda x: f"regexp_matches(x, {_quoted(x)}, 'i')"
     return {
-        "fn_education_level": f"SELECT o_orderkey, {_case('x', p.EDUCATION)} AS level FROM {t}",
-        "fn_remote_type": f"SELECT o_orderkey, CASE WHEN {has(p.HYBRID)} THEN 'hybrid' WHEN {has(p.REMOTE)} AND {has(p.REMOTE_GLOBAL)} THEN 'remote_global' WHEN {has(p.REMOTE)} THEN 'remote_country' WHEN {has(p.ON_SITE)} THEN 'on_site' END AS remote_type FROM {t}",
-        "fn_visa": f"SELECT o_orderkey, {_stance(p.VISA)} AS visa FROM {t}",
-        "fn_relocation": f"SELECT o_orderkey, {_stance(p.RELOCATION)} AS relocation FROM {t}",
-        "fn_clean_title": f"SELECT o_orderkey, {cleaned} AS cleaned FROM {t}",
-        "fn_core_title": f"SELECT o_orderkey, trim(regexp_replace({cleaned}, {_quoted(p.SENIORITY)}, '', 'i')) AS core FROM {t}",
         "flt_non_job": f"SELECT o_orderkey, t = 'test 12' OR length(x) < 15 AS non_job FROM {t}",
         "fn_experience_years": f"SELECT o_orderkey, {_value(_column(YEARS, 1), 'INTEGER')} AS years_min, {_value(_column(YEARS, 2), 'INTEGER')} AS years_max FROM orders",
         "fn_seniority": f"SELECT o_orderkey, {_value(_column(ROLES, 2), 'VARCHAR')} AS role, {_value(_column(ROLES, 3), 'BOOLEAN')} AS managerial FROM orders",
-        "fn_schedule": f"SELECT o_orderkey, {_value(_column(SCHEDULES, 1), 'VARCHAR')} AS schedule FROM orders",
         "fn_pay_period": "SELECT o_orderkey, ['yearly', 'hourly', 'monthly', 'yearly', NULL, 'daily', NULL][o_orderkey % 7 + 1] AS period FROM orders",
         "fn_salary_eu_amount": "SELECT o_orderkey, [12345.67, 12345.67, 21000, 16261.86, 15, NULL, NULL, 1234567, NULL, 30000][o_orderkey % 10 + 1]::DOUBLE AS amount FROM orders",
         "fn_skill_scan": f"SELECT o_orderkey, {_item([s for _, s in SKILLS])} AS skills FROM orders",

@@ -54,9 +54,22 @@ DATAFRAME_ORACLE = {
 }
 
 
+#: Reports and scans that are other queries under a name of their own.
+SAME_AS = {
+    "src_parquet_projection": "src_projection", "q_active_jobs": "join_active_view", "q_completeness": "agg_completeness", "q_source_status": "agg_group_count", "q_title_status": "agg_match_method", "q_families": "topk_families",
+    "q_companies": "topk_companies", "q_skills": "topk_skills", "q_dashboard": "q_dashboard_kpis", "q_explore": "q_explore_counts",
+}
+
+
+def _named(found: dict) -> dict:
+    return found | {name: found[other] for name, other in SAME_AS.items()}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: statement(v) for k, v in SHARED.items()} | {k: statement(v[0]) for k, v in SPLIT.items()} | DATAFRAME | postings.queries() | extraction.queries() | storage.queries() | {k: statement(v) for k, v in wide.SHARED.items()} | wide.queries()
+    statements = {k: statement(v) for k, v in (SHARED | {k: v[0] for k, v in SPLIT.items()} | wide.SHARED).items()}
+    return _named(statements | DATAFRAME | postings.queries() | extraction.queries() | storage.queries() | wide.queries())
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _oracle(v) for k, v in SHARED.items()} | {k: v[1] for k, v in SPLIT.items()} | DATAFRAME_ORACLE | postings.oracle_sql() | extraction.oracle_sql() | storage.oracle_sql() | {k: _oracle(v) for k, v in wide.SHARED.items()} | wide.oracle_sql()
+    statements = {k: _oracle(v) for k, v in (SHARED | wide.SHARED).items()} | {k: v[1] for k, v in SPLIT.items()}
+    return _named(statements | DATAFRAME_ORACLE | postings.oracle_sql() | extraction.oracle_sql() | storage.oracle_sql() | wide.oracle_sql())

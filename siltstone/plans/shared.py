@@ -58,7 +58,7 @@ SHARED: dict[str, str] = {
     "agg_source_counts": "SELECT n.n_name, count(s.s_suppkey) AS n FROM {nation} n LEFT JOIN {supplier} s ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name",
     "agg_group_having": "SELECT p_name, count(DISTINCT p_brand) AS brands FROM {part} GROUP BY p_name HAVING count(DISTINCT p_brand) > 1",
     "agg_salary_constant_source": "SELECT l_suppkey, min(l_returnflag) AS flag FROM {lineitem} WHERE l_quantity > 48 GROUP BY l_suppkey HAVING count(DISTINCT l_returnflag) = 1 AND count(DISTINCT l_linestatus) = 1",
-    "agg_match_method": "SELECT coalesce(l_returnflag, 'unresolved') AS method, count(*) AS n FROM {lineitem} GROUP BY coalesce(l_returnflag, 'unresolved')",
+    "agg_match_method": "SELECT method, n, round(CAST(100 AS DOUBLE) * n / nullif(sum(n) OVER (), 0), 1) AS pct FROM (SELECT coalesce(l_returnflag, 'unresolved') AS method, count(*) AS n FROM {lineitem} GROUP BY coalesce(l_returnflag, 'unresolved')) x",
     "agg_dup_keys": "SELECT count(*) - count(DISTINCT l_orderkey) AS duplicates FROM {lineitem}",
     "agg_max_id": "SELECT coalesce(max(o_orderkey), 0) AS max_id FROM {orders}",
     "agg_greatest": "SELECT d.doc_id, greatest(coalesce(CAST(l.quality AS BIGINT), d.n_chars), d.n_chars) AS last FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id",

@@ -113,6 +113,30 @@ def fn_skill_scan_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", F.array_join(postings.skill_scan(F.col("text"), _TERMS), "|").alias("found"))
 
 
+_PHRASES = ("PhD; visa sponsorship available.", "Physics. Hybrid; rotating shift, weekend work", "Remote, worldwide. No visa sponsorship, and no relocation.", "On-site. Relocation package. Night shift", "We cannot relocate you. Flexible hours, telework", "short", "From 9am to 5pm in an office")
+
+
+def _described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents' whole texts, each with a posting's phrase behind it."""
+    return read(spark, sf_dir, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit("\n"), _pick(_PHRASES, "doc_id")).alias("x"))
+
+
+def fn_remote_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _described(spark, sf_dir).select("doc_id", postings.remote_type(F.col("x")).alias("remote_type"))
+
+
+def fn_visa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _described(spark, sf_dir).select("doc_id", postings.stance(F.col("x"), postings.VISA).alias("visa"))
+
+
+def fn_relocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _described(spark, sf_dir).select("doc_id", postings.stance(F.col("x"), postings.RELOCATION).alias("relocation"))
+
+
+def fn_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _described(spark, sf_dir).select("doc_id", postings.work_schedule(F.col("x")).alias("schedule"))
+
+
 _TERMS = ("The", "und", "dans", "para", "idiot", "De", "la")
 
 
@@ -233,6 +257,15 @@ CASES = {
     "fn_experience_level": Cases(3, {"level": TEXT}, (
         ("Senior Clerk", "1 year experience", "2", "senior"), ("Clerk", "3 to 5 years of experience", "9", "lead"), ("Clerk", "3 to 5 years of experience", None, "mid"), ("Clerk", "fresh graduate", "0", "entry"), ("Clerk", "fresh graduate", None, "entry"), (None, None, "12", "principal"), (None, None, None, None), ("Team Lead", "", None, "lead"), ("", "10+ yrs experience", None, "lead"),
     ), lambda t, x, n: [postings.experience_level(t, x, n.cast("int"))]),
+    "fn_education_level": Cases(1, {"level": TEXT}, (
+        ("PhD or master's degree", "phd"), ("Bachelor's degree in physics", "bachelor"), ("High school diploma", "high_school"), ("Aucun diplôme", "none"), ("فوق لیسانس", "master"), ("mit Abitur", "high_school"), ("CPA required", "professional_certification"), ("Ausbildung", "associate"), ("whatever", None), ("", None), (None, None), ("Bac + 5 ou Bac + 3", "master"),
+    ), lambda x: [postings.education_level(x)]),
+    "fn_clean_title": Cases(1, {"cleaned": TEXT}, (
+        ("Senior DevOps Engineer (Linux, PHP)", "Senior DevOps Engineer"), ("Team Lead [urgent]", "Team Lead"), ("Junior Analyst - remote", "Junior Analyst"), ("Staff Engineer (m/w/d) - Full-time", "Staff Engineer"), ("Sr. C++ / Go Developer, hybrid", "Sr C / Go Developer"), ("Mid-level R&D Chemist", "Mid-level R&D Chemist"), ("Müller!  Gehilfe", "Müller Gehilfe"), ("", ""), (None, None),
+    ), lambda x: [postings.clean_title(x)]),
+    "fn_core_title": Cases(1, {"core": TEXT}, (
+        ("Senior DevOps Engineer", "DevOps Engineer"), ("Team Lead", "Team Lead"), ("Junior Analyst", "Analyst"), ("head of  Sales", "Sales"), ("Sr C / Go Developer", "C / Go Developer"), ("Internal Auditor", "Internal Auditor"), ("Lead", "Lead"), ("", ""), (None, None),
+    ), lambda x: [postings.core_title(x)]),
     "fn_boilerplate": Cases(1, {"rest": TEXT}, (
         ("We build. Please mention the word **ABLE** and tag Rabc when applying. This is a beta feature to avoid spam applicants.", "We build."), ("Please mention the word only", "Please mention the word only"), (" x ", "x"), ("", ""), (None, ""),
     ), lambda x: [postings.without_boilerplate(x)]),
@@ -297,7 +330,7 @@ def sort_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("vec_id", best.alias("b")).select("vec_id", (-F.col("b.l")).cast("int").alias("label"), "b.cosine")
 
 
-FRAMES = {f.__name__: f for f in (flt_valid_utf8, fn_skill_scan_texts, join_ref_translate, mrg_remap_selfref, mrg_shard_children, str_queue_cycle, flt_posting_quality, src_html_listing, fn_host, flt_suspect_rows, src_sitemap, agg_completeness, agg_nonnull_by_column, agg_batch_report, fn_salary_usd, fn_salary_anomaly, fn_content_hash, fn_quality_score, fn_script_lang, dedup_cross_source, title_class, geo_resolve, sort_argmax)}
+FRAMES = {f.__name__: f for f in (fn_remote_type, fn_visa, fn_relocation, fn_schedule, flt_valid_utf8, fn_skill_scan_texts, join_ref_translate, mrg_remap_selfref, mrg_shard_children, str_queue_cycle, flt_posting_quality, src_html_listing, fn_host, flt_suspect_rows, src_sitemap, agg_completeness, agg_nonnull_by_column, agg_batch_report, fn_salary_usd, fn_salary_anomaly, fn_content_hash, fn_quality_score, fn_script_lang, dedup_cross_source, title_class, geo_resolve, sort_argmax)}
 
 
 def _list(items) -> str:
@@ -338,7 +371,12 @@ def _place_case() -> str:
     return f"(VALUES {', '.join(rows)}) a(i, j, place_level, place_id, place_method)"
 
 
+_DESCRIBED = f"(SELECT doc_id, coalesce(text, '') || chr(10) || {_list(_PHRASES)}[doc_id % {len(_PHRASES)} + 1] AS x FROM documents)"
 FRAMES_SQL = {
+    "fn_remote_type": f"SELECT doc_id, CASE WHEN x ILIKE '%hybrid%' THEN 'hybrid' WHEN (x ILIKE '%remote%' OR x ILIKE '%telework%') AND x ILIKE '%worldwide%' THEN 'remote_global' WHEN x ILIKE '%remote%' OR x ILIKE '%telework%' THEN 'remote_country' WHEN x ILIKE '%on-site%' THEN 'on_site' END AS remote_type FROM {_DESCRIBED}",
+    "fn_visa": f"SELECT doc_id, CASE WHEN x ILIKE '%visa sponsorship available%' THEN true WHEN x ILIKE '%no visa sponsorship%' THEN false END AS visa FROM {_DESCRIBED}",
+    "fn_relocation": f"SELECT doc_id, CASE WHEN x ILIKE '%relocation package%' THEN true WHEN x ILIKE '%no relocation%' OR x ILIKE '%cannot relocate%' THEN false END AS relocation FROM {_DESCRIBED}",
+    "fn_schedule": f"SELECT doc_id, CASE WHEN x ILIKE '%night shift%' THEN 'night_shift' WHEN x ILIKE '%weekend work%' THEN 'weekend' WHEN x ILIKE '%flexible hours%' THEN 'flexible' WHEN x ILIKE '%9am to 5pm%' THEN 'standard_day' END AS schedule FROM {_DESCRIBED}",
     "flt_valid_utf8": "SELECT doc_id, CASE WHEN text IS NOT NULL THEN doc_id % 3 <> 0 AND doc_id % 5 <> 0 END AS fine FROM documents",
     "fn_skill_scan_texts": r"""SELECT doc_id, array_to_string(list_filter(['De', 'The', 'dans', 'idiot', 'la', 'para', 'und'], lambda t: regexp_matches(coalesce(text, ''), CASE WHEN length(t) <= 2 THEN '(^|[^A-Za-z0-9&/-])' || t || '([^A-Za-z0-9&/-]|$)' ELSE '(?i)(^|[^A-Za-z0-9])' || t || '([^A-Za-z0-9]|$)' END)), '|') AS found FROM documents""",
     "join_ref_translate": "SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN s_nationkey * 10 + 3 END::BIGINT AS nation FROM supplier",
