@@ -22,7 +22,7 @@ from .common import join_hot, materialize, new_path, read, remove, shuffles
 
 MIN_CHARS, MIN_DOCS, FANOUT = 40, 5, 2
 #: In how many batches a corpus comes that is all there from the start. A batch is as distributed as the whole: more of them cost runs, and save no memory.
-BATCHES = 4
+BATCHES = 2
 #: Line occurrences for each bucket of a run, up to as many buckets as shuffle partitions: small runs are few files.
 BUCKET_LINES = 250_000
 _STRIP = " \t\n\x0b\x0c\r"
@@ -56,19 +56,20 @@ class LineRuns:
         self.spark, self.buckets, self.fanout = spark, buckets, fanout
         self.levels: list[list[str]] = []
         self.increments: list[str] = []
+        self._paths: dict[str, str] = {}
 
     def _write(self, lines: DataFrame) -> str:
         path = new_path(self.spark, "line-run")
         name = f"line_run_{path.rsplit('-', 1)[1]}"
         rows = lines.repartition(self.buckets, *self.KEYS)
         rows.write.bucketBy(self.buckets, *self.KEYS).sortBy(*self.KEYS).option("path", path).format("parquet").saveAsTable(name)
+        self._paths[name] = path
         return name
 
     def _drop(self, *names: str) -> None:
         for name in names:
-            path = self.spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
             self.spark.sql(f"DROP TABLE {name}")
-            remove(self.spark, path)
+            remove(self.spark, self._paths.pop(name))
 
     def _read(self, *names: str) -> DataFrame:
         return reduce(DataFrame.unionByName, map(self.spark.table, names))
