@@ -313,8 +313,8 @@ class Tables:
                 grams = grams.join(contexts, "a").join(low, (suffix == F.col("low_a")) & (F.col("b") == F.col("low_b")))
                 p = [F.when(F.col(f"n{j}") > 0, F.greatest(F.col(f"n{j}") - DISCOUNT, F.lit(0.0)) / F.col(f"t{j}")).otherwise(0.0) + F.col(f"g{j}") * F.col(f"l{j}") for j in js]
             self.grams[order] = materialize(grams.select("a", "b", *[x.alias(f"p{j}") for j, x in enumerate(p)]).coalesce(tasks), f"langid-model-{order}")
-        size = sum(t.count() for t in (*self.grams.values(), *self.contexts.values())) * (8 + 4 * len(self.langs))
-        self.of = max(1, -(-size // SHARD_BYTES))
+        # all tables together hold some three times the rows of the largest, at most
+        self.of = max(1, -(-3 * most * (8 + 4 * len(self.langs)) // SHARD_BYTES))
 
     def shard(self, number: int) -> Shard:
         """One shard, fetched to the driver."""
