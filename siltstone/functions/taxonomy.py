@@ -32,16 +32,24 @@ CATEGORIES = (
     ("engineering", r"\b(engineer|ing[eé]nieur|ingeniero|engineering)\b"),
 )
 
-# How a text names a degree's field, after the degree and after a label.
-_DEGREE_NAMES = r"(?:bachelor(?:['’]s)?|master(?:['’]s)?|ph\.?d\.?|doctorate|doctorat|associate(?:['’]s)?|undergraduate|graduate|university|college)?"
-_DEGREE_OF = r"\s*(?:of\s+(?:science|arts|engineering|commerce|business|technology))?"
-_DEGREE_WORD = r"\s*(?:degree|diploma|licenciatura|t[ií]tulo(?:\s+universitario)?|dipl[oô]me|maestr[ií]a|doctorado|bac\s*\+\s*[345]|bsc|msc|b\.s\.|m\.s\.|b\.a\.|m\.a\.|ph\.?d\.?)"
-_DEGREE_ALONE = r"(?:bachelor(?:['’]s)?|master(?:['’]s)?|ph\.?d\.?|doctorate|doctorat|associate(?:['’]s)?|licenciatura|maestr[ií]a|doctorado|bac\s*\+\s*[345]|\bbs\b|\bms\b|\bba\b|bsc|msc|b\.s\.|m\.s\.|b\.a\.|m\.a\.)"
-_DEGREE_FIELD = r"([A-Za-z0-9\s,&/\-–À-ſ]+?)"
-_FIELD_END = r"(?=(?:\s+(?:or|o|ou)\s+(?:a\s+)?(?:closely\s+)?(?:related|relevant|af[ií]n|afines|connexe|equivalent|equivalente|[eé]quivalent|quantitative)(?:\s+(?:field|discipline|area|branche|domaine))?|[.;\n\r]|\z|\s+is\s+required|\s+required\b|\s+preferred\b|\s+with\b|\s+and\s+\d+\+?\s+years))"
-_LABEL_END = r"(?=(?:\s+(?:or|o|ou)\s+(?:a\s+)?(?:related|af[ií]n|connexe|equivalent)\b|[.;\n\r]|\z|\s+is\s+required|\s+required\b|\s+preferred\b))"
-FIELD_AFTER_DEGREE = rf"\b(?:{_DEGREE_NAMES}{_DEGREE_OF}{_DEGREE_WORD}|{_DEGREE_ALONE})\s+(?:in|of|en|de|d'|en\s+materia\s+de)\s+{_DEGREE_FIELD}{_FIELD_END}"
-FIELD_AFTER_LABEL = rf"\b(?:degree|major|discipline|field\s+of\s+study|formation|t[ií]tulo)\s*(?:required|needed)?\s*[:\-]\s*{_DEGREE_FIELD}{_LABEL_END}"
+# How a text names a degree's field, after the degree and after a label (white space in these does not count).
+FIELD_AFTER_DEGREE = r"""
+    \b(?:
+        (?:bachelor(?:['’]s)?|master(?:['’]s)?|ph\.?d\.?|doctorate|doctorat|associate(?:['’]s)?|undergraduate|graduate|university|college)?
+        \s*(?:of\s+(?:science|arts|engineering|commerce|business|technology))?
+        \s*(?:degree|diploma|licenciatura|t[ií]tulo(?:\s+universitario)?|dipl[oô]me|maestr[ií]a|doctorado|bac\s*\+\s*[345]|bsc|msc|b\.s\.|m\.s\.|b\.a\.|m\.a\.|ph\.?d\.?)
+        |
+        (?:bachelor(?:['’]s)?|master(?:['’]s)?|ph\.?d\.?|doctorate|doctorat|associate(?:['’]s)?|licenciatura|maestr[ií]a|doctorado|bac\s*\+\s*[345]|\bbs\b|\bms\b|\bba\b|bsc|msc|b\.s\.|m\.s\.|b\.a\.|m\.a\.)
+    )
+    \s+(?:in|of|en|de|d'|en\s+materia\s+de)\s+
+    ([A-Za-z0-9\s,&/\-–À-ſ]+?)
+    (?=(?:\s+(?:or|o|ou)\s+(?:a\s+)?(?:closely\s+)?(?:related|relevant|af[ií]n|afines|connexe|equivalent|equivalente|[eé]quivalent|quantitative)(?:\s+(?:field|discipline|area|branche|domaine))?|[.;\n\r]|\z|\s+is\s+required|\s+required\b|\s+preferred\b|\s+with\b|\s+and\s+\d+\+?\s+years))
+"""
+FIELD_AFTER_LABEL = r"""
+    \b(?:degree|major|discipline|field\s+of\s+study|formation|t[ií]tulo)\s*(?:required|needed)?\s*[:\-]\s*
+    ([A-Za-z0-9\s,&/\-–À-ſ]+?)
+    (?=(?:\s+(?:or|o|ou)\s+(?:a\s+)?(?:related|af[ií]n|connexe|equivalent)\b|[.;\n\r]|\z|\s+is\s+required|\s+required\b|\s+preferred\b))
+"""
 NO_FIELD = r"\b(nuevo|alert|cookie|apply|click|terms|privacy|equal opportunity|job|position|employment|candidate|experience|years|work|customer|country|client|account|accounts|countries|breakthrough|reality|spoken|written|english|spanish|french)\b"
 DEGREE_SENTENCE = r"\b(degree|diploma|dipl[oô]me|licenciatura|bac\s*\+\s*[345]|bachelor|master|ph\.?d\.?|doctorate|doctorat|associate|bsc|msc|b\.s\.|m\.s\.|b\.a\.|m\.a\.)\b"
 FIELD_CHARS, FIELD_WORDS, SENTENCE_CHARS = (3, 80), 10, 200
@@ -168,7 +176,7 @@ def field_of_study(text: Column) -> Column:
     """The first phrase that a text gives as a degree's field: after a degree's name first, after a label else."""
 
     def phrases(pattern: str) -> Column:
-        found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?iu)" + pattern), F.lit(1))
+        found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?iux)" + pattern), F.lit(1))
         return F.transform(found, lambda x: F.regexp_replace(x, r"^[ \t\r\n,.;:\-]+|[ \t\r\n,.;:\-]+$", ""))
 
     def fine(x: Column) -> Column:
