@@ -33,13 +33,13 @@ LONG_PIECE = 63
 #: Steps of one query over long pieces, whose recursion keeps every step's rows; what is not done then goes into the next query.
 LONG_STEPS, LONG_BYTES = 16, 100_000
 #: Units whose ids a worker remembers; beyond that it keeps those met again, half as many at most.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: Characters that are encoded together, at least one text.
 PART_CHARS = 1_500_000
 #: Units kept from one task to the next, those met most.
-KEPT = 250_000
+KEPT = 50_000
 #: Pieces that one recursive query contracts.
-PIECES = 40_000
+PIECES = 20_000
 
 #: A row is a token at pp, its piece * 64 and its byte's position (under 64, see LONG_PIECE), with its right neighbour (nxt at
 #: npp); key is the rank of the pair the two make, then pos, or null. The merge table's key is left * 1048576 + right: every
