@@ -10,6 +10,7 @@ import html
 import re
 import unicodedata
 from collections.abc import Callable
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -94,12 +95,22 @@ class _Text(HTMLParser):
             self.parts.append(data)
 
 
-def html_text(markup: str) -> str:
-    """The text of markup, its pieces one space apart, without scripts and styles."""
+_AMPERSAND = re.compile(r"&(?!#[0-9]+;|#[xX][0-9a-fA-F]+;)([A-Za-z][A-Za-z0-9]*;)?")
+
+
+def marked(markup: str) -> tuple[str, str]:
+    """markup in which each & that begins no reference closed by a semicolon is a mark, and the mark: a character that markup does not hold and, of the first 32, no reference gives."""
+    mark = next(c for c in map(chr, range(0xFDD0, 0x110000)) if c not in markup)
+    return _AMPERSAND.sub(lambda m: m[0] if m[1] in html5 else mark + m[0][1:], markup), mark
+
+
+def html_text(markup: str, closed: bool = False) -> str:
+    """The text of markup, its pieces one space apart, without scripts and styles; references are read as browsers do, or, if closed, only with their semicolon."""
+    markup, mark = marked(markup) if closed else (markup, "&")
     p = _Text()
     p.feed(markup)
     p.close()
-    return _collapsed(repaired(" ".join(p.parts)))
+    return _collapsed(repaired(" ".join(p.parts).replace(mark, "&")))
 
 
 def each(kind: str, use) -> Callable[[Column], Column]:
@@ -117,9 +128,9 @@ def clean_plain(text: Column) -> Column:
     return each("string", lambda t: _collapsed(repaired(html.unescape(t))))(text)
 
 
-def clean_html(text: Column) -> Column:
+def clean_html(text: Column, closed: bool = False) -> Column:
     """html_text(); null and empty stay as they are."""
-    return each("string", html_text)(text)
+    return each("string", lambda t: html_text(t, closed))(text)
 
 
 class _Folded(dict):

@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,3 +99,19 @@ def test_reasons_in_order(spark):
 def test_suffixes(spark):
     d = spark.createDataFrame([("Acme Group Ltd.",), ("Inc",), ("Zegogo Corporation",)], "n string")
     assert [r[0] for r in d.select(entity.without_suffix(F.col("n"))).collect()] == ["Acme", "Inc", "Zegogo"]
+
+
+@pytest.fixture(scope="module")
+def cut_pages(tmp_path_factory):
+    """Pages whose heading and title end within a reference, a page without text and one that is null."""
+    folder = tmp_path_factory.mktemp("cut")
+    ends = [whole[:k] for whole in ("&amp;", "&quot;", "&lt;", "&#x27;", "&nbsp;", "&copy;") for k in range(1, len(whole) + 1)] + ["R&D", "&amp;amp", "&ampx", "&amp;lt;"]
+    pages = [f"<html><head><title>Site of{e}</title><script>a&&b&amp</script></head><body><h1>Cook wanted{e}</h1><p>a &amp; b{e}<a href='/x?a&amp=1'>c</a></p></body></html>" for e in ends for _ in range(2)] + ["", None]
+    pd.DataFrame({"page_id": range(1, len(pages) + 1), "html": pages}).to_parquet(folder / "pages.parquet")
+    return str(folder)
+
+
+def test_cleaning_of_cut_references(spark, against, cut_pages):
+    against(registry.queries()["fn_clean_html"](spark, cut_pages), registry.oracle_sql()["fn_clean_html"], cut_pages)
+    assert text.html_text("<b>a &amp</b>") == "a &" and text.html_text("<b>a &amp</b>", closed=True) == "a &amp"
+    assert text.html_text("R&D &eacute; &#233; &#xE9; &#233 &notit; \ufdd0 &#xFDD1;<b>&lt &", closed=True) == "R&D é é é &#233 &notit; \ufdd0 &lt &"
